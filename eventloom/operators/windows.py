@@ -161,7 +161,8 @@ def user_sessions(events: DataFrame, browser_over: int = 20, quick_under: int =
 
 def daily_totals(events: DataFrame) -> DataFrame:
     """One row per user and day, before the comparison with the previous day."""
-    hour_bit = F.shiftleft(F.lit(1).cast("bigint"), F.hour("event_timestamp"))
+    one = F.lit(1).cast("bigint")
+    hour_bit = F.call_function("shiftleft", one, F.hour("event_timestamp"))
     per_session = (
         with_purchase(events)
         .groupBy("user_id", F.window("event_timestamp", "1 day"), "session_id")

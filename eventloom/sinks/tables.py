@@ -7,10 +7,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.compare import upsert
+from eventloom.operators.asof import latest_per_key
 from eventloom.operators.transforms import good_rows, rejected_rows
 
 
+# JSON text keeps microseconds; Spark's default would cut times to milliseconds.
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def _as_json(df: DataFrame) -> Column:
+    return F.to_json(F.struct(*df.columns), _JSON).alias("value")
+
+
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
@@ -26,15 +37,13 @@ def write_by_date(df: DataFrame, path: str, ts: str, column: str = "event_date")
 
 def write_lines(df: DataFrame, path: str, as_json: bool = True) -> None:
     """Line files for verification."""
-    rows = df.select(F.to_json(F.struct(*df.columns)).alias("value")) if as_json else df
+    rows = df.select(_as_json(df)) if as_json else df
     rows.write.mode("overwrite").text(path)
 
 
 def to_messages(df: DataFrame, key: str = "user_id") -> DataFrame:
     """``(key, value)`` messages with the whole row as JSON."""
-    return df.select(
-        F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value")
-    )
+    return df.select(F.col(key).cast("string").alias("key"), _as_json(df))
 
 
 def write_kafka_stream(df: DataFrame, servers: str, topic: str, checkpoint: str, key: str = "user_id"):
@@ -55,62 +64,31 @@ def write_split(split: DataFrame, good_path: str, reject_path: str, mode: str =
     rejected_rows(split).write.mode(mode).parquet(reject_path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-class VersionedTable:
-    """A parquet table replaced as a whole: each version is a folder of its own.
+def append_changes(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer of an upsert table kept as change folders, one per batch.
 
-    A version is written under its number and is visible once its success marker is there, so
-    a writer that dies leaves the last complete version in place, and a repeated batch
-    rewrites its own folder.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def versions(self) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        numbers = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            done = fs.exists(hadoop.Path(status.getPath(), "_SUCCESS"))
-            if name.startswith("v") and name[1:].isdigit() and done:
-                numbers.append(int(name[1:]))
-        return sorted(numbers)
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        usable = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/v{usable[-1]}") if usable else None
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version}")
-
-
-def upsert_batch(
-    table: VersionedTable, keys: Sequence[str], order: Sequence[str]
-) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer: last change per key wins, new columns are added.
-
-    Where a database or a table format with MERGE is at hand, merge there instead; plain
-    parquet has no row updates, so a batch writes the next version of the table.
+    Writing costs what the batch costs, whatever the size of the table, and a repeated batch
+    replaces its own folder. ``current_rows`` merges on read; where a database or a table
+    format with MERGE is at hand, merge there instead.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        current = table.read(before=batch_id)
-        if current is None:
-            current = batch.limit(0)
-        table.write(upsert(current, batch, keys, order), batch_id)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
 
 
+def current_rows(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """The upsert table: the last change per key wins, columns added later are NULL before.
+
+    Compaction is ``write_table(current_rows(...).withColumn("batch", lit(n)), ...)``.
+    """
+    changes = spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
+    return latest_per_key(changes, keys, ["batch", *order]).drop("batch")
+
+
 def jdbc_upsert_batch(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer into a database: appends the batch to a staging table named by
     the batch, from which the database merges by primary key."""

@@ -24,7 +24,17 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_events(spark, sf_dir)
+    return events_of(raw_events(spark, sf_dir))
+
+
+def raw_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table read as a stream."""
+    schema = raw_events(spark, sf_dir).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+
+
+def events_of(raw: DataFrame) -> DataFrame:
+    """The user event stream, from a table or a stream of raw events."""
     amount = (F.col("value").cast("decimal(10,2)") * 10).cast("decimal(10,2)")
     payload = F.concat(
         F.lit('{"amount": '), amount.cast("string"),
