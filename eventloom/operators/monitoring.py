@@ -236,27 +236,40 @@ def cooldown(
     max_per_hour: int | None = 20,
     rule: str = "rule",
     ts: str = "fired_at",
+    last_sent: DataFrame | None = None,
 ) -> DataFrame:
     """At most one alert per rule until ``minutes`` after the last one sent, and at most
     ``max_per_hour`` over all rules and clock hour (earliest first, then by rule).
 
     Which alert is sent depends on the one sent before it, so a rule's times are folded in
     order. Alerts are the output of evaluation windows: a rule has one time per evaluation,
-    a number set by the clock and not by the size of the logs.
+    a number set by the clock and not by the size of the logs. ``last_sent(rule, last_sent)``
+    continues an earlier run.
     """
     pause = F.make_dt_interval(mins=F.lit(minutes))
-    ts_type = alerts.schema[ts].dataType
-    none_sent = F.array().cast(f"array<{ts_type.simpleString()}>")
+    listed = f"array<{alerts.schema[ts].dataType.simpleString()}>"
+    per_rule = (
+        alerts.where(F.col(ts).isNotNull())
+        .groupBy(rule)
+        .agg(F.array_sort(F.collect_set(ts)).alias("_times"))
+    )
+    start = F.array().cast(listed)
+    if last_sent is not None:
+        per_rule = per_rule.join(last_sent.select(rule, "last_sent"), rule, "left")
+        start = F.when(F.col("last_sent").isNull(), start).otherwise(
+            F.array("last_sent").cast(listed)
+        )
     sent = F.aggregate(
-        F.array_sort(F.collect_set(ts)),
-        none_sent,
+        "_times",
+        start,
         lambda kept, at: F.when(
             (F.size(kept) == 0) | (at >= F.element_at(kept, -1) + pause),
             F.concat(kept, F.array(at)),
         ).otherwise(kept),
     )
-    per_rule = alerts.where(F.col(ts).isNotNull()).groupBy(rule).agg(sent.alias("_sent"))
-    out = per_rule.select(rule, F.explode("_sent").alias(ts))
+    if last_sent is not None:
+        sent = F.filter(sent, lambda at: F.col("last_sent").isNull() | (at > F.col("last_sent")))
+    out = per_rule.select(rule, F.explode(sent).alias(ts))
     if max_per_hour is None:
         return out
     in_hour = Window.partitionBy(F.date_trunc("HOUR", F.col(ts))).orderBy(ts, rule)

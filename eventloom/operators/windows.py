@@ -18,11 +18,6 @@ def _of_type(name: str) -> Column:
     return F.count_if(F.col("event_type") == name)
 
 
-def _small_set(column: Column | str) -> Column:
-    """Distinct count over a domain a schema bounds (event types): one pass, no extra shuffle."""
-    return F.size(F.collect_set(column)).cast("bigint")
-
-
 def _bounds() -> list[Column]:
     return [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
 
@@ -130,35 +125,55 @@ def sliding_activity(
     )
 
 
-def user_sessions(events: DataFrame, browser_over: int = 20, quick_under: int = 5) -> DataFrame:
-    grouped = (
+def session_parts(events: DataFrame) -> DataFrame:
+    """Partial totals per session; parts of the same session add up with ``merge_sessions``."""
+    return (
         with_purchase(events)
         .groupBy("user_id", "session_id")
         .agg(
             F.min("event_timestamp").alias("session_start"),
             F.max("event_timestamp").alias("session_end"),
             F.count(F.lit(1)).alias("session_events"),
-            _small_set("event_type").alias("unique_event_types_in_session"),
+            F.array_sort(F.collect_set("event_type")).alias("_types"),
             F.sum("_revenue").alias("session_value"),
             _of_type("purchase").alias("_purchases"),
         )
     )
+
+
+def merge_sessions(parts: DataFrame) -> DataFrame:
+    """One part per session and batch -> one part per session."""
+    return parts.groupBy("user_id", "session_id").agg(
+        F.min("session_start").alias("session_start"),
+        F.max("session_end").alias("session_end"),
+        F.sum("session_events").alias("session_events"),
+        F.array_distinct(F.flatten(F.collect_set("_types"))).alias("_types"),
+        F.sum("session_value").cast("decimal(20,2)").alias("session_value"),
+        F.sum("_purchases").alias("_purchases"),
+    )
+
+
+def describe_sessions(parts: DataFrame, browser_over: int = 20, quick_under: int = 5) -> DataFrame:
     kind = classify.session_type(
         F.col("session_events"), F.col("_purchases"), browser_over, quick_under
     )
-    return grouped.select(
+    return parts.select(
         "user_id",
         "session_id",
         "session_start",
         "session_end",
         "session_events",
-        "unique_event_types_in_session",
+        F.size("_types").cast("bigint").alias("unique_event_types_in_session"),
         exprs.elapsed("MINUTE", "session_start", "session_end").alias("session_duration_minutes"),
         "session_value",
         kind.alias("session_type"),
     )
 
 
+def user_sessions(events: DataFrame, browser_over: int = 20, quick_under: int = 5) -> DataFrame:
+    return describe_sessions(session_parts(events), browser_over, quick_under)
+
+
 def daily_totals(events: DataFrame) -> DataFrame:
     """One row per user and day, before the comparison with the previous day."""
     one = F.lit(1).cast("bigint")

@@ -1,0 +1,269 @@
+"""Queries that run a real streaming query over the events table and return what it wrote.
+
+The oracle is the batch definition over the rows a stream can have finished: append mode
+emits a window once the watermark (newest event minus the delay) has passed its end.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from eventloom.operators import windows
+from eventloom.plans.catalog import Tables, query
+from eventloom.plans.core import _ENRICHED, SESSIONS_SQL
+from eventloom.plans.log_queries import _FIRED, fired_alerts
+from eventloom.sinks import tables as sinks
+from eventloom.sources import testdata
+from eventloom.streaming import jobs
+
+_CLOSED = "(SELECT max(event_timestamp) - INTERVAL 5 SECOND FROM user_events)"
+
+
+def event_stream(t: Tables) -> DataFrame:
+    """The user event stream over the events table; times are instants for the watermark."""
+    events = testdata.events_of(testdata.raw_event_stream(t.spark, t.sf_dir))
+    return events.withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("event_timestamp", "processing_time")}
+    )
+
+
+def in_slices(t: Tables, run: Callable[[DataFrame], None], slices: int = 3) -> None:
+    """Feeds the same rows in consecutive time spans: the files of a span arrive, the job runs
+    over what is new and stops, and the next span finds it restarted on its checkpoint."""
+    path, events = t.scratch("slices"), t.user_events
+    events = events.withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("event_timestamp", "processing_time")}
+    )
+    day = F.date_diff("event_timestamp", F.lit(testdata.START).cast("date"))
+    part = F.least(F.call_function("div", day * slices, F.lit(30)), F.lit(slices - 1))
+    for i in range(slices):
+        events.where(part == i).write.mode("append").parquet(path)
+        run(t.spark.readStream.schema(events.schema).parquet(path))
+
+
+def run_table(t: Tables, df: DataFrame, name: str) -> DataFrame:
+    path = t.scratch(name)
+    jobs.start_table(df, path, f"{path}-checkpoint", once=True).awaitTermination()
+    return t.spark.read.schema(df.schema).parquet(path)
+
+
+def run_batches(
+    t: Tables, df: DataFrame, write: Callable[[DataFrame, int], None], path: str, mode: str = "append"
+) -> None:
+    jobs.start_batches(df, write, f"{path}-checkpoint", once=True, mode=mode).awaitTermination()
+
+
+@query("user_activity_hourly_stream", f"""
+    SELECT user_id, window_start, window_end, total_events, unique_sessions, purchase_count,
+      total_revenue FROM hourly WHERE window_end <= {_CLOSED}""")
+def _(t: Tables):
+    out = run_table(t, jobs.hourly_stream(event_stream(t)), "hourly")
+    return out.select(
+        "user_id", "window_start", "window_end", "total_events", "unique_sessions",
+        "purchase_count", "total_revenue",
+    )
+
+
+@query("user_activity_sliding_stream", f"""
+    SELECT user_id, window_start, events_last_5min, unique_event_types, event_types_array,
+      activity_level FROM sliding WHERE window_end <= {_CLOSED}""")
+def _(t: Tables):
+    out = run_table(t, jobs.sliding_stream(event_stream(t)), "sliding")
+    return out.drop("window_end")
+
+
+@query("user_analytics_daily_stream", f"""
+    SELECT * REPLACE (round(activity_growth_rate, 6) AS activity_growth_rate) FROM daily
+    WHERE date_window + INTERVAL 1 DAY <= {_CLOSED}""")
+def _(t: Tables):
+    """Totals from the stream; segment, previous day and growth on the finished table."""
+    totals = run_table(t, jobs.daily_stream(event_stream(t)), "daily")
+    return windows.with_daily_trend(totals)
+
+
+@query("session_gap_window_stream", f"""
+    WITH g AS (SELECT user_id, event_timestamp AS ts, CASE WHEN event_timestamp
+            - lag(event_timestamp) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS first
+          FROM user_events WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp)),
+      n AS (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM g)
+    SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS session_events
+    FROM n GROUP BY user_id, s HAVING max(ts) + INTERVAL 30 MINUTE <= {_CLOSED}""")
+def _(t: Tables):
+    return run_table(t, jobs.gap_session_stream(event_stream(t)), "gaps")
+
+
+@query("perf_monitor_stream", """
+    SELECT count(*) AS processed_records, count(DISTINCT user_id) AS unique_users,
+      date_trunc('minute', processing_time) + INTERVAL 1 MINUTE AS measurement_time
+    FROM user_events GROUP BY 3
+    HAVING date_trunc('minute', processing_time) + INTERVAL 1 MINUTE
+      <= (SELECT max(processing_time) - INTERVAL 5 SECOND FROM user_events)""")
+def _(t: Tables):
+    out = run_table(t, jobs.monitor_stream(event_stream(t)), "monitor")
+    return out.select("processed_records", "unique_users", "measurement_time")
+
+
+@query("wm_bounded", f"""
+    SELECT date_trunc('hour', event_timestamp) AS window_start, count(*) AS events
+    FROM user_events GROUP BY 1
+    HAVING date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR <= {_CLOSED}""")
+def _(t: Tables):
+    """Counts per hour under a five-second bound on disorder."""
+    events = jobs.with_event_time(event_stream(t), delay="5 seconds")
+    counted = events.groupBy(F.window("event_timestamp", "1 hour")).agg(
+        F.count(F.lit(1)).alias("events")
+    )
+    out = run_table(t, counted.select(F.col("window.start").alias("window_start"), "events"), "wm")
+    return out
+
+
+@query("window_trigger", """
+    SELECT date_trunc('day', event_timestamp)::TIMESTAMP AS window_start, count(*) AS events
+    FROM user_events GROUP BY 1""")
+def _(t: Tables):
+    """Update mode: windows are emitted while open; the last state of each is the result."""
+    path = t.scratch("trigger")
+
+    def run(stream: DataFrame) -> None:
+        counted = (
+            jobs.with_event_time(stream)
+            .groupBy(F.window("event_timestamp", "1 day"))
+            .agg(F.count(F.lit(1)).alias("events"))
+            .select(F.col("window.start").alias("window_start"), "events")
+        )
+        run_batches(t, counted, sinks.append_changes(path), path, mode="update")
+
+    in_slices(t, run)
+    return sinks.current_rows(t.spark, path, ["window_start"], ["events"])
+
+
+@query("late_split_stream", """
+    SELECT event_id, date_sub('second', event_timestamp, processing_time) AS late_by_seconds,
+      CASE WHEN date_sub('second', event_timestamp, processing_time) > 5 THEN 'late' END AS error_reason
+    FROM user_events""")
+def _(t: Tables):
+    path = t.scratch("late")
+    run_batches(
+        t, event_stream(t), jobs.late_writer(f"{path}/on_time", f"{path}/late"), path
+    )
+    columns = "event_id bigint, late_by_seconds bigint, error_reason string"
+    sides = [t.spark.read.schema(columns).parquet(f"{path}/{side}") for side in ("on_time", "late")]
+    return sides[0].unionByName(sides[1]).drop("batch")
+
+
+@query("dedup_stream", "SELECT event_id, user_id, event_type FROM user_events")
+def _(t: Tables):
+    """Every event sent twice within the watermark; one of each survives."""
+    doubled = event_stream(t).withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
+    out = run_table(t, jobs.dedup_stream(doubled), "dedup")
+    return out.select("event_id", "user_id", "event_type")
+
+
+@query("user_enrichment_stream", f"SELECT {_ENRICHED} FROM enriched")
+def _(t: Tables):
+    return run_table(t, jobs.enrich_stream(event_stream(t), t.users), "enriched")
+
+
+@query("user_enrichment_growing_history", f"SELECT {_ENRICHED} FROM enriched")
+def _(t: Tables):
+    """Each micro-batch joins the version table as it is when the batch runs."""
+    path = t.scratch("growing")
+    write = jobs.enrich_writer(lambda: t.users, path)
+    in_slices(t, lambda stream: run_batches(t, stream, write, path))
+    return t.spark.read.parquet(path).drop("batch")
+
+
+@query("stream_stream_join_stream", """
+    SELECT p.event_id AS purchase_id, p.user_id, p.event_timestamp AS purchase_time,
+      v.event_id AS view_id, v.event_timestamp AS view_time
+    FROM (SELECT * FROM user_events WHERE event_type = 'purchase') p
+    ASOF JOIN (SELECT * FROM user_events WHERE event_type = 'view') v
+      ON p.user_id = v.user_id AND p.event_timestamp >= v.event_timestamp
+    WHERE p.event_timestamp - v.event_timestamp <= INTERVAL 1 HOUR""")
+def _(t: Tables):
+    out = jobs.attribute_stream(event_stream(t), event_stream(t))
+    return run_table(t, out, "attributed")
+
+
+@query("user_anomaly_stream", """
+    SELECT event_id, a.user_id, a.event_timestamp, a.event_type, events_last_hour, events_last_day,
+      anomaly_flag, risk_score
+    FROM anomalies_natural a JOIN user_events u
+      ON a.user_id = u.user_id AND a.event_timestamp = u.event_timestamp
+      AND a.event_type = u.event_type
+    WHERE a.event_timestamp <= (SELECT max(event_timestamp) - INTERVAL 5 SECOND FROM user_events)""")
+def _(t: Tables):
+    path = t.scratch("anomaly")
+    write = jobs.anomaly_writer(t.spark, path)
+    in_slices(t, lambda stream: run_batches(t, stream, write, f"{path}/job"))
+    return t.spark.read.parquet(f"{path}/flagged").drop("batch")
+
+
+@query("user_sessions_stream", SESSIONS_SQL)
+def _(t: Tables):
+    """Partial totals per micro-batch, added up on reading."""
+    path = t.scratch("sessions")
+    write = jobs.session_parts_writer(path)
+    in_slices(t, lambda stream: run_batches(t, stream, write, path))
+    return jobs.current_sessions(t.spark, path)
+
+
+@query("state_ttl", """
+    SELECT * FROM sessions WHERE date_trunc('day', session_start) + INTERVAL 1 DAY
+      <= (SELECT max(event_timestamp) - INTERVAL 1 DAY FROM user_events)""")
+def _(t: Tables):
+    """Session state that expires a day behind the newest event."""
+    parts = run_table(t, jobs.session_stream(event_stream(t)), "ttl")
+    return windows.describe_sessions(windows.merge_sessions(parts))
+
+
+@query("alert_cooldown_stream", f"""
+    WITH RECURSIVE {_FIRED},
+      grid AS (SELECT DISTINCT "rule", fired_at FROM fired),
+      sent AS (
+        SELECT "rule", min(fired_at) AS fired_at FROM grid GROUP BY 1
+        UNION ALL
+        SELECT s."rule", (SELECT min(g.fired_at) FROM grid g WHERE g."rule" = s."rule"
+          AND g.fired_at >= s.fired_at + INTERVAL 15 MINUTE) AS fired_at
+        FROM sent s WHERE s.fired_at IS NOT NULL)
+    SELECT "rule", fired_at FROM sent WHERE fired_at IS NOT NULL""")
+def _(t: Tables):
+    path = t.scratch("alerts")
+    fired = fired_alerts(t).select("rule", F.col("fired_at").cast("timestamp").alias("fired_at"))
+    fired.distinct().write.parquet(path)
+    stream = t.spark.readStream.schema("rule string, fired_at timestamp").parquet(path)
+    out = f"{path}-out"
+    run_batches(t, stream, jobs.cooldown_writer(t.spark, out), out)
+    return t.spark.read.parquet(out).drop("batch")
+
+
+@query("exactly_once", "SELECT event_id, user_id FROM user_events")
+def _(t: Tables):
+    """A job stopped and started again on its checkpoint writes each event once."""
+    path = t.scratch("once")
+
+    def run(stream: DataFrame) -> None:
+        for _attempt in range(2):
+            out = stream.select("event_id", "user_id")
+            jobs.start_table(out, path, f"{path}-checkpoint", once=True).awaitTermination()
+
+    in_slices(t, run)
+    return t.spark.read.schema("event_id bigint, user_id bigint").parquet(path)
+
+
+@query("recovery", f"""
+    SELECT user_id, window_start, total_events FROM hourly WHERE window_end <= {_CLOSED}""")
+def _(t: Tables):
+    """Windowed state survives restarts between the slices of the input."""
+    path = t.scratch("recovery")
+
+    def run(stream: DataFrame) -> None:
+        hourly = jobs.hourly_stream(stream)
+        jobs.start_table(hourly, path, f"{path}-checkpoint", once=True).awaitTermination()
+
+    in_slices(t, run, slices=2)
+    out = t.spark.read.schema("user_id bigint, window_start timestamp, total_events bigint")
+    return out.parquet(path)

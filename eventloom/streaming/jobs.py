@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventloom.operators import flow, windows
+from eventloom.operators import flow, monitoring, windows
 from eventloom.operators.anomaly import DAY, anomaly_detection
 from eventloom.operators.enrich import (
     EVENT_COLUMNS,
@@ -80,6 +80,44 @@ def gap_session_stream(events: DataFrame, gap: str = "30 minutes", delay: str =
     return windows.gap_sessions_window(with_event_time(events, delay=delay), gap)
 
 
+def session_stream(events: DataFrame, ttl: str = "1 day") -> DataFrame:
+    """Finished sessions. A session's state lives until the watermark, which trails by the
+    time to live, has passed the day of its events; a plain ``groupBy`` would keep it for ever.
+
+    Sessions that span days come out as one part per day; ``merge_sessions`` adds them up.
+    """
+    timed = with_event_time(events, delay=ttl)
+    day = F.window("event_timestamp", "1 day")
+    parts = (
+        windows.with_purchase(timed)
+        .groupBy("user_id", "session_id", day)
+        .agg(
+            F.min("event_timestamp").alias("session_start"),
+            F.max("event_timestamp").alias("session_end"),
+            F.count(F.lit(1)).alias("session_events"),
+            F.array_sort(F.collect_set("event_type")).alias("_types"),
+            F.sum("_revenue").alias("session_value"),
+            F.count_if(F.col("event_type") == "purchase").alias("_purchases"),
+        )
+    )
+    return parts.drop("window")
+
+
+def session_parts_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """Sessions as they are so far, without state: each batch appends its partial totals and
+    ``current_sessions`` adds them up. Old batch folders are dropped by age."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        windows.session_parts(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def current_sessions(spark: SparkSession, path: str, **limits) -> DataFrame:
+    parts = spark.read.option("basePath", path).parquet(path).drop("batch")
+    return windows.describe_sessions(windows.merge_sessions(parts), **limits)
+
+
 def monitor_stream(events: DataFrame, delay: str = DELAY) -> DataFrame:
     """Per minute of arrival. Without an arrival column the clock of the batch is used."""
     if "processing_time" not in events.columns:
@@ -253,3 +291,24 @@ def _earlier(moment, seconds: int):
     return moment - timedelta(seconds=seconds)
 
 
+
+
+# --- alert cool-down -----------------------------------------------------------------------
+
+def cooldown_writer(spark: SparkSession, path: str, minutes: int = 15) -> Callable[[DataFrame, int], None]:
+    """Cool-down over a stream of evaluated alerts ``(rule, fired_at)``.
+
+    What was sent before is read from the earlier batches' output: at most one row per rule
+    and pause.
+    """
+    schema = "rule string, fired_at timestamp, batch bigint"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        last = None
+        if batch_id > 0:
+            sent = spark.read.schema(schema).parquet(path).where(F.col("batch") < batch_id)
+            last = sent.groupBy("rule").agg(F.max("fired_at").alias("last_sent"))
+        out = monitoring.cooldown(batch, minutes, max_per_hour=None, last_sent=last)
+        out.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
