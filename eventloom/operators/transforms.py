@@ -74,11 +74,11 @@ def cast_fields(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
 def cast_errors(df: DataFrame, spec: Mapping[str, str]) -> Column:
     """Reasons for rows of the *uncast* frame, e.g. ``user_id is not int32``."""
     reasons = [
-        F.when(F.col(n).isNotNull() & _cast(F.col(n), k).isNull(), F.lit(f"{n} is not {k}"))
+        F.when(F.col(n).isNotNull() & _cast(F.col(n), k).isNull(), f"{n} is not {k}").otherwise("")
         for n, k in spec.items()
         if n in df.columns
     ]
-    return F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+    return F.array_remove(F.array(*reasons, F.lit("")), "")
 
 
 def extract_field(df: DataFrame, path: str) -> DataFrame:
@@ -168,8 +168,7 @@ def rejected_rows(split: DataFrame) -> DataFrame:
     return split.where(F.col("error_reason").isNotNull())
 
 
-def first_errors(df: DataFrame, checks: Iterable[tuple[str, Column]]) -> Column:
+def broken_checks(checks: Iterable[tuple[str, Column]]) -> Column:
     """Reasons of the checks that do not hold; an unknown check does not hold."""
-    return F.array_compact(
-        F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks])
-    )
+    broken = [F.when(F.coalesce(ok, F.lit(False)), "").otherwise(name) for name, ok in checks]
+    return F.array_remove(F.array(*broken), "")

@@ -15,8 +15,9 @@ OPTIONAL = ("properties", "session_id", "user_agent")
 
 def with_rules(df: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
     """``rules``: (name, condition that holds on a valid row); unknown means broken."""
-    broken = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules]
-    return df.withColumn("errors", F.array_compact(F.array(*broken))).withColumn(
+    # array_remove, unlike array_compact, is compiled, and so are the rules inside it.
+    broken = [F.when(F.coalesce(ok, F.lit(False)), "").otherwise(name) for name, ok in rules]
+    return df.withColumn("errors", F.array_remove(F.array(*broken), "")).withColumn(
         "is_valid", F.size("errors") == 0
     )
 
@@ -48,11 +49,16 @@ def validate_json_schema(df: DataFrame, column: str = "value") -> DataFrame:
     number = F.try_variant_get(doc, "$.timestamp", "decimal(38,6)")
     whole = (time_type == "BIGINT") | (time_type.startswith("DECIMAL") & (F.floor(number) == number))
     entries = F.from_json(F.get_json_object(source, "$.properties"), "map<string,variant>")
-    text_values = F.forall(
+    each_text = F.forall(
         F.map_values(entries), lambda v: F.coalesce(F.schema_of_variant(v), F.lit("")) == "STRING"
     )
+    # Plain keys with text values show in the type's name; only other objects are opened.
+    properties_type = F.coalesce(_type_of(doc, "properties"), F.lit(""))
+    text_values = F.when(
+        properties_type.rlike("^OBJECT<(\\w+: STRING(, \\w+: STRING)*)?>$"), True
+    ).otherwise(each_text)
     no_properties = ~F.array_contains(keys, "properties")
-    is_object = F.coalesce(_type_of(doc, "properties"), F.lit("")).startswith("OBJECT")
+    is_object = properties_type.startswith("OBJECT")
     rules = [
         ("not_json", doc.isNotNull()),
         ("not_object", keys.isNotNull()),

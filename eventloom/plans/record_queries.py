@@ -129,8 +129,8 @@ def _(t: Tables):
     FROM user_events""")
 def _(t: Tables):
     rows = t.user_events.select("event_id", "event_type")
-    errors = transforms.first_errors(
-        rows, [("event_type", F.col("event_type") != "error"), ("event_id", F.col("event_id") % 50 != 0)]
+    errors = transforms.broken_checks(
+        [("event_type", F.col("event_type") != "error"), ("event_id", F.col("event_id") % 50 != 0)]
     )
     return transforms.split_rejects(rows, errors)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,8 +26,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int = 8, memory: str = "8g", name: str = "eventloom") -> SparkSession:
-    """A single-JVM session for tests and the bench."""
+def local_session(
+    cpus: int = 8, memory: str = "8g", name: str = "eventloom", **conf: str
+) -> SparkSession:
+    """A single-JVM session for tests and the bench; ``conf`` keys use ``__`` for a dot."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
@@ -37,13 +38,17 @@ def local_session(cpus: int = 8, memory: str = "8g", name: str = "eventloom") ->
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
-    for key, value in SCALE_CONF.items():
+    extra = {key.replace("__", "."): value for key, value in conf.items()}
+    for key, value in {**SCALE_CONF, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -53,8 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="eventloom-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="eventloom-")
+    return _LOCAL_ROOTS[context.applicationId]
