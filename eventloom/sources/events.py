@@ -90,18 +90,18 @@ def from_user_event(df: DataFrame) -> DataFrame:
     )
 
 
-def _has_format(spark: SparkSession, class_name: str) -> bool:
+def has_source(spark: SparkSession, name: str) -> bool:
+    """Whether a data source's connector is on the class path."""
+    lookup = spark._jvm.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource
     try:
-        spark._jvm.java.lang.Class.forName(
-            class_name, False, spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
-        )
+        lookup(name, spark._jsparkSession.sessionState().conf())
     except Exception:
         return False
     return True
 
 
 def kafka_available(spark: SparkSession) -> bool:
-    return _has_format(spark, "org.apache.spark.sql.kafka010.KafkaSourceProvider")
+    return has_source(spark, "kafka")
 
 
 def event_stream(

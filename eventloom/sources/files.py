@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.java_gateway import JavaClass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 from eventloom.sources.events import (
     CORRUPT,
     USER_EVENT_SCHEMA,
-    _has_format,
+    has_source,
     with_corrupt,
 )
 
@@ -72,11 +73,11 @@ def read_xml(
 
 
 def avro_available(spark: SparkSession) -> bool:
-    return _has_format(spark, "org.apache.spark.sql.avro.AvroFileFormat")
+    return has_source(spark, "avro")
 
 
 def protobuf_available(spark: SparkSession) -> bool:
-    return _has_format(spark, "org.apache.spark.sql.protobuf.ProtobufDataToCatalyst")
+    return isinstance(spark._jvm.org.apache.spark.sql.protobuf.functions, JavaClass)
 
 
 def _require(present: bool, package: str) -> None:
