@@ -15,6 +15,11 @@ from eventloom.operators import skew
 _CARRY, _VERSION, _EVENT = -1, 0, 1
 
 
+# A version table up to this size, with few versions per key, is broadcast.
+SMALL_ROWS = 500_000
+SMALL_VERSIONS = 32
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -25,23 +30,76 @@ def asof_join(
     how: str = "inner",
     tie_break: str | None = None,
     tolerance_seconds: int | None = None,
-    slot_seconds: int = 3600,
-    hot_floor: int = skew.HOT_FLOOR,
-    hot_share: int = skew.HOT_SHARE,
+    strategy: str = "auto",
+    **options: int,
 ) -> DataFrame:
     """Adds ``values`` of the newest ``right`` row with ``right_ts <= left_ts`` to each left row.
 
-    Both sides go through one shuffle on the key; the last non-null version seen so far is a
-    running value, so the work is linear in the rows of both sides whatever the number of
-    versions. Rows of hot keys are cut into time slots; a slot starts from the newest version
-    of the earlier slots, found on one pre-aggregated row per (key, slot).
+    ``strategy``: ``"broadcast"`` joins against validity intervals without shuffling the left
+    side, ``"shuffle"`` orders both sides per key; ``"auto"`` counts the right side first and
+    broadcasts only below ``SMALL_ROWS`` rows and ``SMALL_VERSIONS`` versions of any key.
 
     ``how="left"`` keeps left rows without a version (and those with a NULL key).
     ``tie_break`` orders right rows of the same key and time. With ``tolerance_seconds`` a
-    version older than that does not match.
+    version older than that does not match. ``options`` go to ``_ordered_join``.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    columns = (key, left_ts, right_ts, values, how, tie_break, tolerance_seconds)
+    if strategy == "broadcast" or (strategy == "auto" and is_small(right, key)):
+        return _interval_join(left, right, *columns)
+    return _ordered_join(left, right, *columns, **options)
+
+
+def is_small(right: DataFrame, key: str) -> bool:
+    """Whether the version table may be broadcast. Counting stops just above the limit."""
+    some = right.select(key).limit(SMALL_ROWS + 1)
+    per_key = some.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total, most = per_key.agg(F.sum("n"), F.max("n")).first()
+    return (total or 0) <= SMALL_ROWS and (most or 0) <= SMALL_VERSIONS
+
+
+def _interval_join(
+    left, right, key, left_ts, right_ts, values, how, tie_break, tolerance_seconds
+) -> DataFrame:
+    """Broadcast join on key and validity interval; the intervals of a key do not overlap."""
+    order = [right_ts, *([tie_break] if tie_break else [])]
+    following = F.lead(right_ts).over(Window.partitionBy(key).orderBy(*order))
+    intervals = right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull()).select(
+        F.col(key).alias("_key"),
+        micros(right_ts).alias("_from"),
+        micros(following).alias("_to"),
+        F.struct(*values).alias("_values"),
+    )
+    at = micros(left_ts)
+    valid = (at >= F.col("_from")) & (F.col("_to").isNull() | (at < F.col("_to")))
+    if tolerance_seconds is not None:
+        valid = valid & (at - F.col("_from") <= F.lit(tolerance_seconds * MICROS))
+    joined = left.join(F.broadcast(intervals), (left[key] == F.col("_key")) & valid, how)
+    return joined.select(*[left[c] for c in left.columns], *[F.col(f"_values.{c}") for c in values])
+
+
+def _ordered_join(
+    left,
+    right,
+    key,
+    left_ts,
+    right_ts,
+    values,
+    how,
+    tie_break,
+    tolerance_seconds,
+    slot_seconds: int = 3600,
+    hot_floor: int = skew.HOT_FLOOR,
+    hot_share: int = skew.HOT_SHARE,
+) -> DataFrame:
+    """Both sides go through one shuffle on the key; the last non-null version seen so far is
+    a running value, so the work is linear in the rows of both sides whatever the number of
+    versions. Rows of hot keys are cut into time slots; a slot starts from the newest version
+    of the earlier slots, found on one pre-aggregated row per (key, slot).
+    """
     known = F.col(key).isNotNull()
     keyed = left.where(known & F.col(left_ts).isNotNull())
     versions = right.where(known & F.col(right_ts).isNotNull())
@@ -49,8 +107,7 @@ def asof_join(
     hot = skew.hot_keys(
         keyed.select(key).unionAll(versions.select(F.col(key))), key, hot_floor, hot_share
     )
-    width = slot_seconds * MICROS
-    slot = F.when(F.col("_hot"), skew.slot_of(F.col("_at"), width))
+    in_slot = skew.slot_of(F.col("_at"), slot_seconds * MICROS)
 
     payload = F.struct(*[F.col(c) for c in left.columns])
     version = F.struct(F.col(right_ts).alias("_from"), *[F.col(c) for c in values])
@@ -70,11 +127,16 @@ def asof_join(
         sequence.alias("_seq"),
         version.alias("_version"),
     )
-    events = skew.tag_hot(events, hot, "_key").withColumn("_slot", slot)
-    dims = skew.tag_hot(dims, hot, "_key").withColumn("_slot", slot)
-    carry = _carried_versions(events.where("_hot"), dims.where("_hot"))
+    # A semi join with an empty hot list is dropped at run time, and this branch with it.
+    carry = _carried_versions(
+        skew.only_hot(events, hot, "_key").withColumn("_slot", in_slot),
+        skew.only_hot(dims, hot, "_key").withColumn("_slot", in_slot),
+    )
 
     columns = ["_key", "_slot", "_at", "_rank", "_seq"]
+    slot = F.when(F.col("_hot"), in_slot)
+    events = skew.tag_hot(events, hot, "_key").withColumn("_slot", slot)
+    dims = skew.tag_hot(dims, hot, "_key").withColumn("_slot", slot)
     stacked = (
         events.select(*columns, "_row")
         .unionByName(dims.select(*columns, "_version"), allowMissingColumns=True)

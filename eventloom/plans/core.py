@@ -172,12 +172,18 @@ def _(t: Tables):
 
 @query("user_enrichment_split_keys", f"SELECT {_ENRICHED} FROM enriched")
 def _(t: Tables):
-    """The same join with every busy user treated as hot and cut into day slots."""
+    """The ordered join with every busy user treated as hot and cut into day slots."""
     return enrich.enrich_events(
-        t.user_events, t.users, hot_floor=40, slot_seconds=86400
+        t.user_events, t.users, strategy="shuffle", hot_floor=40, slot_seconds=86400
     )
 
 
+@query("user_enrichment_shuffled", f"SELECT {_ENRICHED} FROM enriched_left")
+def _(t: Tables):
+    """The plan for a version table of any size."""
+    return enrich.enrich_events(t.user_events, t.users, how="left", strategy="shuffle")
+
+
 @query("src_compacted_latest", """
     SELECT user_id, ver, valid_from, user_name, user_tier FROM users_latest""")
 def _(t: Tables):

@@ -30,9 +30,13 @@ def write_table(
 
 
 def write_by_date(df: DataFrame, path: str, ts: str, column: str = "event_date") -> None:
-    """One folder per day, so that readers and retention prune by it."""
+    """One folder per day, so that readers and retention prune by it.
+
+    Rebalancing gathers a day's rows into few files, and AQE splits a day that is too large
+    for one task.
+    """
     dated = df.withColumn(column, F.date_format(F.col(ts), "yyyy-MM-dd"))
-    dated.write.mode("append").partitionBy(column).parquet(path)
+    dated.hint("rebalance", column).write.mode("append").partitionBy(column).parquet(path)
 
 
 def write_lines(df: DataFrame, path: str, as_json: bool = True) -> None:

@@ -9,9 +9,11 @@ a batch repeated after a failure replaces its own output.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventloom.operators import flow, monitoring, windows
@@ -236,47 +238,46 @@ def anomaly_writer(
 ) -> Callable[[DataFrame, int], None]:
     """Continuous anomaly detection: an event is judged when the watermark has passed it.
 
-    Under ``root``: ``events`` holds accepted events by batch and day, ``watermark`` one row
+    Under ``root``: ``events`` holds accepted events by day and batch, ``watermark`` one row
     per batch, ``late`` the events behind the watermark on arrival, ``flagged`` the result. A
-    batch reads the last day of events only (pruned by day) and runs the batch operator.
+    batch reads the folders of the last day of events only and runs the batch operator;
+    ``purge_dated`` may drop older folders.
     """
-    schema = "watermark timestamp, batch bigint"
+    marks = "watermark timestamp, batch bigint"
 
-    def previous_watermark(batch_id: int):
+    def previous_watermark(batch_id: int) -> datetime | None:
         if batch_id == 0:
             return None
-        rows = (
-            spark.read.schema(schema).parquet(f"{root}/watermark").where(F.col("batch") < batch_id)
-            .agg(F.max("watermark")).first()
-        )
-        return rows[0]
+        rows = spark.read.schema(marks).parquet(f"{root}/watermark")
+        return rows.where(F.col("batch") < batch_id).agg(F.max("watermark")).first()[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         before = previous_watermark(batch_id)
+        at = F.col("event_timestamp")
         slim = batch.select("event_id", "user_id", "event_timestamp", "event_type", "payload")
-        slim = slim.withColumn("event_date", F.to_date("event_timestamp"))
-        seen = F.lit(False) if before is None else F.col("event_timestamp") <= F.lit(before)
-        slim.where(~seen).write.mode("overwrite").partitionBy("event_date").parquet(
-            f"{root}/events/batch={batch_id}"
+        seen = F.lit(False) if before is None else at <= F.lit(before)
+        accepted = slim.where(~seen).withColumns(
+            {"event_date": F.to_date(at), "batch": F.lit(batch_id)}
+        )
+        (
+            accepted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_date", "batch").parquet(f"{root}/events")
         )
         slim.where(seen).write.mode("overwrite").parquet(f"{root}/late/batch={batch_id}")
 
-        newest = batch.agg(F.max("event_timestamp")).first()[0]
-        reached = None if newest is None else _earlier(newest, delay_seconds)
+        newest = batch.agg(F.max(at)).first()[0]
+        reached = None if newest is None else newest - timedelta(seconds=delay_seconds)
         now = max((w for w in (before, reached) if w is not None), default=None)
         spark.createDataFrame([(now,)], "watermark timestamp").write.mode("overwrite").parquet(
             f"{root}/watermark/batch={batch_id}"
         )
         if now is None or now == before:
             return
-        at = F.col("event_timestamp")
-        known = spark.read.option("basePath", f"{root}/events").parquet(f"{root}/events/batch=*")
+        horizon = None if before is None else before - timedelta(seconds=DAY)
+        known = _days(spark, f"{root}/events", slim.schema, horizon, now)
         known = known.where((F.col("batch") <= batch_id) & (at <= F.lit(now)))
-        if before is not None:
-            horizon = _earlier(before, DAY)
-            known = known.where(
-                (at >= F.lit(horizon)) & (F.col("event_date") >= F.lit(horizon.date()))
-            )
+        if horizon is not None:
+            known = known.where(at >= F.lit(horizon))
         judged = anomaly_detection(known, keep=("event_id",), **options)
         if before is not None:
             judged = judged.where(at > F.lit(before))
@@ -285,12 +286,18 @@ def anomaly_writer(
     return write
 
 
-def _earlier(moment, seconds: int):
-    from datetime import timedelta
-
-    return moment - timedelta(seconds=seconds)
-
-
+def _days(
+    spark: SparkSession, path: str, schema: T.StructType, first: datetime | None, last: datetime
+) -> DataFrame:
+    """Event folders from the day of ``first`` on; only those folders are listed."""
+    full = T.StructType(
+        [*schema.fields, T.StructField("event_date", T.DateType()), T.StructField("batch", T.LongType())]
+    )
+    reader = spark.read.schema(full).option("basePath", path)
+    if first is None:
+        return reader.parquet(path)
+    days = [first.date() + timedelta(days=i) for i in range((last.date() - first.date()).days + 1)]
+    return reader.parquet(f"{path}/event_date={{{','.join(map(str, days))}}}")
 
 
 # --- alert cool-down -----------------------------------------------------------------------

@@ -224,3 +224,27 @@ def test_purge_drops_old_day_folders(spark, tmp_path):
     sinks.write_by_date(table, path, "t")
     assert sinks.purge_dated(spark, path, "2024-01-03") == ["event_date=2024-01-01", "event_date=2024-01-02"]
     assert spark.read.parquet(path).count() == 3
+
+
+def test_file_streams(spark, tmp_path):
+    sent = generators.user_events(spark, users=4, events_per_user=5)
+    sinks.write_lines(sent, str(tmp_path / "topics" / "events"))
+    sources = [
+        event_sources.event_file_stream(spark, str(tmp_path / "topics" / "events")),
+        event_sources.object_store(
+            spark, str(tmp_path), event_sources.EVENT_SCHEMA, streaming=True, topics_dir="topics"
+        ),
+    ]
+    for i, stream in enumerate(sources):
+        name = f"files_{i}"
+        query = stream.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert rows(spark.table(name)) == rows(sent.select(*stream.columns))
+    with pytest.raises(ValueError):
+        event_sources.object_store(spark, "x", event_sources.EVENT_SCHEMA, "orc")
+
+
+def test_kafka_is_gated(spark):
+    if not event_sources.kafka_available(spark):
+        with pytest.raises(Exception, match="(?i)kafka"):
+            event_sources.event_stream(spark, "localhost:9092", "t")
