@@ -54,9 +54,8 @@ def asof_join(
 
 
 def is_small(right: DataFrame, key: str) -> bool:
-    """Whether the version table may be broadcast. Counting stops just above the limit."""
-    some = right.select(key).limit(SMALL_ROWS + 1)
-    per_key = some.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    """Whether the version table may be broadcast: one count per key over the key column."""
+    per_key = right.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     total, most = per_key.agg(F.sum("n"), F.max("n")).first()
     return (total or 0) <= SMALL_ROWS and (most or 0) <= SMALL_VERSIONS
 

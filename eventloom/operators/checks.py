@@ -262,7 +262,7 @@ def window_boundaries(hourly: DataFrame, minutes: int = 60) -> DataFrame:
 
 
 def late_data(enriched: DataFrame, late_after: int = 60, maximum: float = 5) -> DataFrame:
-    """Late rows are on time too by the reference's rule; the two counts overlap."""
+    """By this rule late rows are on time too; the two counts overlap."""
     m = _both_times(enriched).agg(
         _rows().alias("total_events"),
         F.count_if(F.col("event_time") < F.col("processing_time")).alias("on_time_events"),

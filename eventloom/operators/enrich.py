@@ -81,7 +81,8 @@ def transform_users(users: DataFrame) -> DataFrame:
 def attribute_purchases(events: DataFrame, within_seconds: int = 3600, **options) -> DataFrame:
     """Join of two event streams: each purchase with the user's latest view at most an hour old.
 
-    One row per purchase, so a busy user does not turn into all pairs of its events.
+    One row per purchase, so a busy user does not turn into all pairs of its events. Both
+    sides are events, so neither is a candidate for a broadcast.
     """
     purchases = events.where(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("purchase_id"),
@@ -93,7 +94,7 @@ def attribute_purchases(events: DataFrame, within_seconds: int = 3600, **options
     )
     joined = asof_join(
         purchases, views, "user_id", "purchase_time", "view_time", ("view_id", "view_time"),
-        tie_break="view_id", tolerance_seconds=within_seconds, **options,
+        tie_break="view_id", tolerance_seconds=within_seconds, **{"strategy": "shuffle", **options},
     )
     return joined.withColumn(
         "seconds_to_purchase", exprs.elapsed("SECOND", F.col("view_time"), F.col("purchase_time"))

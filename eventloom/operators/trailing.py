@@ -35,8 +35,7 @@ def trailing_counts(
     hot_share: int = 10 * skew.HOT_SHARE,
 ) -> DataFrame:
     """Adds one column per entry of ``counts`` (name -> seconds) and of ``distinct``
-    (name -> (column, seconds)). Rows without a time are dropped, as in the reference's
-    event-time order.
+    (name -> (column, seconds)). Rows without a time are dropped.
     """
     timed = df.where(F.col(ts).isNotNull())
     hot = skew.hot_keys(timed, key, hot_floor, hot_share)

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from eventloom.operators import checks
-from eventloom.plans.catalog import Tables, query
-from eventloom.plans.core import MONITOR_SQL  # noqa: F401  (the monitor is registered in core)
+from eventloom.plans.catalog import ORACLES, Tables, query
 
 
 def _mean(column: str) -> str:
@@ -355,12 +354,30 @@ def all_checks(t: Tables):
     ]
 
 
-@query("union_checks")
+# Oracle names in the order of all_checks, with the checks' verdict columns.
+_VERDICTS = {
+    "chk_throughput": "performance_test_result",
+    "chk_latency": "latency_test_result",
+    "chk_resource": "resource_test_result",
+    "chk_window_bounds": "window_test_result",
+    "chk_late_data": "late_data_test_result",
+    "chk_event_time": "event_time_test_result",
+    "chk_join_accuracy": "join_test_result",
+    "chk_aggregation": "aggregation_test_result",
+    "chk_data_types": "data_type_test_result",
+    "chk_quality_comprehensive": "comprehensive_test_result",
+}
+
+
+@query("union_checks", " UNION ALL ".join(
+    f'SELECT test_name, {_VERDICTS.get(name, "test_result")} AS "result" FROM ({sql})'
+    for name, sql in ORACLES.items() if name.startswith("chk_")))
 def _(t: Tables):
     """All checks stacked. The derived tables are written once and read by every check."""
     saved = materialised(t)
     found = all_checks(saved)
-    return checks.union_checks([df for df, _ in found], [v for _, v in found])
+    stacked = checks.union_checks([df for df, _ in found], [v for _, v in found])
+    return stacked.select("test_name", "result")
 
 
 def materialised(t: Tables) -> Tables:

@@ -61,7 +61,7 @@ def _(t: Tables):
 
 
 @query("smt_insert_static", """
-    SELECT event_id, 'confluent-cloud' AS source, epoch_us(processing_time) // 1000 AS log_timestamp
+    SELECT event_id, 'event-platform' AS source, epoch_us(processing_time) // 1000 AS log_timestamp
     FROM user_events""")
 def _(t: Tables):
     properties = {
@@ -69,7 +69,7 @@ def _(t: Tables):
         "transforms.addFields.type": "InsertField$Value",
         "transforms.addFields.timestamp.field": "log_timestamp",
         "transforms.addFields.static.field": "source",
-        "transforms.addFields.static.value": "confluent-cloud",
+        "transforms.addFields.static.value": "event-platform",
     }
     rows = t.user_events.select("event_id", "processing_time")
     chained = transforms.apply_chain(rows, properties, F.col("processing_time"))

@@ -39,7 +39,9 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
     extra = {key.replace("__", "."): value for key, value in conf.items()}
-    for key, value in {**SCALE_CONF, **extra}.items():
+    # On one machine even small shuffles should use all cores.
+    small = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+    for key, value in {**SCALE_CONF, **small, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
