@@ -60,7 +60,7 @@ def integrity(source: DataFrame, sink: DataFrame, key: str, fields: Sequence[str
 
 
 def ordering(
-    df: DataFrame, key: str, sequence: str, arrival: str, slot_seconds: int = 3600
+    df: DataFrame, key: str, sequence: str, arrival: str, slot_seconds: int = 60
 ) -> DataFrame:
     """Per key: how often the sequence falls from one arrival to the next.
 

@@ -23,6 +23,10 @@ from eventloom.functions.exprs import MICROS, micros
 from eventloom.operators import skew
 from eventloom.operators.windows import merge_gaps
 
+# Above this many rows a key is worth the running sums: a sliding frame over it could cost
+# the square of its rows.
+DENSE_FLOOR = 20_000
+
 
 def trailing_counts(
     df: DataFrame,
@@ -31,7 +35,7 @@ def trailing_counts(
     counts: Mapping[str, int],
     distinct: Mapping[str, tuple[str, int]],
     slot_seconds: int = 300,
-    hot_floor: int = skew.HOT_FLOOR // 10,
+    hot_floor: int = DENSE_FLOOR,
     hot_share: int = 10 * skew.HOT_SHARE,
 ) -> DataFrame:
     """Adds one column per entry of ``counts`` (name -> seconds) and of ``distinct``

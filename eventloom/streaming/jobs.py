@@ -172,7 +172,11 @@ def with_validity(users: DataFrame) -> DataFrame:
 
 
 def enrich_stream(events: DataFrame, users: DataFrame, how: str = "inner") -> DataFrame:
-    """Stream against a finished version history. At most one version matches an event."""
+    """Stream against a finished version history. At most one version matches an event.
+
+    The join looks at all versions of an event's user, so this is for users with few versions;
+    ``enrich_writer`` has no such limit.
+    """
     versions = with_validity(users).select(
         F.col("user_id").alias("_user"),
         F.col("valid_from").cast("timestamp").alias("_from"),
