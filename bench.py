@@ -43,6 +43,9 @@ HEADLINE = (
     "gate_evaluate",
 )
 
+# These transform customer records; everything else reads the events.
+CUSTOMER_QUERIES = {"smt_rename", "smt_cast", "smt_extract", "smt_chain"}
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -50,7 +53,9 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, memory=os.environ.get("BENCH_MEMORY", "8g"), name="bench")
     queries = all_queries()
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    events, customers = (
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").count() for table in ("events", "customer")
+    )
     seconds: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name in names:
@@ -62,7 +67,7 @@ def main() -> None:
             taken = time.perf_counter() - started
             best = taken if best is None else min(best, taken)
         seconds[name] = round(best, 3)
-        rows[name] = round(events / best)
+        rows[name] = round((customers if name in CUSTOMER_QUERIES else events) / best)
     print(
         json.dumps(
             {
@@ -70,7 +75,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "events_per_second": rows,
+                "input_rows_per_second": rows,
                 "sf": sf_dir.rsplit("sf", 1)[-1],
             }
         )
