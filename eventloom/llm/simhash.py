@@ -31,6 +31,7 @@ BITS = 64
 NO_ID = -(1 << 63)
 STEP = 4  # bits a walk in a task descends at once
 LEAVES = 1024  # a pair of nodes with so many leaf pairs is compared leaf by leaf
+FIRST_BITS = 5  # at least 32 nodes, some 500 pairs
 FRONTIER = 1 << 20  # node or leaf pairs in memory at once
 
 
@@ -218,30 +219,24 @@ def _node_pairs(leaves: DataFrame, budget: int, most: int, stride: int) -> DataF
 
     All leaf pairs within the budget are below exactly one of them.
     """
-    spark = leaves.sparkSession
-    light = None
-    zero = F.lit(0).cast("long")
     total = leaves.count()
-    frontier = spark.range(1).select(zero.alias("u"), zero.alias("v"), F.lit(2 * total).alias("n"))
-    depth = 0
+    # Deep enough at once that nodes of even size stay well below the bound together, and that
+    # there is a pair of nodes for every core even where one pair could hold all leaves.
+    first = max(FIRST_BITS, (4 * total // most).bit_length())
+    light, heavy, depth, nxt = None, None, 0, min(BITS, first)
     while True:
-        kept = frontier.filter(F.col("n") <= most).select("u", "v", F.lit(depth).alias("depth"))
-        light = kept if light is None else light.union(kept)
-        heavy = frontier.filter(F.col("n") > most)
-        if depth == BITS or heavy.limit(1).count() == 0:
-            return light
-        # The upper bits of many leaves are split at once as far as equal halves would need.
-        wanted = stride if depth else max(stride, min(24, (2 * total // most).bit_length()))
-        nxt = min(BITS, depth + wanted)
         nodes = leaves.groupBy(_prefix(F.col("fp"), nxt).alias("node")).agg(F.count(F.lit(1)).alias("size"))
         nodes = stored(nodes.withColumn("above", _prefix(F.col("node"), depth)), "trie-nodes")
         left = nodes.select(F.col("above").alias("u"), F.col("node").alias("nu"), F.col("size").alias("size_u"))
         right = nodes.select(F.col("node").alias("nv"), F.col("size").alias("size_v"))
+        if heavy is None:
+            started = left.withColumn("v", F.lit(0).cast("long"))
+        else:
+            started = heavy.select("u", "v").join(left, "u")
         # v's child: v's prefix, and below it u's bits with a few of them flipped.
         seg = _prefix(F.lit(-1).cast("long"), nxt).bitwiseXOR(_prefix(F.lit(-1).cast("long"), depth))
         paired = (
-            heavy.select("u", "v").join(left, "u")
-            .withColumn("mask", F.explode(_masks(depth, nxt, budget)))
+            started.withColumn("mask", F.explode(_masks(depth, nxt, budget)))
             .withColumn("nv", F.col("v").bitwiseOR(F.col("nu").bitwiseAND(seg)).bitwiseXOR(F.col("mask")))
             .filter(F.bit_count(F.col("nu").bitwiseXOR(F.col("nv"))) <= budget)
             .filter((F.col("u") != F.col("v")) | (F.col("nu") <= F.col("nv")))
@@ -252,10 +247,16 @@ def _node_pairs(leaves: DataFrame, budget: int, most: int, stride: int) -> DataF
             ),
             "trie-pairs",
         )
-        depth = nxt
+        depth, nxt = nxt, min(BITS, nxt + stride)
+        at_bottom = depth == BITS
+        kept = frontier.filter(F.lit(at_bottom) | (F.col("n") <= most)).select("u", "v", F.lit(depth).alias("depth"))
+        light = kept if light is None else light.union(kept)
+        heavy = frontier.filter(F.col("n") > most)
+        if at_bottom or heavy.limit(1).count() == 0:
+            return light
 
 
-def near_links(leaves: DataFrame, budget: int = 4, most: int = 8192, stride: int = 6) -> DataFrame:
+def near_links(leaves: DataFrame, budget: int = 4, most: int = 1 << 15, stride: int = 3) -> DataFrame:
     """Links ``a, b`` that connect all fingerprints ``fp`` (distinct) at most ``budget`` bits apart.
 
     ``most`` bounds the leaves a task walks at once.
