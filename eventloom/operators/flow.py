@@ -125,7 +125,7 @@ def delivery_sla(
     late = elapsed("SECOND", produced, delivered)
     m = df.agg(
         _count().alias("delivered"),
-        F.count_if(late <= seconds).alias("within_sla"),
+        F.count_if(micros(delivered) - micros(produced) <= seconds * MICROS).alias("within_sla"),
         F.max(late).alias("max_delay_seconds"),
         ratio(F.sum(late), F.count(late)).alias("avg_delay_seconds"),
     )
@@ -148,10 +148,14 @@ def partition_balance(
 def consumer_lag(
     produced: DataFrame, committed: DataFrame, partition: str = "partition", offset: str = "offset"
 ) -> DataFrame:
-    """Newest produced minus newest committed offset; a partition without commit lags fully."""
+    """Newest produced minus newest committed offset for every group and partition; a partition in
+    which a group has committed nothing lags fully. Groups are a few configured names, and are
+    known by their commits; ``partition`` may be a topic's partition in one column."""
     ends = produced.groupBy(partition).agg(F.max(offset).alias("end_offset"))
     done = committed.groupBy("consumer_group", partition).agg(F.max("committed").alias("committed"))
-    return ends.join(done, partition, "left").withColumn(
+    groups = done.agg(F.collect_set("consumer_group").alias("groups"))
+    wanted = ends.withColumn("consumer_group", F.explode(groups.scalar()))
+    return wanted.join(done, ["consumer_group", partition], "left").withColumn(
         "lag", F.col("end_offset") - F.coalesce("committed", F.lit(-1).cast("bigint"))
     )
 
@@ -159,8 +163,9 @@ def consumer_lag(
 def late_split(events: DataFrame, delay_seconds: int = 5) -> DataFrame:
     """Adds ``late_by_seconds`` and ``is_late`` (arrived more than the delay after it happened)."""
     late_by = elapsed("SECOND", "event_timestamp", "processing_time")
+    over = micros("processing_time") - micros("event_timestamp") > delay_seconds * MICROS
     return events.withColumn("late_by_seconds", late_by).withColumn(
-        "is_late", F.coalesce(F.col("late_by_seconds") > delay_seconds, F.lit(False))
+        "is_late", F.coalesce(over, F.lit(False))
     )
 
 

@@ -64,15 +64,17 @@ def long_metrics(metrics: DataFrame) -> DataFrame:
 
 
 def evaluate(metrics: DataFrame, gates: DataFrame) -> DataFrame:
-    """PASS or FAIL per metric that has a gate. Gates are a few configured rows."""
+    """PASS, FAIL or, for a gate without a metric, MISSING. Gates are a few configured rows."""
     ok = holds(F.col("value"), F.col("bound"), F.col("threshold"))
-    return metrics.join(F.broadcast(gates), "metric").select(
-        "metric", "value", "bound", "threshold", "blocking", verdict(ok).alias("result")
+    result = F.when(F.col("value").isNull(), "MISSING").otherwise(verdict(ok))
+    return gates.join(metrics, "metric", "left").select(
+        "metric", "value", "bound", "threshold", "blocking", result.alias("result")
     )
 
 
 def overall(evaluated: DataFrame) -> DataFrame:
-    failed = F.col("result") == "FAIL"
+    """A blocking gate that is not passed, be it failed or missing, fails the whole."""
+    failed = F.col("result") != "PASS"
     return evaluated.agg(
         F.count(F.lit(1)).alias("gates"),
         F.count_if(failed).alias("failed"),
@@ -101,16 +103,18 @@ def perf_regression(
     current: DataFrame, baseline: DataFrame,
     limits: Sequence[tuple[str, str, float]] = REGRESSION_LIMITS,
 ) -> DataFrame:
-    """Change in percent per metric; ``max`` bounds a rise, ``min`` a fall."""
+    """Change in percent per metric; ``max`` bounds a rise, ``min`` a fall. A metric without a pair
+    of values is MISSING."""
     spark = current.sparkSession
     rules = spark.createDataFrame(list(limits), "metric string, bound string, limit_pct double")
-    joined = current.join(baseline.withColumnRenamed("value", "baseline"), "metric").join(
-        F.broadcast(rules), "metric"
+    joined = rules.join(current, "metric", "left").join(
+        baseline.withColumnRenamed("value", "baseline"), "metric", "left"
     )
     change = percent(F.col("value") - F.col("baseline"), F.col("baseline"))
     return joined.withColumn("change_pct", change).select(
         "metric", "value", "baseline", "change_pct", "bound", "limit_pct",
-        verdict(holds(change, F.col("bound"), F.col("limit_pct"))).alias("result"),
+        F.when(change.isNull(), "MISSING")
+        .otherwise(verdict(holds(change, F.col("bound"), F.col("limit_pct")))).alias("result"),
     )
 
 

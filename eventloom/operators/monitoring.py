@@ -23,7 +23,8 @@ JOBS = "kafka/flink"
 def category(pattern: str) -> Column:
     """Condition on the source category; ``*`` stands for any text."""
     column = F.col("source_category")
-    return column.like(pattern.replace("*", "%")) if "*" in pattern else column == pattern
+    escaped = pattern.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
+    return column.like(escaped.replace("*", "%")) if "*" in pattern else column == pattern
 
 
 def parse(logs: DataFrame, source: str, fields: dict[str, str]) -> DataFrame:
@@ -212,9 +213,9 @@ def histogram(df: DataFrame, value: Column, buckets: Sequence[float]) -> DataFra
 def evaluate_rules(values: DataFrame, rules: DataFrame) -> DataFrame:
     """``values(rule, value)`` against ``rules(rule, comparison, threshold, severity)``.
 
-    Rules are configuration, a handful of rows built on the driver, hence the broadcast.
+    Rules are configuration, a handful of rows. A rule without a value stays, its ``fires`` null.
     """
-    joined = values.join(F.broadcast(rules), "rule")
+    joined = rules.join(values, "rule", "left")
     fires = compare(F.col("value"), F.col("comparison"), F.col("threshold"))
     return joined.withColumn("fires", fires)
 

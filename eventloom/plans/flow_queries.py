@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from eventloom.functions.exprs import micros
 from eventloom.operators import checks, flow, gates
 from eventloom.plans.catalog import Tables, query
 from eventloom.sinks import tables as sinks
@@ -129,7 +132,16 @@ def pipeline_metrics(t: Tables):
     from_results = t.test_results.agg(
         (F.count_if(F.col("status") == "PASSED") / F.count(F.lit(1)) * 100).alias("test_success_rate"),
     )
-    return gates.long_metrics(from_enriched).unionByName(gates.long_metrics(from_results))
+    span = micros(F.max("processing_time")) - micros(F.min("processing_time"))
+    from_events = t.user_events.agg(
+        (F.count_if(F.col("event_type") == "error") / F.count(F.lit(1)) * 100).alias("data_error_rate"),
+        (F.count(F.lit(1)) / (span / 1e6)).alias("throughput_events_per_second"),
+    )
+    both = [F.max((F.col("status") == s).cast("int")) for s in ("PASSED", "FAILED")]
+    per_test = t.test_results.groupBy("test_name").agg((both[0] + both[1] == 2).alias("flaky"))
+    flaky = per_test.agg((F.count_if("flaky") / F.count(F.lit(1)) * 100).alias("flaky_test_rate"))
+    parts = [gates.long_metrics(m) for m in (from_enriched, from_results, from_events, flaky)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 _METRICS_SQL = f"""
@@ -140,6 +152,11 @@ _METRICS_SQL = f"""
     v AS (SELECT 'data_completeness' AS metric, a::DOUBLE AS "value" FROM m
       UNION ALL SELECT 'join_success_rate', b FROM m UNION ALL SELECT 'late_data_percentage', c FROM m
       UNION ALL SELECT 'processing_latency_seconds', d FROM m
+      UNION ALL SELECT 'data_error_rate', 100.0 * count(*) FILTER (event_type = 'error') / count(*) FROM user_events
+      UNION ALL SELECT 'throughput_events_per_second', count(*) / ((epoch_us(max(processing_time))
+        - epoch_us(min(processing_time))) / 1e6) FROM user_events
+      UNION ALL SELECT 'flaky_test_rate', 100.0 * count(*) FILTER (flaky) / count(*) FROM (SELECT
+        bool_or(status = 'PASSED') AND bool_or(status = 'FAILED') AS flaky FROM test_results GROUP BY test_name)
       UNION ALL SELECT 'test_success_rate', 100.0 * count(*) FILTER (status = 'PASSED') / count(*)
         FROM test_results)"""
 _GATE_ROWS = ", ".join(
@@ -149,10 +166,11 @@ _GATE_ROWS = ", ".join(
 _EVALUATED = f"""
     {_METRICS_SQL},
     g(metric, "bound", "threshold", "blocking") AS (VALUES {_GATE_ROWS}),
-    x AS (SELECT v.metric, v."value", g."bound", g."threshold", g."blocking",
+    x AS (SELECT g.metric, v."value", g."bound", g."threshold", g."blocking",
         CASE WHEN (g."bound" = 'min' AND v."value" >= g."threshold")
-          OR (g."bound" = 'max' AND v."value" <= g."threshold") THEN 'PASS' ELSE 'FAIL' END AS "result"
-      FROM v JOIN g ON v.metric = g.metric)"""
+          OR (g."bound" = 'max' AND v."value" <= g."threshold") THEN 'PASS'
+          WHEN v."value" IS NULL THEN 'MISSING' ELSE 'FAIL' END AS "result"
+      FROM g LEFT JOIN v ON v.metric = g.metric)"""
 _EVALUATED_ROWS = f"""
     WITH {_EVALUATED}
     SELECT metric, round("value", 6) AS "value", "bound", "threshold", "blocking", "result" FROM x"""
@@ -170,9 +188,9 @@ def _(t: Tables):
 
 @query("gate_overall", f"""
     WITH {_EVALUATED}
-    SELECT count(*) AS gates, count(*) FILTER ("result" = 'FAIL') AS failed,
-      count(*) FILTER ("result" = 'FAIL' AND "blocking") AS blocking_failed,
-      CASE WHEN bool_or("result" = 'FAIL' AND "blocking") THEN 'FAIL' ELSE 'PASS' END AS "result"
+    SELECT count(*) AS gates, count(*) FILTER ("result" <> 'PASS') AS failed,
+      count(*) FILTER ("result" <> 'PASS' AND "blocking") AS blocking_failed,
+      CASE WHEN bool_or("result" <> 'PASS' AND "blocking") THEN 'FAIL' ELSE 'PASS' END AS "result"
     FROM x""")
 def _(t: Tables):
     return gates.overall(
@@ -203,11 +221,12 @@ def _(t: Tables):
             - min(event_timestamp)) / 2 FROM user_events) AS cur,
           CAST(json_extract_string(payload, '$.processing_time_ms') AS DOUBLE) AS ms FROM user_events),
       v AS (SELECT 'latency' AS metric, avg(ms) FILTER (cur) AS a, avg(ms) FILTER (NOT cur) AS b FROM p
+        UNION ALL SELECT 'memory', NULL, NULL
         UNION ALL SELECT 'throughput', count(*) FILTER (cur), count(*) FILTER (NOT cur) FROM p)
     SELECT metric, round(a, 6) AS "value", round(b, 6) AS baseline, round((a - b) / b * 100, 6) AS change_pct,
-      CASE metric WHEN 'latency' THEN 'max' ELSE 'min' END AS "bound",
-      CASE metric WHEN 'latency' THEN 10.0 ELSE 0.0 END::DOUBLE AS limit_pct,
-      CASE WHEN (metric = 'latency' AND (a - b) / b * 100 <= 10)
+      CASE metric WHEN 'throughput' THEN 'min' ELSE 'max' END AS "bound",
+      CASE metric WHEN 'latency' THEN 10.0 WHEN 'memory' THEN 20.0 ELSE 0.0 END::DOUBLE AS limit_pct,
+      CASE WHEN a IS NULL OR b IS NULL THEN 'MISSING' WHEN (metric = 'latency' AND (a - b) / b * 100 <= 10)
         OR (metric = 'throughput' AND (a - b) / b * 100 >= 0) THEN 'PASS' ELSE 'FAIL' END AS "result"
     FROM v""")
 def _(t: Tables):

@@ -207,7 +207,7 @@ def rule_values(t: Tables):
       r("rule", "comparison", "threshold", severity) AS (VALUES {_RULE_ROWS})
     SELECT r."rule", r."comparison", r."threshold", severity, CAST(n AS DOUBLE) AS "value",
       CASE r."comparison" WHEN 'GreaterThan' THEN n > r."threshold" ELSE n >= r."threshold" END AS fires
-    FROM v JOIN r ON v."rule" = r."rule" """)
+    FROM r LEFT JOIN v ON v."rule" = r."rule" """)
 def _(t: Tables):
     return monitoring.evaluate_rules(rule_values(t), rules_table(t))
 

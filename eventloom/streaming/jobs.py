@@ -9,13 +9,14 @@ a batch repeated after a failure replaces its own output.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from eventloom.functions.exprs import MICROS, micros
 from eventloom.operators import flow, monitoring, windows
 from eventloom.operators.anomaly import DAY, anomaly_detection
 from eventloom.operators.enrich import (
@@ -208,7 +209,8 @@ def attribute_stream(
     """Two streams: each purchase with the user's latest view at most an hour before it.
 
     The interval join holds an hour of views as state; the aggregate then keeps the latest
-    view per purchase and emits it once the watermark has passed the purchase's window.
+    view per purchase and emits it once the watermark, which the join holds back by ``within``, has
+    passed the purchase's minute: purchases of the last hour are still open.
     """
     views = with_event_time(events, delay=delay).where(F.col("event_type") == "view").select(
         F.col("user_id").alias("_user"),
@@ -247,9 +249,9 @@ def anomaly_writer(
     batch reads the folders of the last day of events only and runs the batch operator;
     ``purge_dated`` may drop older folders.
     """
-    marks = "watermark timestamp, batch bigint"
+    marks = "watermark bigint, batch bigint"  # microseconds: no clock zone of the driver's
 
-    def previous_watermark(batch_id: int) -> datetime | None:
+    def previous_watermark(batch_id: int) -> int | None:
         if batch_id == 0:
             return None
         rows = spark.read.schema(marks).parquet(f"{root}/watermark")
@@ -259,7 +261,7 @@ def anomaly_writer(
         before = previous_watermark(batch_id)
         at = F.col("event_timestamp")
         slim = batch.select("event_id", "user_id", "event_timestamp", "event_type", "payload")
-        seen = F.lit(False) if before is None else at <= F.lit(before)
+        seen = F.lit(False) if before is None else micros(at) <= before
         accepted = slim.where(~seen).withColumns(
             {"event_date": F.to_date(at), "batch": F.lit(batch_id)}
         )
@@ -269,38 +271,39 @@ def anomaly_writer(
         )
         slim.where(seen).write.mode("overwrite").parquet(f"{root}/late/batch={batch_id}")
 
-        newest = batch.agg(F.max(at)).first()[0]
-        reached = None if newest is None else newest - timedelta(seconds=delay_seconds)
+        newest = batch.agg(micros(F.max(at))).first()[0]
+        reached = None if newest is None else newest - delay_seconds * MICROS
         now = max((w for w in (before, reached) if w is not None), default=None)
-        spark.createDataFrame([(now,)], "watermark timestamp").write.mode("overwrite").parquet(
+        spark.createDataFrame([(now,)], "watermark bigint").write.mode("overwrite").parquet(
             f"{root}/watermark/batch={batch_id}"
         )
         if now is None or now == before:
             return
-        horizon = None if before is None else before - timedelta(seconds=DAY)
+        horizon = None if before is None else before - DAY * MICROS
         known = _days(spark, f"{root}/events", slim.schema, horizon, now)
-        known = known.where((F.col("batch") <= batch_id) & (at <= F.lit(now)))
+        known = known.where((F.col("batch") <= batch_id) & (micros(at) <= now))
         if horizon is not None:
-            known = known.where(at >= F.lit(horizon))
+            known = known.where(micros(at) >= horizon)
         judged = anomaly_detection(known, keep=("event_id",), **options)
         if before is not None:
-            judged = judged.where(at > F.lit(before))
+            judged = judged.where(micros(at) > before)
         judged.write.mode("overwrite").parquet(f"{root}/flagged/batch={batch_id}")
 
     return write
 
 
 def _days(
-    spark: SparkSession, path: str, schema: T.StructType, first: datetime | None, last: datetime
+    spark: SparkSession, path: str, schema: T.StructType, first: int | None, last: int
 ) -> DataFrame:
-    """Event folders from the day of ``first`` on; only those folders are listed."""
+    """Event folders from the UTC day of ``first`` to that of ``last``; only those are listed."""
     full = T.StructType(
         [*schema.fields, T.StructField("event_date", T.DateType()), T.StructField("batch", T.LongType())]
     )
     reader = spark.read.schema(full).option("basePath", path)
     if first is None:
         return reader.parquet(path)
-    days = [first.date() + timedelta(days=i) for i in range((last.date() - first.date()).days + 1)]
+    day = DAY * MICROS
+    days = [date(1970, 1, 1) + timedelta(days=n) for n in range(first // day, last // day + 1)]
     return reader.parquet(f"{path}/event_date={{{','.join(map(str, days))}}}")
 
 
