@@ -27,7 +27,7 @@ UNDETERMINED = "und"
 MAX_LANGUAGES = 64
 SLOT_BITS = 18
 PROBES = 3
-CHARS = 1 << 22  # code points normalised at once
+CHARS = 1 << 19  # code points normalised at once
 
 
 @cache

@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-MEMO = 150_000  # chunks a worker remembers
-BATCH_CHARS = 1 << 21
+MEMO = 60_000  # chunks a worker remembers
+BATCH_CHARS = 1 << 19
 CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 NO_PIECE = 0x110000  # codes from here on match nothing
 
