@@ -113,7 +113,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, segments: int | None
             # As many rows as the radius has values, fixed by the segment widths.
             asked = asked.join(F.broadcast(by_segment), "segment")
             asked = asked.select("query", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
-            met = asked.join(index, ["segment", "value"])
+            # Spark takes the exploded side for small and would broadcast it.
+            met = asked.hint("merge").join(index, ["segment", "value"])
         met = met.select("query", "code", "held", "first_id", far.alias("distance"))
         if best is not None:
             met = met.union(best.join(open_, "query", "left_semi").select(*met.columns))
