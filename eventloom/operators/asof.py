@@ -8,18 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.exprs import MICROS, micros
-from eventloom.operators import skew
+from eventloom.operators.skew import SLOT_SECONDS, slot_of
 
 # Sort ranks inside one instant: what was carried in, then versions, then events, so that a
 # version that starts exactly at the event's time is visible to the event.
 _CARRY, _VERSION, _EVENT = -1, 0, 1
 
 
-# A version table up to this size, with few versions per key, is broadcast.
-SMALL_ROWS = 500_000
-SMALL_VERSIONS = 32
-
-
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -30,116 +25,51 @@ def asof_join(
     how: str = "inner",
     tie_break: str | None = None,
     tolerance_seconds: int | None = None,
-    strategy: str = "auto",
-    **options: int,
+    deleted: Column | None = None,
+    slot_seconds: int = SLOT_SECONDS,
 ) -> DataFrame:
     """Adds ``values`` of the newest ``right`` row with ``right_ts <= left_ts`` to each left row.
 
-    ``strategy``: ``"broadcast"`` joins against validity intervals without shuffling the left
-    side, ``"shuffle"`` orders both sides per key; ``"auto"`` counts the right side first and
-    broadcasts only below ``SMALL_ROWS`` rows and ``SMALL_VERSIONS`` versions of any key.
-
-    ``how="left"`` keeps left rows without a version (and those with a NULL key).
+    ``how="left"`` keeps left rows without a version (and those with a NULL key or time).
     ``tie_break`` orders right rows of the same key and time. With ``tolerance_seconds`` a
-    version older than that does not match. ``options`` go to ``_ordered_join``.
+    version older than that does not match. A newest version for which ``deleted`` holds is a
+    tombstone: it hides the versions before it and does not match itself.
+
+    Both sides go through one shuffle on (key, time slot); the last version seen so far is a
+    running value, so the work is linear in the rows of both sides whatever the number of
+    versions, and a busy key is spread over its slots. A slot starts from the newest version of
+    the slots before it, found on one pre-aggregated row per key and slot.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
-    if strategy not in ("auto", "broadcast", "shuffle"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    columns = (key, left_ts, right_ts, values, how, tie_break, tolerance_seconds)
-    if strategy == "broadcast" or (strategy == "auto" and is_small(right, key)):
-        return _interval_join(left, right, *columns)
-    return _ordered_join(left, right, *columns, **options)
-
-
-def is_small(right: DataFrame, key: str) -> bool:
-    """Whether the version table may be broadcast: one count per key over the key column."""
-    per_key = right.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total, most = per_key.agg(F.sum("n"), F.max("n")).first()
-    return (total or 0) <= SMALL_ROWS and (most or 0) <= SMALL_VERSIONS
-
-
-def _interval_join(
-    left, right, key, left_ts, right_ts, values, how, tie_break, tolerance_seconds
-) -> DataFrame:
-    """Broadcast join on key and validity interval; the intervals of a key do not overlap."""
-    order = [right_ts, *([tie_break] if tie_break else [])]
-    following = F.lead(right_ts).over(Window.partitionBy(key).orderBy(*order))
-    intervals = right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull()).select(
-        F.col(key).alias("_key"),
-        micros(right_ts).alias("_from"),
-        micros(following).alias("_to"),
-        F.struct(*values).alias("_values"),
-    )
-    at = micros(left_ts)
-    valid = (at >= F.col("_from")) & (F.col("_to").isNull() | (at < F.col("_to")))
-    if tolerance_seconds is not None:
-        valid = valid & (at - F.col("_from") <= F.lit(tolerance_seconds * MICROS))
-    joined = left.join(F.broadcast(intervals), (left[key] == F.col("_key")) & valid, how)
-    return joined.select(*[left[c] for c in left.columns], *[F.col(f"_values.{c}") for c in values])
-
-
-def _ordered_join(
-    left,
-    right,
-    key,
-    left_ts,
-    right_ts,
-    values,
-    how,
-    tie_break,
-    tolerance_seconds,
-    slot_seconds: int = 300,
-    hot_floor: int = skew.HOT_FLOOR,
-    hot_share: int = skew.HOT_SHARE,
-) -> DataFrame:
-    """Both sides go through one shuffle on the key; the last non-null version seen so far is
-    a running value, so the work is linear in the rows of both sides whatever the number of
-    versions. Rows of hot keys are cut into time slots; a slot starts from the newest version
-    of the earlier slots, found on one pre-aggregated row per (key, slot).
-    """
     known = F.col(key).isNotNull()
-    keyed = left.where(known & F.col(left_ts).isNotNull())
-    versions = right.where(known & F.col(right_ts).isNotNull())
+    gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
+    version = F.struct(F.col(right_ts).alias("_from"), gone.alias("_gone"), *[F.col(c) for c in values])
+    slot = slot_of(F.col("_at"), slot_seconds * MICROS)
 
-    hot = skew.hot_keys(
-        keyed.select(key).unionAll(versions.select(F.col(key))), key, hot_floor, hot_share
-    )
-    in_slot = skew.slot_of(F.col("_at"), slot_seconds * MICROS)
-
-    payload = F.struct(*[F.col(c) for c in left.columns])
-    version = F.struct(F.col(right_ts).alias("_from"), *[F.col(c) for c in values])
-    sequence = F.col(tie_break).cast("bigint") if tie_break else F.lit(0).cast("bigint")
-
-    events = keyed.select(
-        F.col(key).alias("_key"),
-        micros(left_ts).alias("_at"),
-        F.lit(_EVENT).alias("_rank"),
-        F.lit(0).cast("bigint").alias("_seq"),
-        payload.alias("_row"),
-    )
-    dims = versions.select(
-        F.col(key).alias("_key"),
-        micros(right_ts).alias("_at"),
-        F.lit(_VERSION).alias("_rank"),
-        sequence.alias("_seq"),
-        version.alias("_version"),
+    events = (
+        left.where(known & F.col(left_ts).isNotNull())
+        .select(
+            F.col(key).alias("_key"),
+            micros(left_ts).alias("_at"),
+            F.lit(_EVENT).alias("_rank"),
+            F.struct(*[F.col(c) for c in left.columns]).alias("_row"),
+        )
+        .withColumn("_slot", slot)
     )
-    # A semi join with an empty hot list is dropped at run time, and this branch with it.
-    carry = _carried_versions(
-        skew.only_hot(events, hot, "_key").withColumn("_slot", in_slot),
-        skew.only_hot(dims, hot, "_key").withColumn("_slot", in_slot),
+    versions = (
+        right.where(known & F.col(right_ts).isNotNull())
+        .select(
+            F.col(key).alias("_key"),
+            micros(right_ts).alias("_at"),
+            F.lit(_VERSION).alias("_rank"),
+            (F.col(tie_break) if tie_break else F.lit(0)).alias("_seq"),
+            version.alias("_version"),
+        )
+        .withColumn("_slot", slot)
     )
-
-    columns = ["_key", "_slot", "_at", "_rank", "_seq"]
-    slot = F.when(F.col("_hot"), in_slot)
-    events = skew.tag_hot(events, hot, "_key").withColumn("_slot", slot)
-    dims = skew.tag_hot(dims, hot, "_key").withColumn("_slot", slot)
-    stacked = (
-        events.select(*columns, "_row")
-        .unionByName(dims.select(*columns, "_version"), allowMissingColumns=True)
-        .unionByName(carry, allowMissingColumns=True)
+    stacked = events.unionByName(versions, allowMissingColumns=True).unionByName(
+        _carried_versions(events, versions), allowMissingColumns=True
     )
     so_far = (
         Window.partitionBy("_key", "_slot")
@@ -151,7 +81,7 @@ def _ordered_join(
         .where(F.col("_rank") == _EVENT)
         .select("_row", "_version")
     )
-    found = F.col("_version").isNotNull()
+    found = F.col("_version").isNotNull() & ~F.col("_version._gone")
     if tolerance_seconds is not None:
         age = micros(F.col(f"_row.{left_ts}")) - micros(F.col("_version._from"))
         found = found & (age <= F.lit(tolerance_seconds * MICROS))
@@ -164,11 +94,11 @@ def _ordered_join(
     return out.unionByName(unkeyed, allowMissingColumns=True)
 
 
-def _carried_versions(events: DataFrame, dims: DataFrame) -> DataFrame:
-    """For each slot of a hot key that has events: the newest version of its earlier slots."""
+def _carried_versions(events: DataFrame, versions: DataFrame) -> DataFrame:
+    """For each slot that has events: the newest version of the key's earlier slots."""
     marks = events.select("_key", "_slot").distinct().withColumn("_order", F.lit(0))
     newest = (
-        dims.groupBy("_key", "_slot")
+        versions.groupBy("_key", "_slot")
         .agg(F.max_by("_version", F.struct("_at", "_seq")).alias("_version"))
         .withColumn("_order", F.lit(1))
     )
@@ -181,14 +111,7 @@ def _carried_versions(events: DataFrame, dims: DataFrame) -> DataFrame:
         marks.unionByName(newest, allowMissingColumns=True)
         .withColumn("_version", F.last("_version", ignorenulls=True).over(before))
         .where((F.col("_order") == 0) & F.col("_version").isNotNull())
-        .select(
-            "_key",
-            "_slot",
-            F.lit(None).cast("bigint").alias("_at"),
-            F.lit(_CARRY).alias("_rank"),
-            F.lit(0).cast("bigint").alias("_seq"),
-            "_version",
-        )
+        .select("_key", "_slot", F.lit(_CARRY).alias("_rank"), "_version")
     )
 
 

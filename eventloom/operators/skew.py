@@ -1,49 +1,18 @@
-"""Hot keys: find them cheaply, and cut their work into time slots.
+"""Time slots: how operators that order rows per key stay clear of hot keys.
 
-Operators that order rows per key (as-of join, trailing counts) would put all rows of a key
-into one task. A key is *hot* when it holds more than ``max(floor, total / share)`` rows.
-At most ``share`` keys can pass that test whatever the data size, so the list may be
-broadcast. Rows of a hot key are spread over time slots, and each slot is given a *carry*:
-what the rows before the slot add up to, computed from one pre-aggregated row per slot.
+Ordering rows per key alone would put all rows of a key into one task. Such operators (as-of
+join, trailing counts, gap sessions) order them per key and time slot instead, for every key
+alike, and give each slot a *carry*: what the slots before it add up to. Only the carries are
+ordered per key: at most one row per slot, so their number for a key is bounded by the time
+span, not by the key's rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HOT_SHARE = 100_000
-HOT_FLOOR = 1_000_000
-
-
-def hot_keys(df: DataFrame, key: str, floor: int = HOT_FLOOR, share: int = HOT_SHARE) -> DataFrame:
-    """Keys above the limit (a NULL key counts as one); never more than ``share`` rows."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    limit = F.greatest(F.lit(float(floor)), total / F.lit(float(share)))
-    return counts.where(F.col("_rows") > limit).select(F.col(key).alias("_hot_key"))
-
-
-def _is_hot(key: str) -> Column:
-    return F.col(key).eqNullSafe(F.col("_hot_key"))
-
-
-def only_hot(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    return df.join(F.broadcast(hot), _is_hot(key), "left_semi")
-
-
-def without_hot(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    return df.join(F.broadcast(hot), _is_hot(key), "left_anti")
-
-
-def tag_hot(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    """Adds ``_hot``: true for rows of a hot key."""
-    marked = F.broadcast(hot.withColumn("_mark", F.lit(True)))
-    return (
-        df.join(marked, _is_hot(key), "left")
-        .withColumn("_hot", F.coalesce("_mark", F.lit(False)))
-        .drop("_mark", "_hot_key")
-    )
+SLOT_SECONDS = 900
 
 
 def slot_of(position: Column, width: int) -> Column:

@@ -2,14 +2,11 @@
 
 ``count(*) over (partition by key order by ts range between w preceding and current row)``
 
-Spark evaluates a sliding frame by visiting the whole frame for each row, which is the best
-plan for keys with few rows and quadratic for dense ones, and it puts a key in one task. So:
-
-* ordinary keys use sliding frames over one ordered window: one shuffle, no added rows;
-* hot keys use running sums. The count of ``[t-w, t]`` is what has entered up to ``t`` minus
-  what has left before ``t``: each event enters at ``t`` and is followed, per frame, by a
-  leaving mark just after ``t+w``. A running sum is linear in the rows, and it can be cut
-  anywhere: each time slot starts from the sum of the slots before it.
+Spark evaluates a sliding frame by visiting the whole frame for each row, which is quadratic
+for dense keys, and it puts a key in one task. Here the count of ``[t-w, t]`` is what has entered
+up to ``t`` minus what has left before ``t``: each event enters at ``t`` and, per frame, leaves just
+after ``t+w``. Both are marks of a running sum, which is linear in the rows and can be cut
+anywhere: each time slot of a key starts from the sums of the slots before it.
 """
 
 from __future__ import annotations
@@ -20,13 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.exprs import MICROS, micros
-from eventloom.operators import skew
+from eventloom.operators.skew import SLOT_SECONDS, slot_of
 from eventloom.operators.windows import merge_gaps
 
-# Above this many rows a key is worth the running sums: a sliding frame over it could cost
-# the square of its rows.
-DENSE_FLOOR = 20_000
-
 
 def trailing_counts(
     df: DataFrame,
@@ -34,134 +27,86 @@ def trailing_counts(
     ts: str,
     counts: Mapping[str, int],
     distinct: Mapping[str, tuple[str, int]],
-    slot_seconds: int = 300,
-    hot_floor: int = DENSE_FLOOR,
-    hot_share: int = 10 * skew.HOT_SHARE,
+    slot_seconds: int = SLOT_SECONDS,
 ) -> DataFrame:
     """Adds one column per entry of ``counts`` (name -> seconds) and of ``distinct``
     (name -> (column, seconds)). Rows without a time are dropped.
     """
     timed = df.where(F.col(ts).isNotNull())
-    hot = skew.hot_keys(timed, key, hot_floor, hot_share)
-    ordinary = _sliding(skew.without_hot(timed, hot, key), key, ts, counts, distinct)
-    dense = _running(
-        skew.only_hot(timed, hot, key), key, ts, counts, distinct, slot_seconds
-    )
-    return ordinary.unionByName(dense)
-
-
-def _sliding(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    counts: Mapping[str, int],
-    distinct: Mapping[str, tuple[str, int]],
-) -> DataFrame:
-    ordered = Window.partitionBy(key).orderBy("_at")
-
-    def last(seconds: int):
-        return ordered.rangeBetween(-seconds * MICROS, Window.currentRow)
+    measures = [*counts, *distinct]
+    slot = slot_of(F.col("_pos"), 2 * slot_seconds * MICROS)
 
-    added: dict[str, Column] = {
-        name: F.count(F.lit(1)).over(last(seconds)) for name, seconds in counts.items()
-    }
+    marks = _event_marks(timed, key, ts, counts)
     for name, (column, seconds) in distinct.items():
-        added[name] = F.size(F.collect_set(column).over(last(seconds))).cast("bigint")
-    keep = [F.col(c) for c in df.columns]
-    return df.withColumn("_at", micros(ts)).select(*keep, *[c.alias(n) for n, c in added.items()])
+        cover = _cover_marks(timed, key, ts, name, column, seconds)
+        marks = marks.unionByName(cover, allowMissingColumns=True)
+    marks = marks.withColumn("_slot", slot)
 
+    # What a mark adds to each measure; a NULL step is an event entering every count.
+    step = {m: F.when(F.col("_name") == m, F.col("_step")).otherwise(0) for m in measures}
+    entering = F.col("_name").isNull()
+    step |= {m: F.when(entering, 1).otherwise(step[m]) for m in counts}
+    step = {m: c.cast("bigint") for m, c in step.items()}
 
-def _running(
-    df: DataFrame,
-    key: str,
-    ts: str,
-    counts: Mapping[str, int],
-    distinct: Mapping[str, tuple[str, int]],
-    slot_seconds: int,
-) -> DataFrame:
-    measures = [*counts, *distinct]
-    # Positions are doubled microseconds, so that a leaving mark has a place of its own
-    # right after the last instant at which the event still counts.
-    enter = 2 * micros(ts)
-    added = df.withColumn("_row", F.struct(*df.columns)).select(
-        F.col(key).alias("_key"),
-        enter.alias("_pos"),
-        "_row",
-        *[F.lit(1 if m in counts else 0).cast("bigint").alias(m) for m in measures],
-    )
-    marks = [_marks(df, key, ts, name, seconds, measures) for name, seconds in counts.items()]
-    marks += [
-        _cover_marks(df, key, ts, name, column, seconds, measures)
-        for name, (column, seconds) in distinct.items()
-    ]
-    stacked = added
-    for mark in marks:
-        stacked = stacked.unionByName(mark, allowMissingColumns=True)
-    stacked = stacked.withColumn("_slot", skew.slot_of(F.col("_pos"), 2 * slot_seconds * MICROS))
-
-    per_slot = stacked.groupBy("_key", "_slot").agg(
-        *[F.sum(m).alias(m) for m in measures], F.count("_row").alias("_rows")
-    )
     before = (
         Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     )
     carry = (
-        per_slot.select(
-            "_key", "_slot", "_rows",
-            *[F.coalesce(F.sum(m).over(before), F.lit(0)).cast("bigint").alias(m) for m in measures],
-        )
-        .where(F.col("_rows") > 0)
-        .drop("_rows")
-        .withColumn("_pos", F.lit(None).cast("bigint"))
+        marks.groupBy("_key", "_slot")
+        .agg(*[F.sum(c).alias(m) for m, c in step.items()], F.count_if(entering).alias("_events"))
+        .select("_key", "_slot", "_events", *[F.sum(m).over(before).alias(m) for m in measures])
+        .where((F.col("_events") > 0) & F.col(measures[0]).isNotNull())
+        .select("_key", "_slot", F.struct(*measures).alias("_carry"))
     )
     so_far = (
         Window.partitionBy("_key", "_slot")
-        .orderBy("_pos")
+        .orderBy(F.col("_pos").asc_nulls_first())
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = stacked.unionByName(carry, allowMissingColumns=True).select(
-        "_row", *[F.sum(m).over(so_far).alias(m) for m in measures]
+    carried = F.col("_carry").isNotNull()
+    summed = marks.unionByName(carry, allowMissingColumns=True).select(
+        "_row",
+        *[
+            F.sum(F.when(carried, F.col(f"_carry.{m}")).otherwise(c)).over(so_far).alias(m)
+            for m, c in step.items()
+        ],
     )
     return summed.where(F.col("_row").isNotNull()).select("_row.*", *measures)
 
 
-def _marks(df, key, ts, name, seconds, measures) -> DataFrame:
-    """One leaving mark per instant: events of the same instant leave together."""
-    left = 2 * (micros(ts) + F.lit(seconds * MICROS)) + 1
-    return (
-        df.groupBy(F.col(key).alias("_key"), left.alias("_pos"))
-        .agg((-F.count(F.lit(1))).alias(name))
-        .select("_key", "_pos", *_only(name, measures))
-    )
+def _event_marks(df: DataFrame, key: str, ts: str, counts: Mapping[str, int]) -> DataFrame:
+    """An event's entry, which carries its row, and its leaving of each frame.
 
+    Positions are doubled microseconds, so that a leaving mark has a place of its own right
+    after the last instant at which the event still counts.
+    """
+    at = micros(ts)
+    enter = _mark(None, 2 * at, 0)
+    leave = [_mark(name, 2 * (at + F.lit(w * MICROS)) + 1, -1) for name, w in counts.items()]
+    entered = F.col("_mark._name").isNull()
+    return df.select(
+        F.col(key).alias("_key"),
+        F.struct(*df.columns).alias("_row"),
+        F.explode(F.array(enter, *leave)).alias("_mark"),
+    ).select("_key", "_mark.*", F.when(entered, F.col("_row")).alias("_row"))
 
-def _cover_marks(df, key, ts, name, column, seconds, measures) -> DataFrame:
+
+def _cover_marks(
+    df: DataFrame, key: str, ts: str, name: str, column: str, seconds: int
+) -> DataFrame:
     """+1 when a value comes into range and -1 when its last event has left it.
 
     Events of one value whose ranges touch form one span: sessions with the range as gap.
     """
-    spans = merge_gaps(
-        df.where(F.col(column).isNotNull()), [key, column], ts, seconds
-    ).select(
-        F.col(key).alias("_key"),
-        F.explode(
-            F.array(
-                F.struct(
-                    (2 * micros("session_start")).alias("_pos"),
-                    F.lit(1).cast("bigint").alias("_w"),
-                ),
-                F.struct(
-                    (2 * (micros("session_end") + F.lit(seconds * MICROS)) + 1).alias("_pos"),
-                    F.lit(-1).cast("bigint").alias("_w"),
-                ),
-            )
-        ).alias("_mark"),
-    )
+    spans = merge_gaps(df.where(F.col(column).isNotNull()), [key, column], ts, seconds)
+    come = _mark(name, 2 * micros("session_start"), 1)
+    go = _mark(name, 2 * (micros("session_end") + F.lit(seconds * MICROS)) + 1, -1)
     return spans.select(
-        "_key", "_mark._pos", *_only(name, measures, F.col("_mark._w"))
-    )
+        F.col(key).alias("_key"), F.explode(F.array(come, go)).alias("_mark")
+    ).select("_key", "_mark.*")
 
 
-def _only(name: str, measures: list[str], value: Column | None = None) -> list[Column]:
-    value = F.col(name) if value is None else value
-    return [(value if m == name else F.lit(0).cast("bigint")).alias(m) for m in measures]
+def _mark(name: str | None, position: Column, step: int) -> Column:
+    return F.struct(
+        position.alias("_pos"), F.lit(name).cast("string").alias("_name"), F.lit(step).alias("_step")
+    )

@@ -172,16 +172,14 @@ def _(t: Tables):
 
 @query("user_enrichment_split_keys", f"SELECT {_ENRICHED} FROM enriched")
 def _(t: Tables):
-    """The ordered join with every busy user treated as hot and cut into day slots."""
-    return enrich.enrich_events(
-        t.user_events, t.users, strategy="shuffle", hot_floor=40, slot_seconds=86400
-    )
+    """Day slots: few carried versions."""
+    return enrich.enrich_events(t.user_events, t.users, slot_seconds=86400)
 
 
 @query("user_enrichment_shuffled", f"SELECT {_ENRICHED} FROM enriched_left")
 def _(t: Tables):
-    """The plan for a version table of any size."""
-    return enrich.enrich_events(t.user_events, t.users, how="left", strategy="shuffle")
+    """One-minute slots: nearly every event sees a carried version."""
+    return enrich.enrich_events(t.user_events, t.users, how="left", slot_seconds=60)
 
 
 @query("src_compacted_latest", """
@@ -386,7 +384,5 @@ def _(t: Tables):
 
 @query("user_anomaly_detection_split_keys", "SELECT * FROM anomalies_lowered")
 def _(t: Tables):
-    """The dense events with every busy user treated as hot and cut into one-minute slots."""
-    return anomaly.anomaly_detection(
-        t.user_events_dense, types_over=3, hot_floor=30, slot_seconds=60
-    )
+    """The dense events in one-minute slots."""
+    return anomaly.anomaly_detection(t.user_events_dense, types_over=3, slot_seconds=60)

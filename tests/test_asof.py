@@ -4,7 +4,7 @@ import pytest
 from helpers import at, events, rows
 from pyspark.sql import functions as F
 
-from eventloom.operators import asof, enrich
+from eventloom.operators import enrich
 from eventloom.operators.asof import asof_join, latest_per_key
 
 USERS = "user_id bigint, valid_from timestamp_ntz, seq int, tier string"
@@ -26,43 +26,43 @@ LEFT = [(1, "view", 5), (1, "view", 10), (1, "view", 20), (2, "view", 7), (None,
 RIGHT = [(1, 10, 0, "a"), (1, 20, 0, "b"), (1, 20, 1, "c"), (2, 8, 0, "x"), (None, 0, 0, "n")]
 
 
-both = pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_version_at_event_time_counts_and_earlier_events_drop(spark):
+    assert join(spark, LEFT, RIGHT) == [(1, "a"), (2, "c")]
 
 
-@both
-def test_version_at_event_time_counts_and_earlier_events_drop(spark, strategy):
-    assert join(spark, LEFT, RIGHT, strategy=strategy) == [(1, "a"), (2, "c")]
-
-
-@both
-def test_left_form_keeps_unmatched_and_null_keys(spark, strategy):
+def test_left_form_keeps_unmatched_and_null_keys(spark):
     expected = [(0, None), (1, "a"), (2, "c"), (3, None), (4, None)]
-    assert join(spark, LEFT, RIGHT, how="left", strategy=strategy) == expected
+    assert join(spark, LEFT, RIGHT, how="left") == expected
 
 
-@both
-def test_tolerance(spark, strategy):
+def test_tolerance(spark):
     left = [(1, "view", 13), (1, "view", 14)]
     for how, more in (("inner", []), ("left", [(1, None)])):
-        out = join(spark, left, [(1, 10, 0, "a")], tolerance_seconds=3, how=how, strategy=strategy)
-        assert out == [(0, "a"), *more]
+        assert join(spark, left, [(1, 10, 0, "a")], tolerance_seconds=3, how=how) == [(0, "a"), *more]
 
 
 def test_unknown_options(spark):
     with pytest.raises(ValueError):
         join(spark, LEFT, RIGHT, how="outer")
-    with pytest.raises(ValueError):
-        join(spark, LEFT, RIGHT, strategy="guess")
 
 
-def test_only_small_version_tables_are_broadcast(spark, monkeypatch):
-    table = versions(spark, RIGHT)
-    assert asof.is_small(table, "user_id")
-    monkeypatch.setattr(asof, "SMALL_VERSIONS", 2)
-    assert not asof.is_small(table, "user_id")
-    monkeypatch.setattr(asof, "SMALL_VERSIONS", 3)
-    monkeypatch.setattr(asof, "SMALL_ROWS", 4)
-    assert not asof.is_small(table, "user_id")
+def test_text_breaks_ties(spark):
+    out = asof_join(
+        events(spark, [(1, "view", 20)]).select("event_id", "user_id", "event_timestamp"),
+        versions(spark, [(1, 20, 0, "b"), (1, 20, 0, "c"), (1, 20, 0, "a")]),
+        "user_id", "event_timestamp", "valid_from", ["tier"], tie_break="tier",
+    )
+    assert rows(out.select("event_id", "tier")) == [(0, "c")]
+
+
+@pytest.mark.parametrize("slot_seconds", [1, 900])
+def test_tombstone_hides_earlier_versions_until_the_next(spark, slot_seconds):
+    left = [(1, "view", s) for s in (10, 20, 25, 30)]
+    right = [(1, 5, 0, "a"), (1, 20, 1, None), (1, 30, 2, "b")]
+    options = {"deleted": F.col("tier").isNull(), "slot_seconds": slot_seconds}
+    assert join(spark, left, right, **options) == [(0, "a"), (3, "b")]
+    kept = join(spark, left, right, how="left", **options)
+    assert kept == [(0, "a"), (1, None), (2, None), (3, "b")]
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -82,12 +82,9 @@ def test_split_keys_equal_brute_force(spark, how):
         known = [(s, q, t) for u, s, q, t in right if u == user and s <= sec]
         if known or how == "left":
             expected.append((i, max(known)[2] if known else None))
-    ordered = {"strategy": "shuffle"}
-    for options in (
-        {"strategy": "broadcast"}, ordered, {**ordered, "hot_floor": 5, "slot_seconds": 50},
-        {**ordered, "hot_floor": 5, "slot_seconds": 1},
-    ):
-        assert join(spark, left, right, how=how, **options) == sorted(expected, key=repr)
+    for slot_seconds in (900, 50, 1):
+        out = join(spark, left, right, how=how, slot_seconds=slot_seconds)
+        assert out == sorted(expected, key=repr)
 
 
 def test_latest_per_key_honours_tombstones(spark):

@@ -4,7 +4,6 @@ import re
 
 import pytest
 
-from eventloom.operators import skew
 from eventloom.plans import all_queries
 from eventloom.plans.catalog import Tables
 from eventloom.plans.stream_queries import __name__ as STREAMS
@@ -34,11 +33,17 @@ def test_no_python_no_cross_join_no_nested_loop(spark, name):
         assert operator not in text
 
 
-def test_trailing_counts_share_one_window(spark):
-    text = plan(Tables(spark, SF).anomalies)
-    ordinary = text.split("Union")[1]
-    first = ordinary[: ordinary.index("BroadcastExchange")]
-    assert len(re.findall(r"\bWindow \[", first)) == 1
+def scans(df) -> int:
+    return len(re.findall(r"FileScan parquet", plan(df)))
+
+
+def test_as_of_join_and_trailing_counts_read_their_input_few_times(spark):
+    """Twice per side: the rows, and the pruned columns that the carries are made of."""
+    tables = Tables(spark, SF)
+    sources = scans(tables.user_events) + scans(tables.users)
+    assert scans(tables.enriched) <= 2 * sources
+    # Distinct counts read their spans as well, for the rows and for the carries.
+    assert scans(tables.anomalies) <= 4 * scans(tables.user_events_dense)
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -47,14 +52,3 @@ def test_filters_and_columns_reach_the_scan(spark):
     known = plan(Tables(spark, SF).raw_events.where("event_type = 'click'").select("user_id"))
     assert "EqualTo(event_type,click)" in known
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in known
-
-
-def test_hot_list_is_bounded(spark):
-    """No more keys than ``share`` can each hold more than one share-th of the rows."""
-    df = spark.range(1000).selectExpr("id % 100 as k")
-    assert skew.hot_keys(df, "k", floor=0, share=50).count() == 0
-    assert skew.hot_keys(df, "k", floor=0, share=101).count() == 100
-    lopsided = df.unionAll(spark.range(1000).selectExpr("cast(null as bigint) as k"))
-    found = skew.hot_keys(lopsided, "k", floor=0, share=5).collect()
-    assert [r[0] for r in found] == [None]
-    assert skew.without_hot(lopsided, skew.hot_keys(lopsided, "k", 0, 5), "k").count() == 1000

@@ -36,17 +36,15 @@ def sample(seed, n=300, span=9000):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize(
-    "options", [{}, {"hot_floor": 40, "slot_seconds": 300}, {"hot_floor": 0, "slot_seconds": 7}]
-)
-def test_sliding_and_split_forms_equal_brute_force(spark, seed, options):
+@pytest.mark.parametrize("options", [{}, {"slot_seconds": 300}, {"slot_seconds": 7}])
+def test_any_slots_equal_brute_force(spark, seed, options):
     data = sample(seed)
     assert run(spark, data, **options) == brute(data, COUNTS, 60)
 
 
 def test_both_ends_of_the_range_count(spark):
     data = [(1, "view", 0), (1, "click", 60), (1, "view", 300), (1, "view", 301)]
-    for options in ({}, {"hot_floor": 0, "slot_seconds": 100}):
+    for options in ({}, {"slot_seconds": 100}):
         assert run(spark, data, **options) == [(0, 1, 1, 1), (1, 2, 2, 2), (2, 3, 3, 1), (3, 3, 4, 1)]
 
 
