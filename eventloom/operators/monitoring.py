@@ -93,11 +93,10 @@ def error_rate_alert(
     logs: DataFrame, max_rate: float = 5, slice_size: str = "5 minutes", source: str = LOGS
 ) -> DataFrame:
     """Slices whose share of ERROR lines is above the limit."""
-    lines = time_slices(parse(logs, source, {"level": "level"}), slice_size)
     level = F.col("level")
-    totals = lines.groupBy("timeslice").agg(
+    totals = parse(logs, source, {"level": "level"}).groupBy(F.window("ts", slice_size)).agg(
         F.count_if(level == "ERROR").alias("errors"), F.count_if(level != "").alias("total")
-    )
+    ).select(F.col("window.start").alias("timeslice"), "errors", "total")
     rate = percent(F.col("errors"), F.col("total"))
     return totals.withColumn("error_rate", rate).where(F.col("error_rate") > max_rate)
 
@@ -134,10 +133,9 @@ def checkpoint_failure_alert(
     logs: DataFrame, threshold: int = 3, slice_size: str = "10 minutes", source: str = JOBS
 ) -> DataFrame:
     fields = {"status": "checkpoint_status", "job_name": "job_name"}
-    lines = time_slices(
-        parse(logs, source, fields).where(F.col("status") == "FAILED"), slice_size
-    )
-    hits = lines.groupBy("job_name", "timeslice").agg(_count().alias("failures"))
+    failed = parse(logs, source, fields).where(F.col("status") == "FAILED")
+    hits = failed.groupBy("job_name", F.window("ts", slice_size)).agg(_count().alias("failures"))
+    hits = hits.select(F.col("window.start").alias("timeslice"), "job_name", "failures")
     return hits.where(F.col("failures") > threshold)
 
 

@@ -7,12 +7,14 @@ emits a window once the watermark (newest event minus the delay) has passed its
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventloom.operators import windows
-from eventloom.plans.catalog import Tables, query
+from eventloom.operators import monitoring, windows
+from eventloom.plans.catalog import ORACLES, Tables, query
 from eventloom.plans.core import _ENRICHED, SESSIONS_SQL
 from eventloom.plans.log_queries import _FIRED, fired_alerts
 from eventloom.sinks import tables as sinks
@@ -243,6 +245,54 @@ def _(t: Tables):
     return t.spark.read.parquet(out).drop("batch")
 
 
+def _alerts(t: Tables, alert: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
+    """The log lines arrive in two parts, day by day, at a job that is restarted between them."""
+    path = t.scratch("log-lines")
+    out = f"{path}-out"
+    logs = t.logs.withColumn("ts", F.col("ts").cast("timestamp"))
+    day = F.date_diff("ts", F.lit(testdata.START).cast("date"))
+    for early in (True, False):
+        logs.where((day < 15) == F.lit(early)).write.mode("append").parquet(path)
+        stream = jobs.alert_stream(t.spark.readStream.schema(logs.schema).parquet(path), alert)
+        run_batches(t, stream, jobs.batch_writer(out), out, mode="update")
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    return jobs.current_alerts(t.spark.read.schema(schema).parquet(out), keys)
+
+
+@query("alert_consumer_lag_stream")
+def _(t: Tables):
+    return _alerts(t, monitoring.consumer_lag_alert, ["window_start", "consumer_group", "topic"])
+
+
+@query("alert_connector_failure_stream")
+def _(t: Tables):
+    alert = partial(monitoring.connector_failure_alert, source=monitoring.CONNECTORS)
+    return _alerts(t, alert, ["window_start", "connector_name"])
+
+
+@query("alert_error_rate_stream")
+def _(t: Tables):
+    alert = partial(monitoring.error_rate_alert, source=monitoring.CONNECTORS)
+    return _alerts(t, alert, ["timeslice"])
+
+
+@query("alert_job_failure_stream")
+def _(t: Tables):
+    return _alerts(t, monitoring.job_failure_alert, ["window_start", "job_name", "job_id"])
+
+
+@query("alert_checkpoint_failure_stream")
+def _(t: Tables):
+    alert = partial(monitoring.checkpoint_failure_alert, threshold=1)
+    return _alerts(t, alert, ["timeslice", "job_name"])
+
+
+# Every window of the finished input has been written, so the oracles are those of the batch form.
+for _name in ("consumer_lag", "connector_failure", "error_rate", "job_failure"):
+    ORACLES[f"alert_{_name}_stream"] = ORACLES[f"alert_{_name}"]
+ORACLES["alert_checkpoint_failure_stream"] = ORACLES["alert_checkpoint_failure_lowered"]
+
+
 @query("exactly_once", "SELECT event_id, user_id FROM user_events")
 def _(t: Tables):
     """A job stopped and started again on its checkpoint writes each event once."""

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventloom.functions.exprs import MICROS, micros
 from eventloom.operators import flow, monitoring, windows
 from eventloom.operators.anomaly import DAY, anomaly_detection
+from eventloom.operators.asof import latest_per_key
 from eventloom.operators.enrich import (
     EVENT_COLUMNS,
     USER_COLUMNS,
@@ -307,6 +308,25 @@ def _days(
     return reader.parquet(f"{path}/event_date={{{','.join(map(str, days))}}}")
 
 
+# --- alerts --------------------------------------------------------------------------------
+
+def alert_stream(
+    logs: DataFrame, alert: Callable[[DataFrame], DataFrame], delay: str = DELAY
+) -> DataFrame:
+    """A windowed log alert on a stream of ``(ts, source_category, raw)`` lines.
+
+    For update mode with ``batch_writer``: a window's row comes with each micro-batch that
+    changes it, so an alert does not wait for its window to close. The watermark only bounds
+    the state. ``current_alerts`` reads the newest row per window back; a window that once
+    fired stays, with the last figures that met the condition.
+    """
+    return alert(with_event_time(logs, "ts", delay))
+
+
+def current_alerts(written: DataFrame, keys: list[str]) -> DataFrame:
+    return latest_per_key(written, keys, ["batch"]).drop("batch")
+
+
 # --- alert cool-down -----------------------------------------------------------------------
 
 def cooldown_writer(spark: SparkSession, path: str, minutes: int = 15) -> Callable[[DataFrame, int], None]:
