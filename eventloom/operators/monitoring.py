@@ -11,13 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.exprs import json_field, percent, ratio, verdict
+from eventloom.functions.exprs import MICROS, json_field, micros, percent, ratio, verdict
+from eventloom.operators.skew import slot_of
 from eventloom.operators.windows import time_slices
 
 METRICS = "kafka/*/metrics"
 LOGS = "kafka/*/logs"
 CONNECTORS = "kafka/connectors"
 JOBS = "kafka/flink"
+DAY = 86_400
 
 
 def category(pattern: str) -> Column:
@@ -240,35 +242,68 @@ def cooldown(
     """At most one alert per rule until ``minutes`` after the last one sent, and at most
     ``max_per_hour`` over all rules and clock hour (earliest first, then by rule).
 
-    Which alert is sent depends on the one sent before it, so a rule's times are folded in
-    order. Alerts are the output of evaluation windows: a rule has one time per evaluation,
-    a number set by the clock and not by the size of the logs. ``last_sent(rule, last_sent)``
-    continues an earlier run.
+    Which alert is sent depends on the one sent before it, but only on that one. Each rule's
+    times are cut into slots of a day (or of the pause, if longer). A slot is folded once from
+    each of its times within one pause of its start, where any chain from earlier slots must
+    enter it, to the last time such a chain sends. These few (entry, exit) pairs, and not the
+    times, are chained over a rule's slots to find where each slot is really entered; then the
+    slots are folded apart from each other. A cell holds at most the times of one slot: alerts
+    are the output of evaluation windows, one time per evaluation, a number set by the clock.
+    ``last_sent(rule, last_sent)`` continues an earlier run.
     """
-    pause = F.make_dt_interval(mins=F.lit(minutes))
-    listed = f"array<{alerts.schema[ts].dataType.simpleString()}>"
-    per_rule = (
+    kind = alerts.schema[ts].dataType
+    pause = minutes * 60 * MICROS
+    width = max(DAY * MICROS, pause)
+    at = micros(F.col(ts))
+    none = F.lit(None).cast("bigint")
+    slots = (
         alerts.where(F.col(ts).isNotNull())
-        .groupBy(rule)
-        .agg(F.array_sort(F.collect_set(ts)).alias("_times"))
+        .select(rule, at.alias("_at"), slot_of(at, width).alias("_slot"))
+        .groupBy(rule, "_slot")
+        .agg(F.array_sort(F.collect_set("_at")).alias("_times"))
     )
-    start = F.array().cast(listed)
     if last_sent is not None:
-        per_rule = per_rule.join(last_sent.select(rule, "last_sent"), rule, "left")
-        start = F.when(F.col("last_sent").isNull(), start).otherwise(
-            F.array("last_sent").cast(listed)
+        earlier = last_sent.select(rule, micros("last_sent").alias("_last"))
+        free = F.filter("_times", lambda t: F.col("_last").isNull() | (t >= F.col("_last") + pause))
+        slots = slots.join(earlier, rule, "left").withColumn("_times", free).where(F.size("_times") > 0)
+
+    def last_from(entry: Column) -> Column:
+        """The last time sent by a chain that enters the slot at ``entry``."""
+        return F.aggregate(
+            "_times", none,
+            lambda last, t: F.when((t >= entry) & (last.isNull() | (t >= last + pause)), t).otherwise(last),
         )
+
+    # A chain enters at the first time a pause after its last one, so in the slot's first pause
+    # or at the first time after that.
+    early = F.filter("_times", lambda t: t < F.col("_slot") * width + pause)
+    entries = F.slice("_times", F.lit(1), F.size(early) + 1)
+    reach = F.transform(entries, lambda t: F.struct(t.alias("entry"), last_from(t).alias("exit")))
+    chains = slots.select(rule, F.struct("_slot", reach.alias("reach")).alias("_link")).groupBy(rule).agg(
+        F.array_sort(F.collect_list("_link")).alias("_chain")
+    )
+
+    def enter(so_far: Column, slot: Column) -> Column:
+        last = so_far["last"]
+        free = F.filter(slot["reach"], lambda r: last.isNull() | (r["entry"] >= last + pause))
+        first = F.get(free, F.lit(0))
+        here = F.array(F.struct(slot["_slot"].alias("_slot"), first["entry"].alias("entry")))
+        return F.when(first.isNull(), so_far).otherwise(
+            F.struct(first["exit"].alias("last"), F.concat(so_far["entered"], here).alias("entered"))
+        )
+
+    nowhere = F.array().cast("array<struct<_slot:bigint,entry:bigint>>")
+    start = F.struct(none.alias("last"), nowhere.alias("entered"))
+    entered = chains.select(rule, F.inline(F.aggregate("_chain", start, enter)["entered"]))
     sent = F.aggregate(
-        "_times",
-        start,
-        lambda kept, at: F.when(
-            (F.size(kept) == 0) | (at >= F.element_at(kept, -1) + pause),
-            F.concat(kept, F.array(at)),
+        "_times", F.array().cast("array<bigint>"),
+        lambda kept, t: F.when(
+            (t >= F.col("entry")) & ((F.size(kept) == 0) | (t >= F.element_at(kept, -1) + pause)),
+            F.concat(kept, F.array(t)),
         ).otherwise(kept),
     )
-    if last_sent is not None:
-        sent = F.filter(sent, lambda at: F.col("last_sent").isNull() | (at > F.col("last_sent")))
-    out = per_rule.select(rule, F.explode(sent).alias(ts))
+    out = slots.join(entered, [rule, "_slot"]).select(rule, F.explode(sent).alias("_sent"))
+    out = out.select(rule, F.timestamp_micros("_sent").cast(kind).alias(ts))
     if max_per_hour is None:
         return out
     in_hour = Window.partitionBy(F.date_trunc("HOUR", F.col(ts))).orderBy(ts, rule)

@@ -157,3 +157,21 @@ def test_gates(spark):
     scores = spark.createDataFrame([(m, 85.0) for m in gates.SCORE_WEIGHTS], "metric string, value double")
     row = gates.quality_score(scores).first()
     assert (row.score, row.result, row.main_branch_result) == (85.0, "PASS", "FAIL")
+
+
+def test_cooldown_over_slots_with_a_hot_rule(spark):
+    rnd = random.Random(5)
+    fired = [("hot", rnd.randint(0, 4 * 86400)) for _ in range(1500)]
+    fired += [(f"r{rnd.randint(0, 9)}", rnd.randint(0, 4 * 86400)) for _ in range(300)]
+    # Around midnight, where a pause reaches into the next slot.
+    fired += [("edge", 86400 * d + s) for d in (1, 2, 3) for s in (-901, -900, -899, -1, 0, 1, 898, 899, 900, 901)]
+    alerts = spark.createDataFrame([(r, at(s)) for r, s in fired], "rule string, fired_at timestamp_ntz")
+    for minutes in (15, 60 * 30):
+        expected = []
+        for rule in {r for r, _ in fired}:
+            last = None
+            for sec in sorted({s for r, s in fired if r == rule}):
+                if last is None or sec >= last + 60 * minutes:
+                    expected.append((rule, at(sec)))
+                    last = sec
+        assert rows(monitoring.cooldown(alerts, minutes, max_per_hour=None)) == sorted(expected, key=repr)
