@@ -40,15 +40,19 @@ def _nullable_text(document: Column, keys: Column, name: str) -> Column:
     return absent | F.coalesce(_type_of(document, name), F.lit("VOID")).isin("STRING", "VOID")
 
 
+def _entries(document: Column, path: str) -> Column:
+    """The fields of an object; NULL for anything else."""
+    return F.try_variant_get(document, path, "map<string,variant>")
+
+
 def validate_json_schema(df: DataFrame, column: str = "value") -> DataFrame:
     """The UserEvent JSON Schema: required fields, types, enum, and no further properties."""
-    source = F.col(column)
     doc, keys = F.col("_doc"), F.col("_keys")
     known = F.array(*[F.lit(n) for n in (*REQUIRED, *OPTIONAL)])
     time_type = _type_of(doc, "timestamp")
     number = F.try_variant_get(doc, "$.timestamp", "decimal(38,6)")
     whole = (time_type == "BIGINT") | (time_type.startswith("DECIMAL") & (F.floor(number) == number))
-    entries = F.from_json(F.get_json_object(source, "$.properties"), "map<string,variant>")
+    entries = _entries(doc, "$.properties")
     each_text = F.forall(
         F.map_values(entries), lambda v: F.coalesce(F.schema_of_variant(v), F.lit("")) == "STRING"
     )
@@ -74,8 +78,8 @@ def validate_json_schema(df: DataFrame, column: str = "value") -> DataFrame:
         ("user_agent", _nullable_text(doc, keys, "user_agent")),
         ("additional_properties", F.size(F.array_except(keys, known)) == 0),
     ]
-    parsed = df.withColumn("_doc", F.try_parse_json(source)).withColumn(
-        "_keys", F.when(F.col("_doc").isNotNull(), F.json_object_keys(source))
+    parsed = df.withColumn("_doc", F.try_parse_json(F.col(column))).withColumn(
+        "_keys", F.map_keys(_entries(doc, "$"))
     )
     return with_rules(parsed, rules).drop("_doc", "_keys")
 

@@ -137,6 +137,8 @@ TABLES = {
                CASE WHEN event_id % 37 = 0 THEN '-1' WHEN event_id % 43 = 0 THEN 'late'
                  ELSE CAST(epoch_us(ts) // 1000 AS VARCHAR) END AS "timestamp"
         FROM events""",
+    "events_of_strangers": """
+        SELECT CASE WHEN user_id % 90 = 0 THEN -user_id ELSE user_id END AS user_id FROM user_events""",
     "access_checks": """
         SELECT 'sa_' || (user_id % 10) AS service_account, event_type AS operation,
                event_id % 3 <> 0 AS expected_success,

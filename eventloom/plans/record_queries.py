@@ -222,14 +222,14 @@ def _(t: Tables):
 
 
 @query("src_json_lines", """
-    SELECT count(*) AS lines, count(*) FILTER (event_id % 53 <> 0) AS parsed,
-      count(*) FILTER (event_id % 53 = 0) AS corrupt FROM json_lines""")
+    WITH p AS (SELECT json_valid(value) AND CASE WHEN json_valid(value)
+        THEN json_type(value, '$.timestamp') IN ('BIGINT', 'UBIGINT') END AS ok FROM json_lines)
+    SELECT count(*) AS lines, count(*) FILTER (ok) AS parsed, count(*) FILTER (NOT ok) AS corrupt FROM p""")
 def _(t: Tables):
+    """Under the full schema: a line whose time is text is corrupt, like one cut off."""
     path = t.scratch("json")
     t.json_event_lines.select("value").write.text(path)
-    schema = files.USER_EVENT_SCHEMA
-    loose = files.T.StructType([f for f in schema.fields if f.name not in ("timestamp", "properties")])
-    rows = files.read_json_lines(t.spark, path, loose)
+    rows = files.read_json_lines(t.spark, path)
     return rows.agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(F.col(files.CORRUPT).isNull() & F.col("user_id").isNotNull()).alias("parsed"),
@@ -382,13 +382,21 @@ def _(t: Tables):
 
 
 @query("validate_xml", """
-    SELECT CAST(event_id AS VARCHAR) AS session_id, event_type <> 'error' AS is_valid FROM events""")
+    SELECT CASE WHEN event_id % 53 <> 0 THEN CAST(event_id AS VARCHAR) END AS session_id,
+      concat_ws(',', CASE WHEN event_id % 53 = 0 THEN 'malformed' END,
+        CASE WHEN event_id % 53 = 0 OR event_id % 41 = 0 THEN 'user_id' END,
+        CASE WHEN event_id % 53 = 0 OR event_type = 'error' THEN 'event_type' END,
+        CASE WHEN event_id % 53 = 0 OR event_id % 37 = 0 OR event_id % 43 = 0 THEN 'timestamp' END)
+        AS errors,
+      event_id % 53 <> 0 AND event_id % 41 <> 0 AND event_id % 37 <> 0 AND event_id % 43 <> 0
+        AND event_type <> 'error' AS is_valid
+    FROM events""")
 def _(t: Tables):
+    """Records that break a field rule, and records that do not parse: these keep only their text."""
     path = t.scratch("xmlcheck")
-    rows = _user_event_rows(t).drop("properties")
-    rows.write.format("xml").option("rootTag", "events").option("rowTag", "event").save(path)
-    read = files.read_xml(t.spark, path)
-    return validation.validate_fields(read, files.CORRUPT).select("session_id", "is_valid")
+    t.xml_event_rows.select("value").write.text(path)
+    read = files.parse_xml(files.read_lines(t.spark, path))
+    return validation.validate_fields(read, files.CORRUPT).select("session_id", "errors", "is_valid")
 
 
 @query("validation_rollup", f"""

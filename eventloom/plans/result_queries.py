@@ -237,20 +237,49 @@ def _(t: Tables):
     return results.critical_suites_gate(suite_runs(t), ["suite_0", "suite_1"])
 
 
-@query("report_json", """
-    SELECT 'summary' AS section, CAST(1 AS BIGINT) AS items
-    UNION ALL SELECT 'trends', 1
-    UNION ALL SELECT 'flaky_tests', (SELECT count(*) FROM (SELECT test_name FROM recent_tests GROUP BY 1
-      HAVING count(*) >= 5 AND bool_or(status = 'PASSED') AND bool_or(status = 'FAILED')))
-    UNION ALL SELECT 'failure_patterns', (SELECT count(DISTINCT coalesce(error_type, 'Unknown'))
-      + count(DISTINCT coalesce(component, 'Unknown')) FROM recent_tests WHERE status = 'FAILED')
-    UNION ALL SELECT 'top_failing_tests', 10
-    UNION ALL SELECT 'test_results', 100""")
+# What names an item of a section, and a number and a text that belong to it.
+_REPORT_FIELDS = {
+    "summary": (None, "total_tests", "success_rate"),
+    "trends": (None, None, "success_rate_trend"),
+    "flaky_tests": ("test_name", "total_executions", "flaky_score"),
+    "failure_patterns": ("value", "failures", None),
+    "top_failing_tests": ("test_name", "failure_count", None),
+    "test_results": ("test_name", None, "duration"),
+}
+
+
+@query("report_json", f"""
+    WITH d AS (SELECT *, row_number() OVER (ORDER BY "date") - 1 AS x FROM ({_DAILY})), f AS ({_FLAKY})
+    SELECT 'summary' AS section, NULL AS "name", count(*) AS "number",
+      round(CAST(count(*) FILTER (status = 'PASSED') AS DOUBLE) / count(*) * 100, 6) AS measure
+      FROM recent_tests
+    UNION ALL SELECT 'trends', NULL, NULL, round(regr_slope(success_rate, x), 6) FROM d
+    UNION ALL SELECT 'flaky_tests', test_name, total_executions, flaky_score FROM f
+    UNION ALL SELECT 'failure_patterns', coalesce(error_type, 'Unknown'), count(*), NULL
+      FROM recent_tests WHERE status = 'FAILED' GROUP BY 2
+    UNION ALL SELECT 'failure_patterns', coalesce(component, 'Unknown'), count(*), NULL
+      FROM recent_tests WHERE status = 'FAILED' GROUP BY 2
+    UNION ALL (SELECT 'top_failing_tests', test_name, count(*), NULL FROM recent_tests
+      WHERE status = 'FAILED' GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)
+    UNION ALL (SELECT 'test_results', test_name, NULL, CAST(duration AS DOUBLE) FROM recent_tests
+      ORDER BY "timestamp" DESC, test_name LIMIT 100)""")
 def _(t: Tables):
+    """The report's documents, read back from their JSON."""
     all_results = t.test_results
     rows = results.report(all_results, DAYS, results.latest(all_results))
-    parsed = rows.where(F.try_parse_json("item").isNotNull())
-    return parsed.groupBy("section").agg(F.count(F.lit(1)).alias("items"))
+
+    def read(position: int):
+        out = F.lit(None).cast("string")
+        for section, fields in _REPORT_FIELDS.items():
+            if fields[position]:
+                value = F.get_json_object("item", f"$.{fields[position]}")
+                out = F.when(F.col("section") == section, value).otherwise(out)
+        return out
+
+    return rows.select(
+        "section", read(0).alias("name"), read(1).cast("bigint").alias("number"),
+        read(2).cast("double").alias("measure"),
+    )
 
 
 # --- report files --------------------------------------------------------------------------
@@ -318,9 +347,8 @@ def _(t: Tables):
     runs = suite_runs(t).withColumn(
         "test_suite", F.when(F.col("test_suite") != "suite_4", F.col("test_suite"))
     )
-    # multiLine reads one object per file, so every run gets a folder of its own.
-    runs.withColumn("id", F.xxhash64(*runs.columns)).repartition("id").write.partitionBy("id").json(path)
-    read = reports.read_suite_results(t.spark, f"{path}/*/*.json")
+    runs.write.json(path)
+    read = reports.read_suite_results(t.spark, path, lines=True)
     return read.groupBy("test_suite", "status").agg(
         F.sum("duration_seconds").alias("duration_seconds"), F.count(F.lit(1)).alias("runs")
     )

@@ -28,16 +28,19 @@ AVRO_SCHEMA = """{"type": "record", "name": "UserEvent", "fields": [
  {"name": "user_agent", "type": ["null", "string"], "default": null}]}"""
 
 
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
 def read_json_lines(
     spark: SparkSession, path: str, schema: T.StructType = USER_EVENT_SCHEMA
 ) -> DataFrame:
-    """Newline JSON; the text of a line that does not parse is in ``_corrupt_record``."""
-    return (
-        spark.read.schema(with_corrupt(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    """Newline JSON; the text of a line that does not parse is in ``_corrupt_record``.
+
+    Lines are parsed under the whole schema, whatever columns are used later: the JSON source
+    would skip the others, and not notice that one of them has the wrong type.
+    """
+    record = F.from_json("value", with_corrupt(schema), _PERMISSIVE).alias("_record")
+    return read_lines(spark, path).where(F.trim("value") != "").select(record).select("_record.*")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -51,27 +54,44 @@ def read_csv(spark: SparkSession, path: str, columns: tuple[str, ...] = CSV_COLU
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
+def _with_text_time(schema: T.StructType) -> T.StructType:
+    fields = [
+        T.StructField(f.name, T.StringType() if f.name == "timestamp" else f.dataType)
+        for f in schema.fields
+    ]
+    return with_corrupt(T.StructType(fields))
+
+
 def read_xml(
     spark: SparkSession, path: str, row_tag: str = "event",
     schema: T.StructType = USER_EVENT_SCHEMA,
 ) -> DataFrame:
-    """``<events><event>...``; time stays text, so that a bad one is a rule's business."""
-    text_time = T.StructType(
-        [
-            T.StructField(f.name, T.StringType() if f.name == "timestamp" else f.dataType)
-            for f in schema.fields
-        ]
-    )
+    """``<events><event>...``; time stays text, so that a bad one is a rule's business.
+
+    What follows markup that does not parse is lost to the file's reader: where records may be
+    broken, keep one per line and use ``parse_xml``.
+    """
     return (
         spark.read.format("xml")
         .option("rowTag", row_tag)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(with_corrupt(text_time))
+        .options(**_PERMISSIVE)
+        .schema(_with_text_time(schema))
         .load(path)
     )
 
 
+def parse_xml(
+    lines: DataFrame, column: str = "value", schema: T.StructType = USER_EVENT_SCHEMA
+) -> DataFrame:
+    """One element per line; the text of one that does not parse is in ``_corrupt_record``."""
+    full = _with_text_time(schema)
+    parsed = F.from_xml(F.col(column), full, _PERMISSIVE).alias("_record")
+    # A broken element may still give its first fields; they count as absent.
+    broken = F.col(f"_record.{CORRUPT}").isNotNull()
+    fields = [F.when(~broken, F.col(f"_record.{f.name}")).alias(f.name) for f in schema.fields]
+    return lines.select(parsed).select(*fields, F.col(f"_record.{CORRUPT}").alias(CORRUPT))
+
+
 def avro_available(spark: SparkSession) -> bool:
     return has_source(spark, "avro")
 

@@ -110,12 +110,15 @@ def read_junit_cases(spark: SparkSession, path: str, environment: str = "unknown
     )
 
 
-def read_suite_results(spark: SparkSession, path: str) -> DataFrame:
-    """``*-results.json`` files, one object each, with the defaults of absent fields."""
+def read_suite_results(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """``*-results.json`` files, one object each, with the defaults of absent fields.
+
+    For many runs write one object per line into few files and read those with ``lines``.
+    """
     schema = T.StructType(
         [*_text("test_suite", "status"), T.StructField("duration_seconds", T.DoubleType())]
     )
-    rows = spark.read.schema(schema).option("multiLine", True).json(path)
+    rows = spark.read.schema(schema).option("multiLine", not lines).json(path)
     return rows.select(
         F.coalesce("test_suite", F.lit("unknown")).alias("test_suite"),
         F.coalesce("status", F.lit("UNKNOWN")).alias("status"),

@@ -267,6 +267,28 @@ def csv_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_of_strangers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, but every ninetieth user is unknown."""
+    user = F.col("user_id")
+    return user_events(spark, sf_dir).withColumn("user_id", F.when(user % 90 == 0, -user).otherwise(user))
+
+
+def xml_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``<event>`` element per event, ``(event_id, value)``; a fixed share breaks one rule each."""
+    key = F.col("event_id")
+    ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    kind = F.when(F.col("event_type") == "signup", "LOGIN").otherwise(F.upper("event_type"))
+    text = F.concat(
+        F.lit("<event><session_id>"), key.cast("string"), F.lit("</session_id><user_id>"),
+        F.when(key % 41 == 0, F.lit("")).otherwise(F.concat(F.lit("user"), F.col("user_id").cast("string"))),
+        F.lit("</user_id><event_type>"), kind, F.lit("</event_type><timestamp>"),
+        F.when(key % 37 == 0, F.lit("-1")).when(key % 43 == 0, F.lit("late")).otherwise(ms),
+        # An element that is never closed: the record does not parse.
+        F.when(key % 53 == 0, F.lit("</event>")).otherwise(F.lit("</timestamp></event>")),
+    )
+    return raw_events(spark, sf_dir).select("event_id", text.alias("value"))
+
+
 def access_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected against actual access, one row per event."""
     key = F.col("event_id")
