@@ -19,10 +19,16 @@ SCALE_CONF = {
 }
 
 
+# Session settings that results, and the memory of streams, depend on.
+_NEEDED = ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass")
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on (UTC) to a session somebody else built."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Apply to a session somebody else built what results depend on (UTC), and the state store
+    that keeps the state of streams on disk and not in the executors' memory."""
+    for key in _NEEDED:
+        if spark.conf.get(key, None) != SCALE_CONF[key]:
+            spark.conf.set(key, SCALE_CONF[key])
     return spark
 
 

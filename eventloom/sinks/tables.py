@@ -63,9 +63,13 @@ def write_kafka_stream(df: DataFrame, servers: str, topic: str, checkpoint: str,
 
 
 def write_split(split: DataFrame, good_path: str, reject_path: str, mode: str = "append") -> None:
-    """Good rows to one table, rejected rows with their reason to another."""
-    good_rows(split).write.mode(mode).parquet(good_path)
-    rejected_rows(split).write.mode(mode).parquet(reject_path)
+    """Good rows to one table, rejected rows with their reason to another; one evaluation."""
+    split = split.persist()
+    try:
+        good_rows(split).write.mode(mode).parquet(good_path)
+        rejected_rows(split).write.mode(mode).parquet(reject_path)
+    finally:
+        split.unpersist()
 
 
 def append_changes(path: str) -> Callable[[DataFrame, int], None]:
@@ -85,14 +89,43 @@ def append_changes(path: str) -> Callable[[DataFrame, int], None]:
 def current_rows(
     spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
-    """The upsert table: the last change per key wins, columns added later are NULL before.
-
-    Compaction is ``write_table(current_rows(...).withColumn("batch", lit(n)), ...)``.
-    """
+    """The upsert table: the last change per key wins, columns added later are NULL before."""
     changes = spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
     return latest_per_key(changes, keys, ["batch", *order]).drop("batch")
 
 
+def compact_changes(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], keep: int = 1
+) -> int | None:
+    """Merges all change folders but the newest ``keep`` into the newest of those merged, and
+    returns its batch (None where there is nothing to merge).
+
+    Readers see the same table before, between and after the steps, also where it stops half
+    way: the merged rows are written beside the table, their files are moved into the newest of
+    the merged folders, whose rows they repeat, and only then are the older folders deleted. The
+    last folder must stay unmerged while its batch may still be repeated.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in fs.listStatus(root)]
+    batches = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch="))
+    merged = batches[: len(batches) - keep]
+    if len(merged) < 2:
+        return None
+    folders = [f"{path}/batch={b}" for b in merged]
+    old = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*folders)
+    beside = f"{path}/_compacted-{merged[-1]}"  # readers pass over names with an underscore
+    latest_per_key(old, keys, ["batch", *order]).drop("batch").write.mode("overwrite").parquet(beside)
+    for status in fs.listStatus(hadoop.Path(beside)):
+        name = status.getPath().getName()
+        if name.startswith("part-") and not fs.rename(status.getPath(), hadoop.Path(f"{folders[-1]}/{name}")):
+            raise OSError(f"could not move {name} into {folders[-1]}")
+    for folder in (*folders[:-1], beside):
+        fs.delete(hadoop.Path(folder), True)
+    return merged[-1]
+
+
 def jdbc_upsert_batch(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer into a database: appends the batch to a staging table named by
     the batch, from which the database merges by primary key."""

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -261,7 +261,14 @@ def anomaly_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         before = previous_watermark(batch_id)
         at = F.col("event_timestamp")
-        slim = batch.select("event_id", "user_id", "event_timestamp", "event_type", "payload")
+        columns = ("event_id", "user_id", "event_timestamp", "event_type", "payload")
+        slim = batch.select(*columns).persist()
+        try:
+            judge(slim, batch_id, before, at)
+        finally:
+            slim.unpersist()
+
+    def judge(slim: DataFrame, batch_id: int, before: int | None, at: Column) -> None:
         seen = F.lit(False) if before is None else micros(at) <= before
         accepted = slim.where(~seen).withColumns(
             {"event_date": F.to_date(at), "batch": F.lit(batch_id)}
@@ -272,7 +279,7 @@ def anomaly_writer(
         )
         slim.where(seen).write.mode("overwrite").parquet(f"{root}/late/batch={batch_id}")
 
-        newest = batch.agg(micros(F.max(at))).first()[0]
+        newest = slim.agg(micros(F.max(at))).first()[0]
         reached = None if newest is None else newest - delay_seconds * MICROS
         now = max((w for w in (before, reached) if w is not None), default=None)
         spark.createDataFrame([(now,)], "watermark bigint").write.mode("overwrite").parquet(

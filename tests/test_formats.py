@@ -1,5 +1,6 @@
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.operators import validation
@@ -248,3 +249,27 @@ def test_kafka_is_gated(spark):
     if not event_sources.kafka_available(spark):
         with pytest.raises(Exception, match="(?i)kafka"):
             event_sources.event_stream(spark, "localhost:9092", "t")
+
+
+def test_compaction_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "changes")
+    write = sinks.append_changes(path)
+    for i, data in enumerate([[(1, "a"), (2, "a")], [(2, "b")], [(3, "c"), (1, "c")], [(1, "d")]]):
+        write(spark.createDataFrame(data, "id int, v string").withColumn("at", F.lit(i)), i)
+    expected = rows(sinks.current_rows(spark, path, ["id"], ["at"]))
+    assert sinks.compact_changes(spark, path, ["id"], ["at"]) == 2
+    assert sorted(p.name for p in tmp_path.joinpath("changes").iterdir()) == ["batch=2", "batch=3"]
+    assert rows(sinks.current_rows(spark, path, ["id"], ["at"])) == expected
+    assert sinks.compact_changes(spark, path, ["id"], ["at"]) is None
+    write(spark.createDataFrame([(4, "e")], "id int, v string").withColumn("at", F.lit(4)), 4)
+    assert sinks.compact_changes(spark, path, ["id"], ["at"]) == 3
+    assert len(rows(sinks.current_rows(spark, path, ["id"], ["at"]))) == 4
+
+
+def test_which_lines_are_corrupt_does_not_depend_on_the_columns_read(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    lines = ['{"user_id": "u", "timestamp": 1}', '{"user_id": "u", "timestamp": "late"}', '{"user_id": ']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    read = files.read_json_lines(spark, path)
+    assert read.where(F.col(files.CORRUPT).isNotNull()).select("user_id").count() == 2
+    assert read.agg(F.count(files.CORRUPT)).first()[0] == 2
