@@ -23,10 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import stored
+
 UNDETERMINED = "und"
 MAX_LANGUAGES = 64
 SLOT_BITS = 18
 PROBES = 3
+SLICE_BITS = 12
 CHARS = 1 << 19  # code points normalised at once
 
 
@@ -116,16 +119,27 @@ def fit(docs: DataFrame, sample_docs: int = 2000, min_count: int = 3, share: flo
     contains a trigram if its share there is at least this part of the largest share anywhere.
     """
     labelled = docs.filter((_remainder() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = F.count(F.lit(1)).alias("n")
-    found = labelled.groupBy("lang").agg(order).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    # Ids in the order of their hash, cut into slices: the sample lies in a language's first slices,
+    # so only those are ranked, whatever the number of its documents.
+    spread = F.xxhash64("doc_id")
+    piece = F.shiftright(spread, 64 - SLICE_BITS)
+    sizes = stored(labelled.groupBy("lang", piece.alias("slice")).agg(F.count(F.lit(1)).alias("n")), "languages")
+    total = F.sum("n").alias("n")
+    found = sizes.groupBy("lang").agg(total).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     languages = [r["lang"] for r in found]
     if not languages:
         return Model([], np.zeros(1 << SLOT_BITS, np.uint8))
     numbers = {lang: k for k, lang in enumerate(languages)}
-    nth = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    before = F.sum("n").over(W.partitionBy("lang").orderBy("slice")) - F.col("n")
+    first = (
+        sizes.filter(F.col("lang").isin(languages)).withColumn("before", before)
+        .filter(F.col("before") < sample_docs).select("lang", "slice")
+    )
+    nth = F.row_number().over(W.partitionBy("lang").orderBy(spread, "doc_id"))
     chosen = (
-        labelled.filter(F.col("lang").isin(languages)).select("doc_id", "lang")
-        .withColumn("nth", nth).filter(F.col("nth") <= sample_docs).select("doc_id", "lang").distinct()
+        # At most 64 x sample_docs slices: each holds a document.
+        labelled.select("doc_id", "lang", piece.alias("slice"))
+        .join(F.broadcast(first), ["lang", "slice"], "left_semi").withColumn("nth", nth).filter(F.col("nth") <= sample_docs).select("doc_id", "lang").distinct()
     )
     # At most 64 x sample_docs ids.
     sample = labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
