@@ -137,7 +137,7 @@ def checkpoint_failure_alert(
     fields = {"status": "checkpoint_status", "job_name": "job_name"}
     failed = parse(logs, source, fields).where(F.col("status") == "FAILED")
     hits = failed.groupBy("job_name", F.window("ts", slice_size)).agg(_count().alias("failures"))
-    hits = hits.select(F.col("window.start").alias("timeslice"), "job_name", "failures")
+    hits = hits.select("job_name", F.col("window.start").alias("timeslice"), "failures")
     return hits.where(F.col("failures") > threshold)
 
 
