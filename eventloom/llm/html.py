@@ -4,7 +4,9 @@ Each page's containers are scored by the text of the blocks in them, less link t
 the distance between block and container. A container's path is its ancestors' tags and
 classes with digits generalised. Spark counts, per host, the pages that each path wins and their
 scores; every page is then extracted again at the host's winning paths, in rank order, and only a
-page that has none of them falls back on its own best container.
+page that has none of them falls back on its own best container. The halving favours the innermost
+container, so from the containers found the extraction climbs and adds what belongs to them: the
+ancestors' own text and sibling containers, unless they are mostly links.
 """
 
 from __future__ import annotations
@@ -56,6 +58,7 @@ _NUMBER = re.compile(r"[0-9]+")
 LINKED = 2.0  # a character of link text takes away as much as two others give
 DECAY = 0.5
 BONUS = {"article": 1.5, "main": 1.25}
+BESIDE = 0.2  # a container directly in the body counts beside one of at most five times its text
 
 
 @dataclass
@@ -63,25 +66,103 @@ class Container:
     path: str
     parent: int
     tag: str
+    first: int = 0  # the number of blocks before it
     score: float = 0.0
 
+    def step(self) -> str:
+        return self.path.rpartition("/")[2]
+
+
+@dataclass
+class Block:
+    container: int
+    text: str
+    linked: float  # characters of link text
+    title: bool  # stands in an h1
+
+    def unlinked(self) -> float:
+        return len(self.text) - self.linked
+
 
 @dataclass
 class Page:
-    """Containers in page order, and text blocks with the container that holds them."""
+    """Containers and text blocks in page order. A container's descendants follow it directly."""
 
     containers: list[Container] = field(default_factory=list)
-    blocks: list[tuple[int, str]] = field(default_factory=list)
+    blocks: list[Block] = field(default_factory=list)
 
     def best(self) -> int:
         return max(range(len(self.containers)), key=lambda k: (self.containers[k].score, -k), default=-1)
 
-    def text(self, container: int) -> str:
-        inside = {container}
-        for k in range(container + 1, len(self.containers)):
-            if self.containers[k].parent in inside:
-                inside.add(k)
-        return "\n\n".join(text for of, text in self.blocks if of in inside)
+    def text(self, seeds: list[int]) -> str:
+        """The text of the containers ``seeds`` and of what belongs to them.
+
+        At every ancestor its own blocks belong, and the sibling containers, unless they are mostly
+        links. A sibling outside articles and main parts that outweighs all taken so far is another
+        part of the page, if it has other classes. Directly in the body a sibling must be like the
+        container beside it, hold the title, stand between the title and the rest, or have a
+        fifth of the text.
+        """
+        n = len(self.containers)
+        end = [k + 1 for k in range(n)]
+        unlinked, linked, titles = [0.0] * n, [0.0] * n, [0] * n
+        within = [False] * n  # in an article or main part
+        own: list[list[int]] = [[] for _ in range(n)]
+        below: list[list[int]] = [[] for _ in range(n)]
+        for i, block in enumerate(self.blocks):
+            own[block.container].append(i)
+            unlinked[block.container] += block.unlinked()
+            linked[block.container] += block.linked
+            titles[block.container] += block.title
+        for k, container in enumerate(self.containers):
+            within[k] = container.tag in ("article", "main") or (container.parent >= 0 and within[container.parent])
+            if container.parent >= 0:
+                below[container.parent].append(k)
+        for k in range(n - 1, 0, -1):
+            above = self.containers[k].parent
+            end[above] = max(end[above], end[k])
+            unlinked[above] += unlinked[k]
+            linked[above] += linked[k]
+            titles[above] += titles[k]
+
+        taken, single, climbed = bytearray(n), set(), set()
+
+        def take(k: int):
+            taken[k:end[k]] = b"\x01" * (end[k] - k)
+
+        for seed in seeds:
+            take(seed)
+        core, titled = sum(unlinked[k] for k in seeds), any(titles[k] for k in seeds)
+        for at in seeds:
+            above = self.containers[at].parent
+            while above >= 0 and above not in climbed and not taken[above]:
+                climbed.add(above)
+                here = self.containers[at]
+                heads = [i for i in own[above] if self.blocks[i].title]
+                heads += [self.containers[k].first for k in below[above] if titles[k] and k != at]
+                head = min(heads, default=len(self.blocks)) if not titled else len(self.blocks)
+                single.update(i for i in own[above] if self.blocks[i].title or self.blocks[i].unlinked() > self.blocks[i].linked)
+                more = sum(self.blocks[i].unlinked() for i in own[above])
+                for k in below[above]:
+                    if taken[k] or k == at:
+                        continue
+                    other = self.containers[k]
+                    if other.first == head and titles[k]:
+                        belongs = True
+                    elif unlinked[k] <= linked[k]:
+                        belongs = False
+                    elif other.step() == here.step() or within[above] or head <= other.first < here.first:
+                        belongs = True
+                    elif self.containers[above].tag == "body":
+                        belongs = core * BESIDE <= unlinked[k] <= core
+                    else:
+                        belongs = unlinked[k] <= core
+                    if belongs:
+                        take(k)
+                        more += unlinked[k]
+                core, titled = core + more, titled or bool(heads)
+                at, above = above, self.containers[above].parent
+        return "\n\n".join(b.text for i, b in enumerate(self.blocks) if taken[b.container] or i in single)
 
 
 def _names(attrs: str) -> dict[str, str]:
@@ -121,8 +202,9 @@ def parse(html: str | None) -> Page:
         text = _SPACE.sub(" ", unescape("".join(parts))).strip() if parts else ""
         parts.clear()
         if text:
-            page.blocks.append((here, text))
-            worth = max(0.0, len(text) * (1 - LINKED * linked / max(1, linked + plain)))
+            part = linked / max(1, linked + plain)
+            page.blocks.append(Block(here, text, len(text) * part, any(above[0] == "h1" for above in stack[-2:])))
+            worth = max(0.0, len(text) * (1 - LINKED * part))
             at, part = here, 1.0
             while at >= 0 and worth:
                 page.containers[at].score += worth * part * BONUS.get(page.containers[at].tag, 1.0)
@@ -197,7 +279,7 @@ def parse(html: str | None) -> Page:
             skip += 1
         elif tag in CONTAINERS:
             parent = page.containers[here]
-            page.containers.append(Container(f"{parent.path}/{_step(tag, names)}", here, tag))
+            page.containers.append(Container(f"{parent.path}/{_step(tag, names)}", here, tag, len(page.blocks)))
             here = len(page.containers) - 1
     flush()
     return page
@@ -208,9 +290,9 @@ def extract(page: Page, paths: list[str]) -> str:
     for path in paths:
         found = [k for k, c in enumerate(page.containers) if c.path == path and c.score > 0]
         if found:
-            return page.text(max(found, key=lambda k: (page.containers[k].score, -k)))
+            return page.text(found)
     best = page.best()
-    return page.text(best) if best >= 0 else ""
+    return page.text([best]) if best >= 0 else ""
 
 
 def _host():

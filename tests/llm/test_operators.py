@@ -420,6 +420,24 @@ def test_broken_markup(markup, text):
     assert html.extract(html.parse(markup), []) == text
 
 
+LONG = "A long paragraph of the article. " * 20
+
+
+@pytest.mark.parametrize("markup, text", [
+    ("<body><article><h1>T</h1><p>Standfirst.<div class=body><p>{0}</div></article>", "T\n\nStandfirst.\n\n{0}"),
+    ("<body><div class=post><h1><a href=x>T</a></h1><div class=body><p>{0}</div></div>", "T\n\n{0}"),
+    ("<body><div class=head><h1>T</h1></div><div class=lead>Lead.</div><div class=body><p>{0}</div>", "T\n\nLead.\n\n{0}"),
+    ("<body><article><section>{0}</section><section class=b>Two.</section></article>", "{0}\n\nTwo."),
+    ("<body><div class=x><div class=part1>{0}</div><div class=part2>Two.</div></div>", "{0}\n\nTwo."),
+    ("<body><article class=a>{0}</article><article class=a>Two.</article>", "{0}\n\nTwo."),
+    ("<body><div class=x><div class=body>{0}</div><div class=more><a>Other page</a></div></div><div>Tagline</div>", "{0}"),
+])
+def test_text_around_the_best_container(markup, text):
+    page = html.parse(markup.format(LONG))
+    assert html.extract(page, []) == text.format(LONG.strip())
+    assert html.extract(page, [page.containers[page.best()].path]) == text.format(LONG.strip())
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 
