@@ -40,6 +40,14 @@ FURNITURE_WORDS = frozenset(
     "pagination popup promo promoted promotion related recommended respond share sharing sidebar signup social "
     "sponsor sponsored subscribe toolbar widget widgets".split()
 )
+# With one of the words above these make a compound name of furniture: "site-footer", "ad-slot".
+ROLE_WORDS = frozenset(
+    "area bar block bottom box col column container global inner left list main notice outer page primary right "
+    "secondary section side site slot top unit wrap wrapper".split()
+)
+ARTICLE_WORDS = frozenset("comment comments promo sponsored related".split())
+COMMENT_WORDS = frozenset("comment comments consent cookie cookies disqus respond".split())  # not spared, however long
+TEXTS = frozenset("h1 h2 h3 h4 h5 h6 p".split())  # furniture only if hidden
 CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dd", ("dl",)), "dd": ("dt", ("dl",)),
           "tr": ("tr", ("table",)), "td": ("td", ("tr", "table")), "th": ("th", ("tr", "table"))}
 
@@ -50,10 +58,11 @@ _TOKEN = re.compile(
     r"|</?[a-zA-Z][^<>]*(?:>|(?=<)|\Z)",
     re.S,
 )
-_NAMES = re.compile(r"(?i)\b(class|id|role|hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NAMES = frozenset("class id role hidden aria-hidden".split())
 _END = {tag: re.compile(rf"(?i)</{tag}\b[^>]*(?:>|\Z)") for tag in RAW}
 _SPACE = re.compile(r"\s+")
-_WORDS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[^a-z]+")
 _NUMBER = re.compile(r"[0-9]+")
 LINKED = 2.0  # a character of link text takes away as much as two others give
 DECAY = 0.5
@@ -166,7 +175,25 @@ class Page:
 
 
 def _names(attrs: str) -> dict[str, str]:
-    return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _NAMES.finditer(attrs)} if attrs else {}
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attrs):
+        name = m[1].lower()
+        if name in NAMES and name not in found:  # the first of repeated attributes counts
+            found[name] = unescape(m[2] or m[3] or m[4] or "")
+    return found
+
+
+def _is_hidden(names: dict[str, str]) -> bool:
+    return "hidden" in names or names.get("aria-hidden", "").strip().lower() == "true"
+
+
+def _named(names: dict[str, str], words: frozenset[str]) -> bool:
+    """Whether a class or id is one of the words, or put together from them and role words alone."""
+    for name in f"{names.get('class', '')} {names.get('id', '')}".lower().split():
+        parts = [x for x in _PARTS.split(name) if x]
+        if any(x in words for x in parts) and all(x in words or x in FURNITURE_WORDS or x in ROLE_WORDS for x in parts):
+            return True
+    return False
 
 
 def _is_furniture(tag: str, names: dict[str, str]) -> bool:
@@ -174,12 +201,17 @@ def _is_furniture(tag: str, names: dict[str, str]) -> bool:
         return True
     if tag in PLAIN and tag != "article" or not names:
         return False
-    if "hidden" in names or names.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search"):
+    if tag in TEXTS:
+        return False
+    if names.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary", "search"):
         return True
-    words = _WORDS.findall(f"{names.get('class', '')} {names.get('id', '')}".lower())
     if tag == "article":  # a reader's comment may be an article, a heading's class is none
-        return any(w in ("comment", "comments", "promo", "sponsored", "related") for w in words)
-    return any(w in FURNITURE_WORDS for w in words)
+        return _named(names, ARTICLE_WORDS)
+    return _named(names, FURNITURE_WORDS)
+
+
+def _may_be_spared(tag: str, names: dict[str, str]) -> bool:
+    return tag == "form" or tag not in FURNITURE and not _named(names, COMMENT_WORDS)
 
 
 def _step(tag: str, names: dict[str, str]) -> str:
@@ -189,10 +221,25 @@ def _step(tag: str, names: dict[str, str]) -> str:
 
 def parse(html: str | None) -> Page:
     """Blocks outside page furniture and the containers around them, from markup that may be cut
-    off or wrongly nested."""
+    off or wrongly nested. A form that holds most of the page's unlinked text is no furniture, nor
+    is a container that is furniture by its names, if no article or main part stands outside."""
+    page, most = _parse(html or "", {})
+    if any(c.tag in BONUS and c.score > 0 for c in page.containers):
+        most = {place: tag for place, tag in most.items() if tag == "form"}
+    return _parse(html or "", most)[0] if most else page
+
+
+def _parse(html: str, spared: dict[int, str]) -> tuple[Page, dict[int, str]]:
+    """The page, and where the furniture begins that holds most of the unlinked text and may be
+    spared, with its tag.
+
+    Furniture that begins at a place in ``spared`` is taken as an ordinary element."""
     page = Page([Container("", -1, "body")])
-    html = html or ""
     stack: list[tuple[str, int, int]] = []  # tag, container, furniture depth
+    seen = 0  # characters of unlinked text so far, of hidden elements too
+    dark = 0  # those that no sparing brings back
+    open_furniture: list[tuple[int, int, str, int, int]] = []  # stack depth, place, tag, seen and dark before
+    held: list[tuple[int, str, int]] = []  # place, tag and unlinked text of furniture that may be spared
     here, skip, links = 0, 0, 0
     parts: list[str] = []
     linked = plain = 0
@@ -211,15 +258,27 @@ def parse(html: str | None) -> Page:
                 at, part = page.containers[at].parent, part * DECAY
         linked = plain = 0
 
+    def leave():
+        nonlocal dark
+        _, place, tag, seen_before, dark_before = open_furniture.pop()
+        if place >= 0:
+            held.append((place, tag, seen - seen_before - (dark - dark_before)))
+        else:
+            dark = dark_before + seen - seen_before
+
     def pop(depth: int):
         nonlocal here, skip
         _, here, skip = stack[depth]
         del stack[depth:]
+        while open_furniture and open_furniture[-1][0] >= depth:
+            leave()
 
     at, size = 0, len(html)
     while at < size:
         token = _TOKEN.search(html, at)
         end = token.start() if token else size
+        if end > at and not links:
+            seen += len(html[at:end].strip())
         if end > at and not skip:
             parts.append(html[at:end])
             if links:
@@ -275,14 +334,21 @@ def parse(html: str | None) -> Page:
             continue
         names = _names(token["attrs"] or "")
         stack.append((tag, here, skip))
-        if skip or _is_furniture(tag, names):
+        hidden = _is_hidden(names) and (tag not in PLAIN or tag == "article")
+        furniture = hidden or token.start() not in spared and _is_furniture(tag, names)
+        if furniture:
+            may = not hidden and _may_be_spared(tag, names)
+            open_furniture.append((len(stack) - 1, token.start() if may else -1, tag, seen, dark))
+        if skip or furniture:
             skip += 1
         elif tag in CONTAINERS:
             parent = page.containers[here]
             page.containers.append(Container(f"{parent.path}/{_step(tag, names)}", here, tag, len(page.blocks)))
             here = len(page.containers) - 1
     flush()
-    return page
+    while open_furniture:
+        leave()
+    return page, {place: tag for place, tag, n in held if 2 * n > seen - dark}
 
 
 def extract(page: Page, paths: list[str]) -> str:

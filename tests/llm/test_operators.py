@@ -438,6 +438,23 @@ def test_text_around_the_best_container(markup, text):
     assert html.extract(page, [page.containers[page.best()].path]) == text.format(LONG.strip())
 
 
+@pytest.mark.parametrize("markup, text", [
+    ("<div class=has-sidebar><p>{0}</div>", "{0}"), ("<div class='with-header no-sidebar ad-free'>{0}</div>", "{0}"),
+    ("<div><p>{0}<h2 id='related-work'>Work</h2><p class='notice'>N.<section id='social-impact'>S.</section></div>",
+     "{0}\n\nWork\n\nN.\n\nS."),
+    ("<div style='overflow:hidden' data-id=ad title='hidden gem' aria-hidden='false'>{0}</div>", "{0}"),
+    ("<div>{0}<div aria-hidden=true>a</div><div hidden>b</div><p hidden>c</p></div>", "{0}"),
+    ("<div>{0}<div class=sidebar>a</div><div id=site-footer>b</div><div class='ad-slot'>c</div></div>", "{0}"),
+    ("<body><form id=aspnetForm><div class=x>{0}</div><div class=nav>a</div></form><footer>f</footer>", "{0}"),
+    ("<body><div class=widget><form><div class=x>{0}</div></form></div><nav>n</nav>", "{0}"),
+    ("<body><div class=x>Short.</div><div class=comments>{0}</div><footer>{0}</footer>", "Short."),
+    ("<body><article>Short.</article><div class=ad>{0}</div>", "Short."),
+    ("<body><div class=x>Short.</div><div hidden><form>{0}</form></div>", "Short."),
+])
+def test_furniture_by_name(markup, text):
+    assert html.extract(html.parse(markup.format(LONG)), []) == text.format(LONG.strip())
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 
