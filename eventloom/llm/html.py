@@ -24,7 +24,12 @@ from pyspark.sql import types as T
 from eventloom.llm.common import stored
 
 # What HTML calls these elements, and words that name page furniture.
-RAW = frozenset("script style noscript template textarea select svg iframe object title button".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())  # end at their end tags only
+CODE = frozenset("script style".split())  # without an end tag they take the rest of the page
+SKIPPED = frozenset("button math noscript object select svg template".split())
+EMPTY = frozenset("iframe math object svg template".split())  # "/>" closes these
+FOREIGN_ROOTS = frozenset("math svg".split())
+FOREIGN = "foreignobject"  # HTML inside svg
 FURNITURE = frozenset("nav header footer aside form menu dialog".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -61,6 +66,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAMES = frozenset("class id role hidden aria-hidden".split())
 _END = {tag: re.compile(rf"(?i)</{tag}\b[^>]*(?:>|\Z)") for tag in RAW}
+_OPEN = {tag: re.compile(rf"(?i)<(/?){tag}\b") for tag in SKIPPED}
 _SPACE = re.compile(r"\s+")
 _PARTS = re.compile(r"[^a-z]+")
 _NUMBER = re.compile(r"[0-9]+")
@@ -239,6 +245,8 @@ def _parse(html: str, spared: dict[int, str]) -> tuple[Page, dict[int, str]]:
     seen = 0  # characters of unlinked text so far, of hidden elements too
     dark = 0  # those that no sparing brings back
     open_furniture: list[tuple[int, int, str, int, int]] = []  # stack depth, place, tag, seen and dark before
+    breaks: list[int] = []  # stack depths of skipped elements that a block ends
+    endless: set[str] = set()  # tags without an end tag in the rest of the page
     held: list[tuple[int, str, int]] = []  # place, tag and unlinked text of furniture that may be spared
     here, skip, links = 0, 0, 0
     parts: list[str] = []
@@ -250,7 +258,7 @@ def _parse(html: str, spared: dict[int, str]) -> tuple[Page, dict[int, str]]:
         parts.clear()
         if text:
             part = linked / max(1, linked + plain)
-            page.blocks.append(Block(here, text, len(text) * part, any(above[0] == "h1" for above in stack[-2:])))
+            page.blocks.append(Block(here, text, len(text) * part, any(above[0] == "h1" for above in stack[-3:])))
             worth = max(0.0, len(text) * (1 - LINKED * part))
             at, part = here, 1.0
             while at >= 0 and worth:
@@ -268,10 +276,14 @@ def _parse(html: str, spared: dict[int, str]) -> tuple[Page, dict[int, str]]:
 
     def pop(depth: int):
         nonlocal here, skip
+        if stack[depth][0] not in SKIPPED and stack[depth][2] == 0:
+            flush()  # also where it ends a skipped element in it
         _, here, skip = stack[depth]
         del stack[depth:]
         while open_furniture and open_furniture[-1][0] >= depth:
             leave()
+        while breaks and breaks[-1] >= depth:
+            breaks.pop()
 
     at, size = 0, len(html)
     while at < size:
@@ -294,17 +306,44 @@ def _parse(html: str, spared: dict[int, str]) -> tuple[Page, dict[int, str]]:
         if token["close"]:
             if tag == "a":
                 links = 0
+            if tag in SKIPPED or tag == FOREIGN:
+                for depth in range(len(stack) - 1, -1, -1):
+                    if stack[depth][0] == tag:
+                        pop(depth)
+                        break
             if tag in BLOCKS:
-                flush()
+                if not skip:
+                    flush()
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] == tag:
                         pop(depth)
                         break
             continue
+        if tag in EMPTY and token[0].endswith("/>"):
+            parts.append(" ")
+            continue
         if tag in RAW:
-            close = _END[tag].search(html, at)
-            at = close.end() if close else size
+            close = None if tag in endless else _END[tag].search(html, at)
+            if close:
+                at = close.end()
+            elif tag in CODE:
+                at = size
+            else:  # without an end tag, its text is the page's
+                endless.add(tag)
+            parts.append(" ")
+            continue
+        if tag in SKIPPED or tag == FOREIGN and skip:
+            # One that is not closed before the next of its kind, and svg, ends where a block begins.
+            again = _OPEN[tag].search(html, at) if tag in _OPEN and tag not in FOREIGN_ROOTS and tag not in endless else None
+            if not again and tag in _OPEN and tag not in FOREIGN_ROOTS:
+                endless.add(tag)
+            loose = tag in FOREIGN_ROOTS or tag in _OPEN and not (again and again[1])
             parts.append(" ")
+            stack.append((tag, here, skip))
+            open_furniture.append((len(stack) - 1, -1, tag, seen, dark))
+            skip += 1
+            if loose:
+                breaks.append(len(stack) - 1)
             continue
         if tag == "br":
             parts.append(" ")
@@ -312,7 +351,10 @@ def _parse(html: str, spared: dict[int, str]) -> tuple[Page, dict[int, str]]:
             links = 1
         if tag not in BLOCKS:
             continue
-        flush()
+        while breaks and breaks[-1] == len(stack) - 1:
+            pop(breaks[-1])
+        if not skip:
+            flush()
         links = 0
         # A new block ends an open paragraph; items and cells end the one before.
         for depth in range(len(stack) - 1, -1, -1):
@@ -320,7 +362,7 @@ def _parse(html: str, spared: dict[int, str]) -> tuple[Page, dict[int, str]]:
             if above == "p":
                 pop(depth)
                 break
-            if above in CONTAINERS or above in FURNITURE:
+            if above in CONTAINERS or above in FURNITURE or above in SKIPPED:
                 break
         if tag in CLOSES:
             other, within = CLOSES[tag]

@@ -455,6 +455,21 @@ def test_furniture_by_name(markup, text):
     assert html.extract(html.parse(markup.format(LONG)), []) == text.format(LONG.strip())
 
 
+@pytest.mark.parametrize("markup, text", [
+    ("<svg class=i viewBox='0 0 1 1'/><p>{0}<p>b<svg><title>i</title><text>no</text></svg>", "{0}\n\nb"),
+    ("<div><button class=menu>Menu</div><article>{0}</article>", "{0}"),
+    ("<button>Menu<article>{0}</article><p>b<button>no</button> c", "{0}\n\nb c"),
+    ("<div><svg><path d='M0'></div><p>{0}</p>y<svg><p>z", "{0}\n\ny\n\nz"),
+    ("<p>a <svg><foreignObject><div>no</div></foreignObject></svg>b</p>{0}", "a b\n\n{0}"),
+    ("<p>a <button><div>no</div><p>no</button>b</p><p>{0}", "a b\n\n{0}"),
+    ("<div><select><option>no</div><div><object data=x>no</div><div>{0}</div>", "{0}"),
+    ("<p>a<textarea>no <p>no</textarea><p>{0}<iframe src=x /><p>b<iframe>", "a\n\n{0}\n\nb"),
+    ("<p>{0}<template><p>no</template><noscript>no</noscript><math><mi>x</math> end", "{0} end"),
+])
+def test_skipped_elements_end_with_what_holds_them(markup, text):
+    assert html.extract(html.parse(markup.format(LONG)), []) == text.format(LONG.strip())
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 
