@@ -8,8 +8,8 @@ positives that the language's fill implies, and the language with most evidence
 
 A language contains a trigram when its share of the language's trigrams is not far below the
 largest share in any language. Profiles are fitted in Spark on a bounded, hash-chosen sample of
-the labelled rows (``sample_docs`` per language, at most 64 languages); everything else covers
-every row.
+the labelled rows (``sample_docs`` per language); everything else covers every row and every
+language, 64 of them in a mask word.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import stored
 
 UNDETERMINED = "und"
-MAX_LANGUAGES = 64
+WORD = 64  # languages in a mask word
 SLOT_BITS = 18
 PROBES = 3
 SLICE_BITS = 12
@@ -78,10 +78,14 @@ def slots(grams: np.ndarray) -> list[np.ndarray]:
 @dataclass
 class Model:
     languages: list[str]  # most frequent first
-    masks: np.ndarray  # a bitmask of languages per slot
+    masks: np.ndarray  # a bitmask of languages per slot; with more than 64, a row of slots for each 64 languages
+
+    def words(self) -> np.ndarray:
+        return np.atleast_2d(self.masks)
 
     def false_positives(self) -> np.ndarray:
-        fill = [np.count_nonzero(self.masks & self.masks.dtype.type(1 << k)) / len(self.masks) for k in range(len(self.languages))]
+        words, bit = self.words(), self.masks.dtype.type
+        fill = [np.count_nonzero(words[k // WORD] & bit(1 << k % WORD)) / words.shape[1] for k in range(len(self.languages))]
         return np.array(fill) ** PROBES
 
     def evidence(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,12 +100,13 @@ class Model:
                 end += 1
             grams, begins = trigrams(texts[at:end])
             first, *others = slots(grams)
-            mask = self.masks[first]
-            for slot in others:
-                mask &= self.masks[slot]
-            for k in range(len(self.languages)):
-                hits = np.concatenate(([0], np.cumsum((mask >> k) & 1, dtype=np.int64)))[begins]
-                counts[at:end, k] = hits[1:] - hits[:-1]
+            for word, masks in enumerate(self.words()):
+                mask = masks[first]
+                for slot in others:
+                    mask &= masks[slot]
+                for k in range(word * WORD, min((word + 1) * WORD, len(self.languages))):
+                    hits = np.concatenate(([0], np.cumsum((mask >> k % WORD) & 1, dtype=np.int64)))[begins]
+                    counts[at:end, k] = hits[1:] - hits[:-1]
             total[at:end] = begins[1:] - begins[:-1]
             at = end
         wrong = self.false_positives()
@@ -125,24 +130,23 @@ def fit(docs: DataFrame, sample_docs: int = 2000, min_count: int = 3, share: flo
     piece = F.shiftright(spread, 64 - SLICE_BITS)
     sizes = stored(labelled.groupBy("lang", piece.alias("slice")).agg(F.count(F.lit(1)).alias("n")), "languages")
     total = F.sum("n").alias("n")
-    found = sizes.groupBy("lang").agg(total).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    found = sizes.groupBy("lang").agg(total).orderBy(F.desc("n"), "lang").collect()
     languages = [r["lang"] for r in found]
     if not languages:
         return Model([], np.zeros(1 << SLOT_BITS, np.uint8))
     numbers = {lang: k for k, lang in enumerate(languages)}
     before = F.sum("n").over(W.partitionBy("lang").orderBy("slice")) - F.col("n")
-    first = (
-        sizes.filter(F.col("lang").isin(languages)).withColumn("before", before)
-        .filter(F.col("before") < sample_docs).select("lang", "slice")
-    )
+    first = sizes.withColumn("before", before).filter(F.col("before") < sample_docs).select("lang", "slice")
     nth = F.row_number().over(W.partitionBy("lang").orderBy(spread, "doc_id"))
+    # With up to 64 languages the sample's slices and ids are few enough to go to every task.
+    few = F.broadcast if len(languages) <= WORD else (lambda rows: rows)
     chosen = (
-        # At most 64 x sample_docs slices: each holds a document.
+        # At most sample_docs slices of each language: each holds a document.
         labelled.select("doc_id", "lang", piece.alias("slice"))
-        .join(F.broadcast(first), ["lang", "slice"], "left_semi").withColumn("nth", nth).filter(F.col("nth") <= sample_docs).select("doc_id", "lang").distinct()
+        .join(few(first), ["lang", "slice"], "left_semi").withColumn("nth", nth).filter(F.col("nth") <= sample_docs).select("doc_id", "lang").distinct()
     )
-    # At most 64 x sample_docs ids.
-    sample = labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+    # At most sample_docs ids of each language.
+    sample = labelled.select("doc_id", "lang", "text").join(few(chosen), ["doc_id", "lang"], "left_semi")
 
     def count(batches):
         for batch in batches:
@@ -165,18 +169,20 @@ def fit(docs: DataFrame, sample_docs: int = 2000, min_count: int = 3, share: flo
 
     def insert(batches):
         for batch in batches:
-            bits = np.left_shift(np.int64(1), batch.column(0).to_numpy().astype(np.int64))
+            langs = batch.column(0).to_numpy()
+            words = pa.array((langs // WORD).astype(np.int32))
+            bits = np.left_shift(np.int64(1), (langs % WORD).astype(np.int64))
             grams = batch.column(1).to_numpy().view(np.uint64)
             for slot in slots(grams):
-                yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(bits)], ["slot", "mask"])
+                yield pa.RecordBatch.from_arrays([words, pa.array(slot), pa.array(bits)], ["word", "slot", "mask"])
 
     filled = (
-        profile.select("lang", "gram").mapInArrow(insert, "slot long, mask long")
-        .groupBy("slot").agg(F.bit_or("mask").alias("mask")).toPandas()  # at most one row per slot
+        profile.select("lang", "gram").mapInArrow(insert, "word int, slot long, mask long")
+        .groupBy("word", "slot").agg(F.bit_or("mask").alias("mask")).toPandas()  # at most one row per word and slot
     )
-    width = next(t for t, n in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(languages) <= n)
-    masks = np.zeros(1 << SLOT_BITS, width)
-    masks[filled["slot"].to_numpy()] = filled["mask"].to_numpy().view(np.uint64).astype(width)
+    width = next(t for t, n in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, WORD)) if min(len(languages), WORD) <= n)
+    masks = np.zeros((-(-len(languages) // WORD), 1 << SLOT_BITS), width)
+    masks[filled["word"].to_numpy(), filled["slot"].to_numpy()] = filled["mask"].to_numpy().view(np.uint64).astype(width)
     return Model(languages, masks)
 
 
@@ -189,7 +195,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     to the more frequent language. Other columns travel along; the result columns replace theirs.
     """
     kept = docs.drop("lang_pred", "score", "coverage")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2**18 masks
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**18 masks for each 64 languages
 
     def run(batches):
         learned = shared.value

@@ -282,6 +282,21 @@ def test_language(spark, odd, empty):
     assert language.keep_identified(odd, model).columns == odd.columns
 
 
+def test_more_languages_than_a_mask_word_has_bits(spark):
+    rng, letters = random.Random(3), "abcdefghijklmnopqrstuvwxyz"
+    syllables = {f"l{k:02}": ["".join(rng.choices(letters, k=4)) for _ in range(6)] for k in range(70)}
+    rows = [
+        (i, " ".join(rng.choice(s) + rng.choice(s) for _ in range(30)), lang, "a", 0)
+        for i, (lang, s) in enumerate(itertools.islice(itertools.cycle(syllables.items()), 70 * 12))
+    ]
+    docs = spark.createDataFrame(rows, DOC)
+    model = language.fit(docs)
+    assert sorted(model.languages) == sorted(syllables) and model.masks.shape == (2, 1 << language.SLOT_BITS)
+    named = language.identify(docs.filter(language.held_out()), model).collect()
+    assert {model.languages.index(r["lang"]) for r in named} & set(range(64, 70))
+    assert all(r["lang_pred"] == r["lang"] and r["coverage"] > 0.9 for r in named)
+
+
 def test_filters_return_all_languages_of_a_trigram():
     model = language.Model(["a", "b"], np.zeros(1 << language.SLOT_BITS, np.uint8))
     for bit, word in ((1, "shared"), (2, "shared"), (2, "other")):
