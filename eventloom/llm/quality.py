@@ -3,10 +3,11 @@
 Every document's statistics are computed in one row-wise pass. For each language and source the
 centre and scatter of four transformed statistics are estimated by the minimum covariance
 determinant: from two deterministic starts (quartiles; all rows), concentration steps take the
-nearest three quarters of the rows by Mahalanobis distance and estimate again from them; the start
-with the smaller determinant stands. A step is one histogram of distances per group and one table
-of moment sums, both pre-aggregated, so a source with a third of all rows costs no task more
-than its share, and only one row per group meets the rows again.
+nearest half of the rows, ``(n + p + 1) / 2``, by Mahalanobis distance and estimate again from them;
+the start with the smaller determinant stands, and the rows within the 97.5 % quantile of it give
+the final estimate. So nearly half of a source may be junk. A step is one histogram of distances
+per group and one table of moment sums, both pre-aggregated, so a source with a third of all rows
+costs no task more than its share, and only one row per group meets the rows again.
 
 Statistics that most documents share exactly (no symbols, no repeats) have no variance among the
 central rows, so each scatter gets a floor. Small groups lean on their language: the language's
@@ -25,7 +26,7 @@ from eventloom.llm.common import BLANK_RUN, let, stored, text_or_empty
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
-CENTRAL = 0.75  # part of the rows that estimates are made from
+REWEIGHT = 0.975  # part of the rows that the final estimates are made from, were all of them normal
 STEPS = 3
 PRIOR = 20
 CUTOFF = 33.4  # chi-square with four degrees of freedom: one in a million is larger
@@ -99,17 +100,22 @@ def _vector(rows: DataFrame) -> DataFrame:
     })
 
 
-def _consistency() -> float:
-    """How much the central rows' covariance falls short under the normal law."""
+def _chi_square(x: float, terms: int) -> float:
+    """The part below ``x`` under chi-square with 2 * ``terms`` degrees of freedom."""
+    return 1 - math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(terms))
 
-    def below(x: float, terms: int) -> float:  # chi-square with 2 * terms degrees of freedom
-        return 1 - math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(terms))
 
+def _quantile(part: float) -> float:
     low, high = 0.0, 100.0
     for _ in range(80):
         mid = (low + high) / 2
-        low, high = (mid, high) if below(mid, P // 2) < CENTRAL else (low, mid)
-    return CENTRAL / below(low, P // 2 + 1)
+        low, high = (mid, high) if _chi_square(mid, P // 2) < part else (low, mid)
+    return low
+
+
+def _consistency(part: float) -> float:
+    """How much the covariance of the nearest ``part`` of all rows falls short under the normal law."""
+    return part / _chi_square(_quantile(part), P // 2 + 1) if part < 1 else 1.0
 
 
 def _whitened(estimates: DataFrame) -> DataFrame:
@@ -130,18 +136,25 @@ def _whitened(estimates: DataFrame) -> DataFrame:
     return out.withColumn("logdet", logdet).select(*GROUP, "start", *kept, "logdet")
 
 
-def _estimates(central: DataFrame, factor: float) -> DataFrame:
-    """Centre and scatter per group and start from the rows given."""
-    sums = {"n": F.count(F.lit(1)).cast("double")}
-    sums |= {f"s{i}": F.sum(X[i]) for i in range(P)}
-    sums |= {f"s_{i}_{j}": F.sum(F.col(X[i]) * F.col(X[j])) for i, j in LOWER}
-    moments = central.groupBy(*GROUP, "start").agg(*[c.alias(name) for name, c in sums.items()])
+def _estimates(rows: DataFrame, factor: Column, central: Column | None = None) -> DataFrame:
+    """Centre and scatter per group and start from the rows given, or the ``central`` ones of them.
+
+    ``factor`` makes up for what the central rows' scatter falls short, one value for a group and
+    start. A group without central rows has its language's estimates.
+    """
+    def total(value: Column) -> Column:
+        return F.sum(value if central is None else F.when(central, value).otherwise(0.0))
+
+    sums = {"n": total(F.lit(1.0))}
+    sums |= {f"s{i}": total(F.col(X[i])) for i in range(P)}
+    sums |= {f"s_{i}_{j}": total(F.col(X[i]) * F.col(X[j])) for i, j in LOWER}
+    moments = rows.groupBy(*GROUP, "start").agg(F.max(factor).alias("factor"), *[c.alias(name) for name, c in sums.items()])
     language = W.partitionBy("_loom_lang", "start")
     lean = PRIOR / F.sum("n").over(language)
-    moments = moments.select(*GROUP, "start", *[(F.col(c) + F.sum(c).over(language) * lean).alias(c) for c in sums])
+    moments = moments.select(*GROUP, "start", "factor", *[(F.col(c) + F.sum(c).over(language) * lean).alias(c) for c in sums])
     means = moments.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in range(P)})
     covariance = {
-        f"c_{i}_{j}": (F.col(f"s_{i}_{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")) * factor
+        f"c_{i}_{j}": (F.col(f"s_{i}_{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")) * F.col("factor")
         + (FLOORS[i] ** 2 if i == j else 0.0)
         for i, j in LOWER
     }
@@ -159,15 +172,17 @@ def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def _central(distances: DataFrame) -> DataFrame:
-    """The nearest ``CENTRAL`` part of each group and start, to a thirtieth of the distance."""
+    """The nearest (n + p + 1) / 2 rows of each group and start, to a thirtieth of the distance, with
+    the ``part`` of the group that they are."""
     binned = distances.withColumn("bin", F.floor(F.log2(F.col("d2") + 1e-9) * 16).cast("int"))
     group = [*GROUP, "start"]
     counts = binned.groupBy(*group, "bin").agg(F.count(F.lit(1)).alias("k"))
     so_far = F.sum("k").over(W.partitionBy(*group).orderBy("bin"))
     all_rows = F.sum("k").over(W.partitionBy(*group))
+    half = F.least(all_rows, F.floor((all_rows + P + 1) / 2))
     edge = (
-        counts.withColumn("enough", so_far >= all_rows * CENTRAL).filter("enough")
-        .groupBy(*group).agg(F.min("bin").alias("edge"))
+        counts.withColumns({"so_far": so_far, "n": all_rows, "enough": so_far >= half}).filter("enough")
+        .groupBy(*group).agg(F.min("bin").alias("edge"), (F.min("so_far") / F.max("n")).alias("part"))
     )
     return binned.join(edge, group).filter("bin <= edge")
 
@@ -184,13 +199,17 @@ def scatter(rows: DataFrame) -> DataFrame:
             for i, j in LOWER
         ],
     ))
-    start1 = _estimates(rows.withColumn("start", F.lit(1)), 1.0)
+    start1 = _estimates(rows.withColumn("start", F.lit(1)), F.lit(1.0))
     estimates = stored(start0.unionByName(start1), "scatter")
-    factor = _consistency()
+    factors = F.array(*[F.lit(_consistency(k / 100)) for k in range(50, 101)])
+    factor = F.get(factors, F.greatest(F.round(F.col("part") * 100).cast("int") - 50, F.lit(0)))
     for _ in range(STEPS):
         estimates = stored(_estimates(_central(_distance(rows, estimates)), factor), "scatter")
     first = W.partitionBy(*GROUP).orderBy(F.round("logdet", 9), "start")
-    return estimates.withColumn("nth", F.row_number().over(first)).filter("nth = 1").drop("nth")
+    best = estimates.withColumn("nth", F.row_number().over(first)).filter("nth = 1").drop("nth")
+    best = best.withColumn("start", F.lit(0))  # the groups of a language lean on each other whatever their starts
+    near = F.col("d2") <= _quantile(REWEIGHT)
+    return _estimates(_distance(rows, best), F.lit(_consistency(REWEIGHT)), near)
 
 
 def judge(docs: DataFrame) -> DataFrame:

@@ -521,6 +521,17 @@ def test_quality(spark, odd, empty):
     assert quality.judge(empty).collect() == []
 
 
+def test_quality_finds_junk_that_is_two_fifths_of_a_source(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(600):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(rng.randint(60, 200))]
+        junk = i % 5 < 2 and i < 400
+        rows.append((i, " ".join(w + "###" if junk else w for w in words), "en", "hot" if i < 400 else "b", 0))
+    judged = quality.judge(spark.createDataFrame(rows, DOC)).collect()
+    assert len(judged) == 600 and all(r["kept"] == (r["doc_id"] >= 400 or r["doc_id"] % 5 >= 2) for r in judged)
+
+
 # --- search -----------------------------------------------------------------------------------
 
 
