@@ -150,11 +150,12 @@ def consumer_lag(
 ) -> DataFrame:
     """Newest produced minus newest committed offset for every group and partition; a partition in
     which a group has committed nothing lags fully. Groups are a few configured names, and are
-    known by their commits; ``partition`` may be a topic's partition in one column."""
+    known by their commits; without any commit every partition lags fully for a null group.
+    ``partition`` may be a topic's partition in one column."""
     ends = produced.groupBy(partition).agg(F.max(offset).alias("end_offset"))
     done = committed.groupBy("consumer_group", partition).agg(F.max("committed").alias("committed"))
     groups = done.agg(F.collect_set("consumer_group").alias("groups"))
-    wanted = ends.withColumn("consumer_group", F.explode(groups.scalar()))
+    wanted = ends.withColumn("consumer_group", F.explode_outer(groups.scalar()))
     return wanted.join(done, ["consumer_group", partition], "left").withColumn(
         "lag", F.col("end_offset") - F.coalesce("committed", F.lit(-1).cast("bigint"))
     )

@@ -56,6 +56,13 @@ def test_every_group_lags_on_every_partition(spark):
     assert rows(found) == [("a", 0, 5), ("a", 1, 20), ("b", 0, 0), ("b", 1, 9)]
 
 
+def test_all_partitions_lag_without_commits(spark):
+    produced = spark.createDataFrame([(0, 9), (1, 19)], "partition int, offset bigint")
+    committed = spark.createDataFrame([], "consumer_group string, partition int, committed bigint")
+    found = flow.consumer_lag(produced, committed).select("consumer_group", "partition", "lag")
+    assert rows(found) == [(None, 0, 10), (None, 1, 20)]
+
+
 def test_category_names_may_hold_wildcards(spark):
     df = spark.createDataFrame([("a_b/x",), ("acb/x",), ("a%/x",)], "source_category string")
     assert rows(df.where(monitoring.category("a_b/*"))) == [("a_b/x",)]
