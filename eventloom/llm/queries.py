@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import hamming, html, language, lines, mixing, pieces, pii, quality, sharding, simhash
+from eventloom.llm import (
+    hamming, html, language, lexical, lines, mixing, neighbors, pieces, pii, quality, sharding, simhash, whitening,
+)
 from eventloom.llm.common import stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +190,42 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     named = language.identify(docs.select("doc_id", "text"), language.fit(docs))
     return named.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "coverage")
+
+
+@_query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
+@_query("op12_lexical", r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tfs AS (SELECT doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM d GROUP BY ALL),
+sizes AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n FROM d GROUP BY ALL),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tfs, corpus GROUP BY term, n_docs),
+impacts AS (
+  SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // n_terms))) AS impact
+  FROM tfs JOIN sizes USING (doc_id), corpus),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * impact) AS BIGINT) AS score
+  FROM i JOIN impacts USING (term) JOIN weights USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.rank(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@_query("op13_neighbours")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbors.top_k(rows, rows.where("vec_id % 100 = 0"))

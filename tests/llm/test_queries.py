@@ -8,8 +8,8 @@ from eventloom.llm.queries import ORACLES, QUERIES
 SF = "/root/testdata/sf0.001"
 
 
-def test_ten_queries():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+def test_thirteen_queries():
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -19,7 +19,7 @@ def test_query(spark, name):
         assert frame.count() > 0
         return
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = con.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
