@@ -253,8 +253,11 @@ def build_index(rows: DataFrame, key: str = "vec_id", vector: str = "embedding",
     nodes = stored(ids.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("dim", F.size("vector")), "vectors")
     # One row per dimension that occurs.
     sizes = nodes.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("long").alias("shards"))
+    # Shards are few bytes and much work: without a number of partitions Spark would put many into one task.
+    tasks = 2 * (sizes.agg(F.coalesce(F.sum("shards"), F.lit(1))).first()[0])
     dealt = nodes.join(sizes, "dim").withColumn("hash", F.xxhash64("vector"))
     dealt = dealt.withColumn("shard", F.pmod("hash", "shards").cast("int")).drop("shards")
+    dealt = dealt.repartitionByRange(tasks, "dim", "shard")
 
     def index(part: pd.DataFrame) -> pd.DataFrame:
         # The hash deals the levels, in the same way in every run.
