@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-MEMO = 60_000  # chunks a worker remembers
+MEMO = 60_000  # chunks a worker remembers,
+WORTH = 100  # those of at most so many characters: longer ones hardly recur
 BATCH_CHARS = 1 << 19
 CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 NO_PIECE = 0x110000  # codes from here on match nothing
@@ -225,7 +226,12 @@ def best_paths(v: Vocabulary, chunks: list[str]) -> Paths:
 
 
 def n_best(v: Vocabulary, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The ``n`` best paths of one chunk by backward A-star; fewer if there are no more."""
+    """The ``n`` best paths of one chunk by backward A-star; fewer if there are no more.
+
+    Of paths that cost the same the one nearer to the start goes first, so that ties are followed in
+    depth. A position is left at most ``n`` times: a later way from it to the end has ``n`` before it
+    with the same beginnings. So the work and the memory are linear in the text.
+    """
     marked = [MARK if c == " " else "" if c == MARK else c for c in text]
     into: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(len(text) + 1)]
     for i in range(len(text)):
@@ -242,10 +248,11 @@ def n_best(v: Vocabulary, text: str, n: int) -> list[tuple[float, tuple[int, ...
     for edges in into[1:]:
         ahead.append(max(ahead[i] + s for i, s, _ in edges))
     found: list[tuple[float, tuple[int, ...]]] = []
-    agenda = [(-ahead[-1], 0, len(text), 0.0, None)]
+    agenda = [(-ahead[-1], len(text), 0, 0.0, None)]
     pushed = 0
+    left = [0] * (len(text) + 1)
     while agenda and len(found) < n:
-        _, _, at, done, path = heapq.heappop(agenda)
+        _, at, _, done, path = heapq.heappop(agenda)
         if at == 0:
             ids = []
             while path:
@@ -253,17 +260,25 @@ def n_best(v: Vocabulary, text: str, n: int) -> list[tuple[float, tuple[int, ...
                 path = path[1]
             found.append((done, tuple(ids)))
             continue
+        left[at] += 1
+        if left[at] > n:
+            continue
         for i, s, ids in into[at]:
-            pushed += 1
-            heapq.heappush(agenda, (-(ahead[i] + done + s), pushed, i, done + s, (ids, path)))
+            if left[i] < n:
+                pushed += 1
+                heapq.heappush(agenda, (-(ahead[i] + done + s), i, pushed, done + s, (ids, path)))
     return found
 
 
 @lru_cache(MEMO // 4)
-def _alternatives(path: str, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+def _remembered(path: str, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
     return n_best(vocabulary(path), text, n)
 
 
+def _alternatives(path: str, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+    return _remembered(path, text, n) if len(text) <= WORTH else n_best(vocabulary(path), text, n)
+
+
 @dataclass
 class Encoded:
     """A run of texts: ids one after another, each text's number of ids, score and other paths."""
@@ -300,11 +315,13 @@ class Encoder:
         chunks = list(chain.from_iterable(split))
         number = np.array([*map(self.memo.get, chunks, repeat(-1))], np.int64)
         unknown = np.flatnonzero(number < 0).tolist()
-        new = {c: k for k, c in enumerate(dict.fromkeys(chunks[i] for i in unknown), len(self.memo))}
+        fresh = dict.fromkeys(chunks[i] for i in unknown)
+        short = [c for c in fresh if len(c) <= WORTH]
+        new = {c: k for k, c in enumerate([*short, *(c for c in fresh if len(c) > WORTH)], len(self.memo))}
         number[unknown] = [new[chunks[i]] for i in unknown]
         paths = self.paths + best_paths(vocabulary(self.path), list(new))
-        room = MEMO - len(self.memo)
-        if new and room > 0:  # those beyond are found again when they recur
+        room = min(MEMO - len(self.memo), len(short))
+        if room > 0:  # those beyond are found again when they recur
             self.memo |= dict(islice(new.items(), room))
             n = len(self.memo)
             self.paths = Paths(paths.ids[: paths.length[:n].sum()], paths.length[:n], paths.score[:n], paths.gap[:n])
