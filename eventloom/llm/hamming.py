@@ -3,9 +3,8 @@
 A code is cut into segments, each an index from segment value to codes. Two codes at distance d
 agree in some segment up to d // segments bits, so once all segments have been searched up to a
 radius r, every code nearer than segments * (r + 1) has been met. A query grows its radius until
-its k-th verified distance is below that bound. Queries leave as they are covered; for the few
-still open when a radius has more values than the index has codes, the codes are verified in
-blocks instead.
+its k-th verified distance is below that bound, at the latest until the radius is a segment's width
+and all codes have been met. Queries leave as they are covered.
 
 Equal codes are one index entry with their number and their k smallest ids, so a group of equal
 vectors costs one entry, as a query and as a neighbour.
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import stored
 
 BITS = 64
-BLOCK = 4096  # codes verified at once for a query that is still open at the end
 
 
 def sign_code(vector: str) -> Column:
@@ -73,14 +71,9 @@ def _nearest(found: DataFrame, k: int) -> DataFrame:
     return kept.withColumn("reach", reach).drop("nth", "so_far")
 
 
-def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, segments: int | None = None) -> DataFrame:
-    """``query_id, rank, neighbor_id, distance``: the ``k`` nearest rows of every query.
-
-    ``rows`` and ``queries`` have ``id`` and ``code`` (64 bits as a long). A query is not its own
-    neighbour: rows of its own id are left out. Ties go to the smaller id; repeated rows (of one
-    id and code) count once. Rows and queries without id or code are left out; fewer than k
-    rows give fewer neighbours.
-    """
+def _covered(rows: DataFrame, queries: DataFrame, k: int, segments: int | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The distinct codes, the queries, and for every query code the codes that hold its nearest rows
+    (``query, code, distance``) with the ``radius`` at which they were covered."""
     spark = rows.sparkSession
     want = k + 1  # one may be the query itself
     by_id = W.partitionBy("code").orderBy("id")
@@ -96,36 +89,42 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, segments: int | None
     open_ = wanted.select(F.col("code").alias("query")).distinct()
     widths = [w for _, w in _segments(F.lit(0).cast("long"), segments)]
     best = found = None
-    radius = 0
     far = F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).cast("int")
-    while True:
-        values = sum(math.comb(w, radius) for w in widths)
-        scan = values > n_codes
-        if scan:
-            blocks = codes.select("code", "held", "first_id", F.pmod(F.xxhash64("code"), F.lit(n_codes // BLOCK + 1)).alias("block"))
-            met = open_.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_codes // BLOCK)))).join(blocks, "block")
-        else:
-            flips = F.array(*[F.struct(F.lit(s).alias("segment"), _flips(w, radius).alias("flips")) for s, w in enumerate(widths)])
-            asked = open_.withColumn("code", F.col("query"))
-            asked = _entries(asked, segments).select("query", "segment", "value")
-            flip = F.explode(F.expr("flips.flips")).alias("flip")
-            by_segment = spark.range(1).select(F.explode(flips).alias("flips")).select(F.col("flips.segment").alias("segment"), flip)
-            # As many rows as the radius has values, fixed by the segment widths.
-            asked = asked.join(F.broadcast(by_segment), "segment")
-            asked = asked.select("query", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
-            # Spark takes the exploded side for small and would broadcast it.
-            met = asked.hint("merge").join(index, ["segment", "value"])
+    for radius in range(max(widths) + 1):
+        flips = F.array(*[
+            F.struct(F.lit(s).alias("segment"), _flips(w, radius).alias("flips")) for s, w in enumerate(widths) if radius <= w
+        ])
+        asked = _entries(open_.withColumn("code", F.col("query")), segments).select("query", "segment", "value")
+        flip = F.explode(F.expr("flips.flips")).alias("flip")
+        by_segment = spark.range(1).select(F.explode(flips).alias("flips")).select(F.col("flips.segment").alias("segment"), flip)
+        # As many rows as the radius has values, fixed by the segment widths.
+        asked = asked.join(F.broadcast(by_segment), "segment")
+        asked = asked.select("query", "segment", F.col("value").bitwiseXOR(F.col("flip")).alias("value"))
+        # Spark takes the exploded side for small and would broadcast it.
+        met = asked.hint("merge").join(index, ["segment", "value"])
         met = met.select("query", "code", "held", "first_id", far.alias("distance"))
         if best is not None:
             met = met.union(best.join(open_, "query", "left_semi").select(*met.columns))
         best = stored(_nearest(met.distinct(), want), "nearest")
-        covered = F.lit(True) if scan else F.col("reach") < segments * (radius + 1)
-        done = best.filter(F.coalesce(covered, F.lit(False)))
+        everything = F.lit(radius == max(widths))
+        done = best.filter(everything | F.coalesce(F.col("reach") < segments * (radius + 1), F.lit(False)))
+        done = done.withColumn("radius", F.lit(radius))
         found = done if found is None else found.unionByName(done)
         open_ = stored(open_.join(done.select("query").distinct(), "query", "left_anti"), "open-queries")
-        if scan or open_.limit(1).count() == 0:
+        if open_.limit(1).count() == 0:
             break
-        radius += 1
+    return codes, wanted, found
+
+
+def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, segments: int | None = None) -> DataFrame:
+    """``query_id, rank, neighbor_id, distance``: the ``k`` nearest rows of every query.
+
+    ``rows`` and ``queries`` have ``id`` and ``code`` (64 bits as a long). A query is not its own
+    neighbour: rows of its own id are left out. Ties go to the smaller id; repeated rows (of one
+    id and code) count once. Rows and queries without id or code are left out; fewer than k
+    rows give fewer neighbours.
+    """
+    codes, wanted, found = _covered(rows, queries, k, segments)
     by_query = wanted.join(found.select("query", "code", "distance"), wanted["code"] == F.col("query")).select(
         F.col("id").alias("query_id"), found["code"].alias("code"), "distance"
     )
