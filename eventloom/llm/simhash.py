@@ -1,13 +1,17 @@
 """SimHash near-duplicates by a self-join of the binary trie of all fingerprints.
 
-Equal fingerprints are one leaf, so a group of copies of any size is one row before any join. The
-trie is walked as pairs of nodes: a pair keeps the number of bits in which its two prefixes
-differ and is dropped when that exceeds the budget. The upper levels are a table in Spark: node
-counts, and pairs of nodes, expanded a few bits at a time by masks of few bits and equi-joins, for
-as long as a pair holds more leaves than one task should. Light pairs go to tasks, where the same
-walk continues on sorted arrays, several bits a step, and compares the remaining bits when a
-pair of nodes holds a handful of leaves. A pair of nodes whose leaves are already linked to each
-other is dropped too, so a dense cluster gives a spanning tree and not all its pairs.
+Equal fingerprints are one leaf, so a group of copies of any size is one row before any join. The 64
+bits are dealt into one block more than the budget; two fingerprints within it agree in some block. So
+there is a trie per block, over the fingerprints turned so that the block stands first, and only
+pairs of a node with itself need be walked at the block's depth: a leaf is copied once per block.
+
+A trie is walked as pairs of nodes: a pair keeps the number of bits in which its two prefixes
+differ and is dropped when that exceeds the budget. Nodes go to tasks in bundles of about ``most``
+leaves; a walk works on sorted arrays, several bits a step, and compares the remaining bits
+when a pair of nodes holds a handful of leaves. A node too heavy for a task is first walked as a
+table in Spark: pairs of nodes are expanded a few bits at a time by masks of few bits and equi-joins.
+A pair of nodes whose leaves are already linked to each other is dropped too, so a dense cluster
+gives a spanning tree and not all its pairs.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ BITS = 64
 NO_ID = -(1 << 63)
 STEP = 4  # bits a walk in a task descends at once
 LEAVES = 1024  # a pair of nodes with so many leaf pairs is compared leaf by leaf
-FIRST_BITS = 5  # at least 32 nodes, some 500 pairs
+ROOT_BITS = 16  # a trie has at most 2^16 nodes at the depth where its walk begins
 FRONTIER = 1 << 20  # node or leaf pairs in memory at once
 
 
@@ -149,8 +153,9 @@ class _Labels:
 
 
 def linked(a: np.ndarray, b: np.ndarray | None, depth: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links between values at most ``budget`` bits apart: pairs from ``a`` x ``b``, or
-    within ``a`` if ``b`` is None. Both are sorted and distinct, and each shares ``depth`` bits."""
+    """Spanning links between values at most ``budget`` bits apart: pairs from ``a`` x ``b``, each of
+    which shares ``depth`` bits, or pairs within ``a`` that share them if ``b`` is None. Both are
+    sorted and distinct."""
     same = b is None
     ta = _Trie(a, depth)
     tb = ta if same else _Trie(b, depth)
@@ -158,8 +163,8 @@ def linked(a: np.ndarray, b: np.ndarray | None, depth: int, budget: int) -> tupl
     values = a if same else np.concatenate((a, b))
     labels = _Labels(len(values))
     used = 0 if same or not depth else int(np.bitwise_count((a[0] ^ b[0]) >> np.uint64(BITS - depth)))
-    zero = np.zeros(1, np.int64)
-    stack = [(0, zero, zero, np.full(1, used))]
+    roots = np.arange(len(ta.starts[0])) if same else np.zeros(1, np.int64)
+    stack = [(0, roots, roots, np.full(len(roots), used))]
     while stack:
         level, u, v, used_ = stack.pop()
         su, eu, sv, ev = ta.starts[level][u], ta.ends[level][u], tb.starts[level][v], tb.ends[level][v]
@@ -214,77 +219,104 @@ def _masks(start: int, end: int, budget: int) -> Column:
     return F.array(*[F.lit(x).cast("long") for x in found])
 
 
-def _node_pairs(leaves: DataFrame, budget: int, most: int, stride: int) -> DataFrame:
-    """``u, v, depth``: node pairs within the budget that hold at most ``most`` leaves together.
+def _turned(leaves: DataFrame, blocks: int) -> DataFrame:
+    """``turn, fp``: every fingerprint once per block, turned left so that the block stands first."""
+    offsets = [BITS * k // blocks for k in range(blocks)]
 
-    All leaf pairs within the budget are below exactly one of them.
+    def left(k: int) -> Column:
+        whole = F.col("fp")
+        return whole if k == 0 else F.shiftleft(whole, k).bitwiseOR(F.shiftrightunsigned(whole, BITS - k))
+
+    return leaves.select(F.inline(F.array(*[F.struct(F.lit(k).alias("turn"), left(k).alias("fp")) for k in offsets])))
+
+
+def _node_pairs(leaves: DataFrame, heavy: DataFrame, depth: int, budget: int, most: int, stride: int) -> DataFrame:
+    """``turn, u, v, depth``: node pairs within the budget that hold at most ``most`` leaves together.
+
+    All leaf pairs within the budget below the ``heavy`` nodes are below exactly one of them.
     """
-    total = leaves.count()
-    # Deep enough at once that nodes of even size stay well below the bound together, and that
-    # there is a pair of nodes for every core even where one pair could hold all leaves.
-    first = max(FIRST_BITS, (4 * total // most).bit_length())
-    light, heavy, depth, nxt = None, None, 0, min(BITS, first)
+    heavy = heavy.select("turn", F.col("node").alias("u"), F.col("node").alias("v"))
+    light, nxt = None, min(BITS, depth + stride)
     while True:
-        nodes = leaves.groupBy(_prefix(F.col("fp"), nxt).alias("node")).agg(F.count(F.lit(1)).alias("size"))
+        nodes = leaves.groupBy("turn", _prefix(F.col("fp"), nxt).alias("node")).agg(F.count(F.lit(1)).alias("size"))
         nodes = stored(nodes.withColumn("above", _prefix(F.col("node"), depth)), "trie-nodes")
-        left = nodes.select(F.col("above").alias("u"), F.col("node").alias("nu"), F.col("size").alias("size_u"))
-        right = nodes.select(F.col("node").alias("nv"), F.col("size").alias("size_v"))
-        if heavy is None:
-            started = left.withColumn("v", F.lit(0).cast("long"))
-        else:
-            started = heavy.select("u", "v").join(left, "u")
+        left = nodes.select("turn", F.col("above").alias("u"), F.col("node").alias("nu"), F.col("size").alias("size_u"))
+        right = nodes.select("turn", F.col("node").alias("nv"), F.col("size").alias("size_v"))
         # v's child: v's prefix, and below it u's bits with a few of them flipped.
         seg = _prefix(F.lit(-1).cast("long"), nxt).bitwiseXOR(_prefix(F.lit(-1).cast("long"), depth))
         paired = (
-            started.withColumn("mask", F.explode(_masks(depth, nxt, budget)))
+            heavy.join(left, ["turn", "u"]).withColumn("mask", F.explode(_masks(depth, nxt, budget)))
             .withColumn("nv", F.col("v").bitwiseOR(F.col("nu").bitwiseAND(seg)).bitwiseXOR(F.col("mask")))
             .filter(F.bit_count(F.col("nu").bitwiseXOR(F.col("nv"))) <= budget)
             .filter((F.col("u") != F.col("v")) | (F.col("nu") <= F.col("nv")))
         )
         frontier = stored(
-            paired.join(right, "nv").select(
-                F.col("nu").alias("u"), F.col("nv").alias("v"), (F.col("size_u") + F.col("size_v")).alias("n")
+            paired.join(right, ["turn", "nv"]).select(
+                "turn", F.col("nu").alias("u"), F.col("nv").alias("v"), (F.col("size_u") + F.col("size_v")).alias("n")
             ),
             "trie-pairs",
         )
         depth, nxt = nxt, min(BITS, nxt + stride)
         at_bottom = depth == BITS
-        kept = frontier.filter(F.lit(at_bottom) | (F.col("n") <= most)).select("u", "v", F.lit(depth).alias("depth"))
+        kept = frontier.filter(F.lit(at_bottom) | (F.col("n") <= most)).select("turn", "u", "v", F.lit(depth).alias("depth"))
         light = kept if light is None else light.union(kept)
-        heavy = frontier.filter(F.col("n") > most)
+        heavy = frontier.filter(F.col("n") > most).select("turn", "u", "v")
         if at_bottom or heavy.limit(1).count() == 0:
             return light
 
 
+def _links(a: np.ndarray, b: np.ndarray, turn: int) -> pd.DataFrame:
+    """Links between turned values, turned back."""
+    back = [x if turn == 0 else x >> np.uint64(turn) | x << np.uint64(BITS - turn) for x in (a, b)]
+    return pd.DataFrame({"a": back[0].view(np.int64), "b": back[1].view(np.int64)})
+
+
 def near_links(leaves: DataFrame, budget: int = 4, most: int = 1 << 15, stride: int = 3) -> DataFrame:
     """Links ``a, b`` that connect all fingerprints ``fp`` (distinct) at most ``budget`` bits apart.
 
-    ``most`` bounds the leaves a task walks at once.
+    ``most`` bounds the leaves a task walks at once. A pair that agrees in several blocks may be linked once per block.
     """
-    pairs = stored(_node_pairs(leaves, budget, most, stride), "trie-light")
-    depths = [r[0] for r in pairs.select("depth").distinct().collect()]  # at most 64 numbers
+    blocks = budget + 1
+    depth = min(ROOT_BITS, BITS // blocks)
+    turned = _turned(leaves, blocks)
+    node = _prefix(F.col("fp"), depth).alias("node")
+    # At most blocks x 2^ROOT_BITS rows, of which the heavy ones are broadcast.
+    nodes = stored(turned.groupBy("turn", node).agg(F.count(F.lit(1)).alias("size")), "trie-roots")
+    heavy = nodes.filter(F.col("size") * 2 > most)
+    rooted = turned.withColumn("node", node)
+    light = rooted.join(F.broadcast(heavy), ["turn", "node"], "left_anti")
+    bundles = nodes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] // (blocks * most) + 1
+
+    def walk_nodes(group: pd.DataFrame) -> pd.DataFrame:
+        values = np.sort(group["fp"].to_numpy(np.int64).view(np.uint64))
+        return _links(*linked(values, None, depth, budget), int(group["turn"].iloc[0]))
+
+    bundled = light.select("turn", "fp", F.pmod(F.xxhash64("node"), F.lit(bundles)).alias("bundle"))
+    links = bundled.groupBy("turn", "bundle").applyInPandas(walk_nodes, "a long, b long")
+    if heavy.limit(1).count() == 0:
+        return links
+
+    below = rooted.join(F.broadcast(heavy), ["turn", "node"], "left_semi").select("turn", "fp")
+    below = stored(below, "heavy-leaves")
+    pairs = stored(_node_pairs(below, heavy, depth, budget, most, stride), "trie-light")
     sides = None
-    for depth in depths:
-        at = leaves.withColumn("node", _prefix(F.col("fp"), depth))
-        here = pairs.filter(F.col("depth") == depth)
-        u = at.join(here, at["node"] == here["u"]).select("u", "v", "depth", "fp")
-        v = at.join(here.filter("u <> v"), at["node"] == F.col("v")).select("u", "v", "depth", "fp")
+    for (at_depth,) in pairs.select("depth").distinct().collect():  # at most 64 numbers
+        at = below.withColumn("node", _prefix(F.col("fp"), at_depth))
+        here = pairs.filter(F.col("depth") == at_depth)
+        u = here.withColumn("node", F.col("u")).join(at, ["turn", "node"]).select("turn", "u", "v", "depth", "fp")
+        v = here.filter("u <> v").withColumn("node", F.col("v")).join(at, ["turn", "node"]).select("turn", "u", "v", "depth", "fp")
         sides = u.union(v) if sides is None else sides.union(u).union(v)
-    if sides is None:
-        return leaves.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
 
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        depth = int(group["depth"].iloc[0])
+    def walk_pair(group: pd.DataFrame) -> pd.DataFrame:
+        at_depth, turn = int(group["depth"].iloc[0]), int(group["turn"].iloc[0])
         ends = group[["u", "v"]].iloc[0].to_numpy(np.int64).view(np.uint64)
         values = np.sort(group["fp"].to_numpy(np.int64).view(np.uint64))
         if ends[0] == ends[1]:
-            a, b = linked(values, None, depth, budget)
-        else:
-            mine = (values >> np.uint64(BITS - depth)) == (ends[0] >> np.uint64(BITS - depth))
-            a, b = linked(values[mine], values[~mine], depth, budget)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+            return _links(*linked(values, None, at_depth, budget), turn)
+        mine = (values >> np.uint64(BITS - at_depth)) == (ends[0] >> np.uint64(BITS - at_depth))
+        return _links(*linked(values[mine], values[~mine], at_depth, budget), turn)
 
-    return sides.groupBy("u", "v", "depth").applyInPandas(walk, "a long, b long")
+    return links.union(sides.groupBy("turn", "u", "v", "depth").applyInPandas(walk_pair, "a long, b long"))
 
 
 def near_groups(prints: DataFrame, budget: int = 4) -> DataFrame:
