@@ -6,8 +6,8 @@ determinant: from two deterministic starts (quartiles; all rows), concentration
 nearest half of the rows, ``(n + p + 1) / 2``, by Mahalanobis distance and estimate again from them;
 the start with the smaller determinant stands, and the rows within the 97.5 % quantile of it give
 the final estimate. So nearly half of a source may be junk. A step is one histogram of distances
-per group and one table of moment sums, both pre-aggregated, so a source with a third of all rows
-costs no task more than its share, and only one row per group meets the rows again.
+per group and one table of moment sums, both pre-aggregated. A group's one row of estimates meets its
+rows again in ``SALTS`` parts, so a source with a third of all rows is spread over that many tasks.
 
 Statistics that most documents share exactly (no symbols, no repeats) have no variance among the
 central rows, so each scatter gets a floor. Small groups lean on their language: the language's
@@ -28,6 +28,7 @@ MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
 REWEIGHT = 0.975  # part of the rows that the final estimates are made from, were all of them normal
 STEPS = 3
+SALTS = 64  # parts in which a group's rows meet its estimates
 PRIOR = 20
 CUTOFF = 33.4  # chi-square with four degrees of freedom: one in a million is larger
 STEADY = 50  # words added below a share of repeats: one repeated line says little in a short text
@@ -95,6 +96,7 @@ def _vector(rows: DataFrame) -> DataFrame:
         "x1": F.sqrt(F.col("n_symbols") / n),
         "x2": F.sqrt(F.col("n_dup_lines") * 10 / (n + STEADY)),
         "x3": F.sqrt(F.col("n_repeat_words") / (n + STEADY)),
+        "_loom_salt": F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int"),
         "_loom_lang": F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("")),
         "_loom_source": F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")),
     })
@@ -161,9 +163,14 @@ def _estimates(rows: DataFrame, factor: Column, central: Column | None = None) -
     return _whitened(means.withColumns(covariance))
 
 
+def _dealt(per_group: DataFrame) -> DataFrame:
+    """A row per group and start once for each salt, to meet a group's rows in all their parts."""
+    return per_group.withColumn("_loom_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """Rows with the squared Mahalanobis distance ``d2`` from their group's estimates."""
-    near = rows.join(estimates, GROUP)
+    near = rows.join(_dealt(estimates), [*GROUP, "_loom_salt"])
     steps = [
         sum((F.col(f"w_{i}_{j}") * (F.col(X[j]) - F.col(f"m{j}")) for j in range(i + 1)), F.lit(0.0)) for i in range(P)
     ]
@@ -184,7 +191,7 @@ def _central(distances: DataFrame) -> DataFrame:
         counts.withColumns({"so_far": so_far, "n": all_rows, "enough": so_far >= half}).filter("enough")
         .groupBy(*group).agg(F.min("bin").alias("edge"), (F.min("so_far") / F.max("n")).alias("part"))
     )
-    return binned.join(edge, group).filter("bin <= edge")
+    return binned.join(_dealt(edge), [*group, "_loom_salt"]).filter("bin <= edge")
 
 
 def scatter(rows: DataFrame) -> DataFrame:
@@ -223,7 +230,7 @@ def judge(docs: DataFrame) -> DataFrame:
     sound = rows.filter("NOT base_failed")
     estimates = stored(scatter(sound).withColumn("base_failed", F.lit(False)), "scatter")
     # Failed rows keep their place without a distance: the join on the flag leaves them unmatched.
-    near = rows.join(estimates.drop("start"), [*GROUP, "base_failed"], "left")
+    near = rows.join(_dealt(estimates.drop("start")), [*GROUP, "base_failed", "_loom_salt"], "left")
     steps = [
         sum((F.col(f"w_{i}_{j}") * (F.col(X[j]) - F.col(f"m{j}")) for j in range(i + 1)), F.lit(0.0)) for i in range(P)
     ]
