@@ -7,7 +7,9 @@ operator adds a result column whose name the input already has, the result repla
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +25,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+_FOLDER: ContextVar[str] = ContextVar("folder", default="llm")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def working_folder(spark: SparkSession, name: str) -> Iterator[None]:
+    """What operators store inside the block goes into a folder of its own, which is removed at its end:
+    their results must have been written elsewhere by then."""
+    folder = f"llm/{name}-{uuid.uuid4().hex}"
+    token = _FOLDER.set(folder)
+    try:
+        yield
+    finally:
+        _FOLDER.reset(token)
+        remove(spark, f"{checkpoint_root(spark)}/{folder}")
+
+
+def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), folder: str | None = None) -> DataFrame:
     """Writes a table into the shared folder and reads it back, so that later steps neither
     recompute it nor depend on the executors that made it."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/{folder or _FOLDER.get()}/{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

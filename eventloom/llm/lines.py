@@ -21,7 +21,8 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import BLANKS, let, stored, text_or_empty
+from eventloom.llm.common import BLANKS, let, remove, stored, text_or_empty
+from eventloom.session import checkpoint_root
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HASH = ["h1", "h2"]
@@ -61,9 +62,16 @@ class LineRuns:
 
     def drop(self) -> None:
         for _, name in self.levels:
-            self.spark.sql(f"DROP TABLE {name}")
+            self._drop(name)
         self.levels = []
 
+    def _folder(self, name: str) -> str:
+        return f"{checkpoint_root(self.spark)}/llm/{name}"
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(self.spark, self._folder(name))
+
     def _merge_last(self) -> None:
         (level, older), (_, newer) = self.levels[-2:]
         a, b = self.spark.table(older), self.spark.table(newer)
@@ -76,15 +84,16 @@ class LineRuns:
             (F.coalesce("a_n", zero) + F.coalesce("b_n", zero)).alias("n_docs"),
             F.coalesce("a_keeper", "b_keeper").alias("keeper"),
         )
-        self.levels = self.levels[:-2]
         self._write(level + 1, both)
+        self.levels = [*self.levels[:-3], self.levels[-1]]
         for name in (older, newer):
-            self.spark.sql(f"DROP TABLE {name}")
+            self._drop(name)
 
     def _write(self, level: int, run: DataFrame) -> None:
         name = f"loom_line_run_{uuid.uuid4().hex}"
-        run.write.bucketBy(self.buckets, *HASH).sortBy(*HASH).saveAsTable(name)
         self.levels.append((level, name))
+        # A bucketed table needs a name; its files are in the shared folder like all others.
+        run.write.option("path", self._folder(name)).bucketBy(self.buckets, *HASH).sortBy(*HASH).saveAsTable(name)
 
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -121,12 +130,14 @@ def dedup_lines(
     seen = stored(_occurrences(docs, min_chars).withColumn("batch", batch), "lines", ("batch",))
 
     runs = LineRuns(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    for k in range(len(set(cuts or [])) + 1):
-        runs.add(seen.filter(F.col("batch") == k).select(*HASH, "doc").distinct())
-    repeated = stored(
-        runs.merged().filter(F.col("n_docs") >= min_docs).select(*HASH, "keeper"), "repeated-lines"
-    )
-    runs.drop()
+    try:
+        for k in range(len(set(cuts or [])) + 1):
+            runs.add(seen.filter(F.col("batch") == k).select(*HASH, "doc").distinct())
+        repeated = stored(
+            runs.merged().filter(F.col("n_docs") >= min_docs).select(*HASH, "keeper"), "repeated-lines"
+        )
+    finally:
+        runs.drop()
 
     gone = (
         seen.join(repeated, HASH).filter(F.col("doc") != F.col("keeper"))
