@@ -136,17 +136,15 @@ def fit(docs: DataFrame, sample_docs: int = 2000, min_count: int = 3, share: flo
         return Model([], np.zeros(1 << SLOT_BITS, np.uint8))
     numbers = {lang: k for k, lang in enumerate(languages)}
     before = F.sum("n").over(W.partitionBy("lang").orderBy("slice")) - F.col("n")
-    first = sizes.withColumn("before", before).filter(F.col("before") < sample_docs).select("lang", "slice")
-    nth = F.row_number().over(W.partitionBy("lang").orderBy(spread, "doc_id"))
-    # With up to 64 languages the sample's slices and ids are few enough to go to every task.
-    few = F.broadcast if len(languages) <= WORD else (lambda rows: rows)
-    chosen = (
-        # At most sample_docs slices of each language: each holds a document.
-        labelled.select("doc_id", "lang", piece.alias("slice"))
-        .join(few(first), ["lang", "slice"], "left_semi").withColumn("nth", nth).filter(F.col("nth") <= sample_docs).select("doc_id", "lang").distinct()
+    # One row per language each: the last slice that holds a part of its sample, and the sample's last hash.
+    last = sizes.withColumn("before", before).filter(F.col("before") < sample_docs).groupBy("lang").agg(F.max("slice").alias("last"))
+    nth = F.row_number().over(W.partitionBy("lang").orderBy("spread", "doc_id"))
+    reach = (
+        labelled.select("doc_id", "lang", spread.alias("spread"), piece.alias("slice"))
+        .join(F.broadcast(last), "lang").filter(F.col("slice") <= F.col("last"))
+        .withColumn("nth", nth).filter(F.col("nth") <= sample_docs).groupBy("lang").agg(F.max("spread").alias("reach"))
     )
-    # At most sample_docs ids of each language.
-    sample = labelled.select("doc_id", "lang", "text").join(few(chosen), ["doc_id", "lang"], "left_semi")
+    sample = labelled.select("lang", "text", spread.alias("spread")).join(F.broadcast(reach), "lang").filter("spread <= reach")
 
     def count(batches):
         for batch in batches:
@@ -223,7 +221,6 @@ def held_out() -> Column:
     return F.coalesce(_remainder() == 0, F.lit(False))
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.2) -> DataFrame:
-    """The documents in which some learned language contains at least ``least`` of all trigrams."""
-    named = identify(docs, model)
-    return named.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("coverage") >= least)).select(*docs.columns)
+def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents for which ``identify`` names a language: all but those it calls ``und``."""
+    return identify(docs, model).filter(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
