@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm import language, lines, mixing, pieces, simhash
-from eventloom.llm.common import stored, table
+from eventloom.llm.common import stored, table, working_folder
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters, and those whose trigrams no learned language knows."""
+    """Drops the documents that language identification calls undetermined: those without a letter."""
     return language.keep_identified(docs, language.fit(docs))
 
 
@@ -43,12 +43,14 @@ STAGES = [
     ("sentencepiece", encode),
 ]
 
-# Language identification and SimHash have no SQL form; the stages are tested against brute force.
+# Language identification and SimHash have no SQL form; run()'s rows are tested against a brute-force pipeline.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stage's result is written; what it stored on the way is removed after that."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with working_folder(spark, name):
+            docs = stored(stage(spark, docs, sf_dir), name, folder="llm")
     return docs
