@@ -6,6 +6,8 @@ which is exact, combines on the map side, keeps no per-group set, and is legal o
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,6 +86,12 @@ def event_counts_hourly(events: DataFrame) -> DataFrame:
     )
 
 
+def _seconds(span: str) -> int:
+    """Seconds of ``"5 minutes"`` and the like."""
+    number, unit = span.split()
+    return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.removesuffix("s")]
+
+
 def sliding_activity(
     events: DataFrame,
     size: str = "5 minutes",
@@ -94,22 +102,30 @@ def sliding_activity(
 ) -> DataFrame:
     """Hopping windows with the multiset of event types seen.
 
+    Events are counted once per user, type and pane, the longest span that fits both the size and
+    the slide; a window adds up its panes. So the copies that a hop makes are of pane counts, not of
+    events, however many events a pane has.
+
     The multiset is a map from type to multiplicity, which holds the whole collection in a
-    bounded row: types are counted first, so no group's events are ever gathered.
-    ``as_array=True`` spells the multiset out as a sorted array, one element per event; use it
-    only where windows are known to be small.
+    bounded row: no group's events are ever gathered. ``as_array=True`` spells the multiset out as a
+    sorted array, one element per event; use it only where windows are known to be small.
     """
-    per_type = (
-        events.groupBy("user_id", F.window("event_timestamp", size, slide), "event_type")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    pane = f"{math.gcd(_seconds(size), _seconds(slide))} seconds"
+    panes = events.groupBy("user_id", F.window("event_timestamp", pane), "event_type").agg(
+        F.count(F.lit(1)).alias("_n")
     )
-    bag = F.array_sort(F.collect_list(F.struct("event_type", "_n")))
-    grouped = per_type.groupBy("user_id", "window").agg(
+    # At most one entry per pane and type.
+    grouped = panes.groupBy("user_id", F.window("window", size, slide)).agg(
         F.sum("_n").alias("events_last_5min"),
-        F.count("event_type").alias("unique_event_types"),
-        bag.alias("_bag"),
+        F.collect_list(F.struct("event_type", "_n")).alias("_parts"),
     )
-    known = F.filter("_bag", lambda e: e["event_type"].isNotNull())
+    seen = F.filter(F.array_sort(F.array_distinct(F.transform("_parts", lambda e: e["event_type"]))), lambda k: k.isNotNull())
+
+    def total(kind: Column) -> Column:
+        of_kind = F.filter("_parts", lambda e: e["event_type"] == kind)
+        return F.aggregate(of_kind, F.lit(0).cast("bigint"), lambda n, e: n + e["_n"])
+
+    known = F.transform(seen, lambda kind: F.struct(kind.alias("event_type"), total(kind).alias("_n")))
     if as_array:
         spelled = F.transform(known, lambda e: F.array_repeat(e["event_type"], e["_n"].cast("int")))
         types = F.flatten(spelled)
@@ -119,7 +135,7 @@ def sliding_activity(
         "user_id",
         *_bounds(),
         "events_last_5min",
-        "unique_event_types",
+        F.size(seen).cast("bigint").alias("unique_event_types"),
         types.alias("event_types_array"),
         classify.activity_level(F.col("events_last_5min"), high, medium).alias("activity_level"),
     )
