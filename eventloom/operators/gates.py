@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,36 @@ def evaluate(metrics: DataFrame, gates: DataFrame) -> DataFrame:
     )
 
 
+def gates_by_environment(
+    spark: SparkSession, environments: Sequence[str | None] = (None, *ENVIRONMENT_GATES), **options
+) -> DataFrame:
+    """The thresholds of several environments in one table; None stands for the defaults."""
+    tables = [
+        gate_table(spark, environment=e, **options).withColumn("environment", F.lit(e or "default"))
+        for e in environments
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def join_thresholds(metrics: Sequence[DataFrame], gates: DataFrame) -> DataFrame:
+    """Every measured number beside every threshold that is set for it, whatever environment sets it.
+
+    ``metrics`` are tables of one row of named numbers; a number that none of them has gives
+    a row without a value, and one without a threshold is reported as UNGATED.
+    """
+    measured = reduce(DataFrame.unionByName, map(long_metrics, metrics))
+    ok = holds(F.col("value"), F.col("bound"), F.col("threshold"))
+    result = (
+        F.when(F.col("threshold").isNull(), "UNGATED").when(F.col("value").isNull(), "MISSING").otherwise(verdict(ok))
+    )
+    margin = F.when(F.col("bound") == "min", F.col("value") - F.col("threshold")).otherwise(
+        F.col("threshold") - F.col("value")
+    )
+    return gates.join(measured, "metric", "full").select(
+        "environment", "metric", "value", "bound", "threshold", margin.alias("margin"), result.alias("result")
+    )
+
+
 def overall(evaluated: DataFrame) -> DataFrame:
     """A blocking gate that is not passed, be it failed or missing, fails the whole."""
     failed = F.col("result") != "PASS"

@@ -180,6 +180,22 @@ def top_failing_connectors(logs: DataFrame, limit: int = 10) -> DataFrame:
     return counted.orderBy(F.desc("errors"), "connector_name").limit(limit)
 
 
+def top_failing_panel(logs: DataFrame, limit: int = 10) -> DataFrame:
+    """The report as a panel shows it: with each connector's rank, its share of all errors and the
+    time of its last one."""
+    lines = parse(logs, CONNECTORS, {"connector_name": "connector_name", "level": "level"})
+    counted = lines.where(F.col("level") == "ERROR").groupBy("connector_name").agg(
+        _count().alias("errors"), F.max("ts").alias("last_error")
+    )
+    all_errors = counted.agg(F.sum("errors")).scalar()
+    top = counted.orderBy(F.desc("errors"), "connector_name").limit(limit)
+    rank = F.row_number().over(Window.orderBy(F.desc("errors"), "connector_name"))  # at most ``limit`` rows
+    return top.select(
+        rank.alias("rank"), "connector_name", "errors", percent(F.col("errors"), all_errors).alias("error_share_pct"),
+        "last_error",
+    )
+
+
 def job_status_panel(logs: DataFrame) -> DataFrame:
     return _count_panel(logs, JOBS, "job_status")
 

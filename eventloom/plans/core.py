@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from eventloom.functions import classify, exprs
 from eventloom.operators import anomaly, asof, checks, compare, enrich, windows
 from eventloom.plans.catalog import Tables, query
+from eventloom.sources.events import compacted_latest
 
 _AMOUNT = "CAST(json_extract_string(payload, '$.amount') AS DECIMAL(10,2))"
 
@@ -183,10 +184,21 @@ def _(t: Tables):
 
 
 @query("src_compacted_latest", """
-    SELECT user_id, ver, valid_from, user_name, user_tier FROM users_latest""")
-def _(t: Tables):
-    latest = asof.latest_per_key(t.users, "user_id", ["valid_from", "ver"])
-    return latest.select("user_id", "ver", "valid_from", "user_name", "user_tier")
+    SELECT user_id, ver, valid_from, user_name, user_tier FROM users_latest WHERE user_id % 7 <> 3""")
+def _(t: Tables):
+    """A topic with tombstones: for some users the last record is one, for others one lies between
+    two versions and hides nothing in the end."""
+    columns = ["user_id", "ver", "valid_from", "user_name", "user_tier"]
+    records = t.users.select(*columns, F.lit(False).alias("deleted"))
+    ends = t.users.where("ver = 1 AND user_id % 7 IN (3, 4)").select(
+        "user_id", F.lit(2).alias("ver"),
+        F.when(F.col("user_id") % 7 == 3, F.timestamp_add("DAY", F.lit(1), "valid_from"))
+        .otherwise(F.timestamp_add("HOUR", F.lit(-12), "valid_from")).alias("valid_from"),
+        F.lit(None).cast("string").alias("user_name"), F.lit(None).cast("string").alias("user_tier"),
+        F.lit(True).alias("deleted"),
+    )
+    latest = compacted_latest(records.unionByName(ends), "user_id", "valid_from", "ver", F.col("deleted"))
+    return latest.select(*columns)
 
 
 @query("lookup_join", """

@@ -182,9 +182,39 @@ def _(t: Tables):
     return gates.evaluate(pipeline_metrics(t), gates.gate_table(t.spark, environment="development"))
 
 
-@query("gate_join", _EVALUATED_ROWS)
+_ALL_GATE_ROWS = ", ".join(
+    f"('{e or 'default'}', '{m}', '{op}', {gates.ENVIRONMENT_GATES[e].get(m, v) if e else v}::DOUBLE)"
+    for e in (None, *gates.ENVIRONMENT_GATES) for m, op, v, _ in gates.PIPELINE_GATES
+)
+
+
+@query("gate_join", f"""
+    WITH s AS (SELECT count(*) AS n, count(*) FILTER (event_type = 'error') AS errors,
+        count(*) FILTER (date_sub('second', event_timestamp, processing_time) > 60) AS late,
+        count(DISTINCT user_id) AS users FROM user_events),
+      v AS (SELECT 'data_error_rate' AS metric, 100.0 * errors / n::DOUBLE AS "value" FROM s
+        UNION ALL SELECT 'late_data_percentage', 100.0 * late / n::DOUBLE FROM s
+        UNION ALL SELECT 'active_users', users FROM s
+        UNION ALL SELECT 'test_success_rate', 100.0 * count(*) FILTER (status = 'PASSED') / count(*)::DOUBLE
+          FROM test_results),
+      g(environment, metric, "bound", "threshold") AS (VALUES {_ALL_GATE_ROWS})
+    SELECT environment, coalesce(g.metric, v.metric) AS metric, round("value", 6) AS "value", "bound", "threshold",
+      round(CASE "bound" WHEN 'min' THEN "value" - "threshold" WHEN 'max' THEN "threshold" - "value" END, 6) AS margin,
+      CASE WHEN "threshold" IS NULL THEN 'UNGATED' WHEN "value" IS NULL THEN 'MISSING'
+        WHEN ("bound" = 'min' AND "value" >= "threshold") OR ("bound" = 'max' AND "value" <= "threshold") THEN 'PASS'
+        ELSE 'FAIL' END AS "result"
+    FROM g FULL JOIN v ON g.metric = v.metric""")
 def _(t: Tables):
-    return gates.evaluate(pipeline_metrics(t), gates.gate_table(t.spark, environment="development"))
+    """The numbers of two tables beside the thresholds of every environment."""
+    delay = F.timestamp_diff("SECOND", F.col("event_timestamp"), F.col("processing_time"))
+    n = F.count(F.lit(1))
+    flowing = t.user_events.agg(
+        (F.count_if(F.col("event_type") == "error") / n * 100).alias("data_error_rate"),
+        (F.count_if(delay > 60) / n * 100).alias("late_data_percentage"),
+        F.count_distinct("user_id").alias("active_users"),
+    )
+    tested = t.test_results.agg((F.count_if(F.col("status") == "PASSED") / n * 100).alias("test_success_rate"))
+    return gates.join_thresholds([flowing, tested], gates.gates_by_environment(t.spark))
 
 
 @query("gate_overall", f"""

@@ -120,9 +120,14 @@ _TOP = """
     GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
 
 
-@query("panel_top_failing", _TOP)
+@query("panel_top_failing", """
+    WITH e AS (SELECT connector_name, count(*) AS errors, max(ts) AS last_error FROM connector_lines
+        WHERE level = 'ERROR' GROUP BY 1)
+    SELECT CAST(row_number() OVER (ORDER BY errors DESC, connector_name) AS INT) AS rank, connector_name, errors,
+      round(100.0 * errors / (SELECT sum(errors) FROM e)::DOUBLE, 6) AS error_share_pct, last_error
+    FROM e QUALIFY rank <= 10""")
 def _(t: Tables):
-    return monitoring.top_failing_connectors(t.logs)
+    return monitoring.top_failing_panel(t.logs)
 
 
 @query("top_failing_connectors", _TOP)
