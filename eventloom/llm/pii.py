@@ -1,8 +1,8 @@
 """Personal data in texts, also behind disguises, with spans in source characters.
 
 Plain identifiers are found by patterns and checks. Then transducers rewrite a copy of the text -
-look-alike and wide characters to ASCII, invisible ones to nothing, spelled digits to digits,
-"at" and "dot" disguises to ``@`` and ``.`` - and carry for every character of their output the
+character references, look-alike and wide characters to ASCII, invisible ones to nothing, spelled
+digits (English, German, French, Spanish) to digits, "at" and "dot" disguises to ``@`` and ``.`` - and carry for every character of their output the
 source characters it came from. Identifiers found in the rewritten text are mapped back; spans
 that the plain search has not covered are added. A text without a trace of a disguise is not
 rewritten. Offsets are code points, ends exclusive.
@@ -10,6 +10,7 @@ rewritten. Offsets are code points, ends exclusive.
 
 from __future__ import annotations
 
+import html
 import re
 import unicodedata
 from dataclasses import dataclass
@@ -110,32 +111,63 @@ class Mapped:
         return int(self.start[span[0]]), int(self.end[span[1] - 1])
 
 
-# Letters of other scripts that look like the ASCII letter below them.
+# Letters of other scripts that look like the ASCII letter below them. Characters that
+# Unicode itself relates to an ASCII character come from its data.
 _ALIKE = "АВЕКМНОРСТУХаеорсухіјѕԁһԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧον"
 _ASCII = "ABEKMHOPCTYXaeopcyxijsdhqwABEZHIKMNOPTYXov"
-_INVISIBLE = (0x00AD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)
-_STYLED = ("<wide>", "<font>", "<small>", "<narrow>")
+_STYLED = ("<wide>", "<font>", "<small>", "<narrow>", "<circle>", "<super>", "<sub>", "<noBreak>", "<compat>", "<square>")
+_LETTER = re.compile(r"LATIN (?:LETTER SMALL CAPITAL|SMALL LETTER (?:SCRIPT|DOTLESS|CLOSED|BARRED)) ([A-Z])")
+_STOP = re.compile(r"(?:HALFWIDTH )?(?:IDEOGRAPHIC|ARABIC|SYRIAC SUPRALINEAR|ETHIOPIC) FULL STOP|ONE DOT LEADER")
 
 
 @cache
 def _alike() -> np.ndarray:
-    """For every code point the ASCII character it stands for, itself, or -1 to leave it out."""
+    """For every code point the ASCII character it stands for, itself, or -1 to leave it out.
+
+    Digits of any script and styled forms (wide, circled, raised, mathematical) stand for the plain ones, small
+    capitals for their letters, every space and dash for the ASCII one, other full stops for the dot;
+    format characters and variation selectors are left out.
+    """
     table = np.arange(0x110000, dtype=np.int64)
     for code in range(0x80, 0x110000):
         char = chr(code)
+        kind = unicodedata.category(char)
+        if kind in ("Cn", "Co", "Cs"):
+            continue
+        name = unicodedata.name(char, "")
         digit = unicodedata.decimal(char, None)
         if digit is not None:
             table[code] = 48 + digit
+        elif kind == "Cf" or name.startswith("VARIATION SELECTOR"):
+            table[code] = -1
+        elif kind == "Zs":
+            table[code] = 32
+        elif kind == "Pd" or name == "MINUS SIGN":
+            table[code] = 45
+        elif letter := _LETTER.fullmatch(name):
+            table[code] = ord(letter[1].lower())
+        elif _STOP.fullmatch(name):
+            table[code] = 46
         elif unicodedata.decomposition(char).startswith(_STYLED):
             plain = unicodedata.normalize("NFKC", char)
             if len(plain) == 1 and plain.isascii():
                 table[code] = ord(plain)
     for char, plain in zip(_ALIKE, _ASCII):
         table[ord(char)] = ord(plain)
-    table[list(_INVISIBLE)] = -1
     return table
 
 
+_REFERENCE = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|commat|period|hyphen|dash|nbsp|plus|lowbar);")
+
+
+def unescape(text: Mapped) -> Mapped:
+    """HTML character references to their characters."""
+    if "&" not in text.text:
+        return text
+    edits = [(*m.span(), new) for m in _REFERENCE.finditer(text.text) if len(new := html.unescape(m[0])) == 1]
+    return text.rewrite(edits)
+
+
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -153,49 +185,88 @@ def straighten(text: Mapped) -> Mapped:
     return Mapped(plain, text.start[keep], text.end[keep])
 
 
-_DIGITS = {word: str(k) for k, word in enumerate(
-    ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
-)} | {"oh": "0"}
-_DIGIT_WORD = "(?:" + "|".join(_DIGITS) + ")"
-# Three or more in a row, perhaps after a spelled plus and between plain digits.
+# The digits in English, German, French and Spanish, from zero on.
+_DIGIT_WORDS = (
+    "zero one two three four five six seven eight nine",
+    "null eins zwei drei vier fünf sechs sieben acht neun",
+    "zéro un deux trois quatre cinq six sept huit neuf",
+    "cero uno dos tres cuatro cinco seis siete ocho nueve",
+)
+_DIGITS = {word: str(k) for words in _DIGIT_WORDS for k, word in enumerate(words.split())} | {
+    "oh": "0", "ein": "1", "zwo": "2", "fuenf": "5", "une": "1",
+}
+_TIMES = {"double": 2, "doppel": 2, "doble": 2, "triple": 3}
+_PLUS = ("plus", "más", "mas")
+_NAMES = "|".join(sorted([*_DIGITS, *_TIMES], key=len, reverse=True))
+# Blanks, commas and dashes, also over one line break.
+_BETWEEN = r"(?:[ \t,-]+(?:\r?\n[ \t,-]*)?|\r?\n[ \t,-]*)"
+_DOTS = "dot|punto|punkt|point"
+_DOTTED = rf"(?:[ \t]*\.[ \t]*|[ \t]+(?:{_DOTS})[ \t]+)"
+# Three or more in a row, spelled or plain, at least one of them spelled, perhaps after a spelled plus. No
+# identifier has more than 19 digits, so no more plain ones need stand before the first spelled one.
 _SPELLED = re.compile(
-    rf"(?i)\b(?:plus[ -]{{1,2}})?{_DIGIT_WORD}(?:(?:[ .,-]{{1,2}}|[ ]dot[ ])(?:{_DIGIT_WORD}|[0-9]+)){{2,}}\b"
+    rf"(?i)(?<![^\W_])(?:(?:{'|'.join(_PLUS)}){_BETWEEN}|\+[ ]?)?"
+    rf"(?:[0-9]+(?:{_DOTTED}|{_BETWEEN})){{0,19}}+(?:{_NAMES})(?:(?:{_DOTTED}|{_BETWEEN})(?:{_NAMES}|[0-9]+))+(?![^\W_])"
 )
-_WORD = re.compile(r"[A-Za-z]+")
-_GAP = re.compile(r"[ ,-]+")
+_TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\+")
 
 
 def spell_digits(text: Mapped) -> Mapped:
     """Runs of spelled digits to digits, without the gaps between them; dots between them stay."""
     edits = []
     for run in _SPELLED.finditer(text.text):
-        at = run.start()
-        while at < run.end():
-            word = _WORD.match(text.text, at, run.end())
-            gap = _GAP.match(text.text, at, run.end())
-            name = word[0].lower() if word else ""
-            if name in _DIGITS or name == "plus":
-                edits.append((*word.span(), _DIGITS.get(name, "+")))
-            elif gap and text.text[gap.end() : gap.end() + 3].lower() != "dot" and text.text[max(0, at - 3) : at].lower() != "dot":
-                edits.append((*gap.span(), ""))
-            at = (word or gap).end() if word or gap else at + 1
+        tokens = [m for m in _TOKEN.finditer(text.text, run.start(), run.end()) if m[0].lower() not in _DOTS.split("|")]
+        if sum(m[0] != "+" and m[0].lower() not in _PLUS for m in tokens) < 3:
+            continue
+        times, end = 1, run.start()
+        for m in tokens:
+            word = m[0].lower()
+            between = text.text[end: m.start()]
+            if between:
+                dotted = "." in between or bool(re.search(rf"(?i){_DOTS}", between))
+                edits.append((end, m.start(), "." if dotted else ""))
+            if word in _TIMES:
+                times = _TIMES[word]
+                edits.append((*m.span(), ""))
+            elif word in _DIGITS:
+                edits.append((*m.span(), _DIGITS[word] * times))
+                times = 1
+            elif word in _PLUS:
+                edits.append((*m.span(), "+"))
+            else:
+                times = 1
+            end = m.end()
     return text.rewrite(edits)
 
 
 _OPEN, _CLOSE, _SPACE = r"[\[({<]", r"[\])}>]", r"[ \t]{0,2}"
-_AT = re.compile(rf"(?i)(?P<sure>{_SPACE}{_OPEN}{_SPACE}(?:at|@){_SPACE}{_CLOSE}{_SPACE})|[ \t]{{1,2}}at[ \t]{{1,2}}|@")
-_DOT = rf"(?:{_SPACE}{_OPEN}{_SPACE}(?:dot|\.){_SPACE}{_CLOSE}{_SPACE}|[ \t]{{1,2}}dot[ \t]{{1,2}})"
+_ATS = "at|arroba|arobase|klammeraffe"
+_WRAPPED_AT = rf"{_SPACE}{_OPEN}{_SPACE}(?:{_ATS}|@){_SPACE}{_CLOSE}{_SPACE}"
+_AT = re.compile(
+    rf"(?i)(?P<sure>{_WRAPPED_AT})|(?P<bare>[ \t]{{1,3}}(?:{_ATS})[ \t]{{1,3}})|[ \t]{{0,2}}[-_*]{{1,3}}(?:{_ATS})[-_*]{{1,3}}[ \t]{{0,2}}|@"
+)
+_DOT = (
+    rf"(?:{_SPACE}{_OPEN}{_SPACE}(?:{_DOTS}|\.){_SPACE}{_CLOSE}{_SPACE}|[ \t]{{1,3}}(?:{_DOTS})[ \t]{{1,3}}"
+    rf"|[ \t]{{0,2}}[-_*]{{1,3}}(?:{_DOTS})[-_*]{{1,3}}[ \t]{{0,2}})"
+)
 _HIDDEN_DOT = re.compile(rf"(?i){_DOT}")
-_HIDDEN_DOMAIN = re.compile(rf"(?i)[A-Za-z0-9-]+(?:(?:\.|{_DOT})[A-Za-z0-9-]+)+")
+_LABEL = rf"(?:(?!{_DOT})[A-Za-z0-9-])+"
+_HIDDEN_DOMAIN = re.compile(rf"(?i){_LABEL}(?:(?:\.|{_DOT}){_LABEL})+")
 _DOT_BEFORE = re.compile(rf"(?i){_DOT}$")
-_DOT_WIDTH = 12  # the widest disguised dot, with its spaces
+_DOT_WIDTH = 16  # the widest disguised dot, with its spaces
 _DIGIT_DOT = re.compile(rf"(?i)(?<=[0-9]){_DOT}(?=[0-9])")
+# A bare "at" between words is an address where the word before it is no plain word, or a cue leads to it.
+_NAMED = re.compile(r"[A-Za-z][A-Za-z0-9%+-]*[._0-9][A-Za-z0-9._%+-]*")
+_CUE = re.compile(r"(?i)(?:e-?mail|mail|contact|kontakt|correo|courriel|write|address|adresse)(?:[ \t]+(?:me|us|to|is|an|à|a))?[ \t:]*$")
+_TOP_LABEL = re.compile(r"[A-Za-z]{2,12}")
 
 
 def undisguise(text: Mapped) -> Mapped:
     """Disguised at signs and dots of addresses, and dots between digits, to what they stand for.
 
-    The bare word "at" counts only before a domain with a disguised dot.
+    A word "at" in brackets is one. Without them it counts before a domain with a disguised dot; before a
+    plain domain if blanks surround it and what stands before it has a dot, digit or underscore or
+    follows a cue such as "mail" or "contact".
     """
     s, edits, free = text.text, [], 0
     for at in _AT.finditer(s):
@@ -205,8 +276,6 @@ def undisguise(text: Mapped) -> Mapped:
         if not domain:
             continue
         dots = [(*m.span(), ".") for m in _HIDDEN_DOT.finditer(s, domain.start(), domain.end())]
-        if not dots and at["sure"] is None:
-            continue
         start, before = at.start(), []
         while True:
             local = start
@@ -220,25 +289,30 @@ def undisguise(text: Mapped) -> Mapped:
                 break
             before.append((*dot.span(), "."))
             start = dot.start()
-        if start < at.start():
-            edits += [*reversed(before), (*at.span(), "@"), *dots]
-            free = domain.end()
+        if start == at.start():
+            continue
+        if not dots and at["sure"] is None:
+            if not at["bare"] or not _TOP_LABEL.fullmatch(domain[0].rsplit(".", 1)[1]):
+                continue
+            if not _NAMED.fullmatch(s[start: at.start()]) and not _CUE.search(s, max(0, start - 24), start):
+                continue
+        edits += [*reversed(before), (*at.span(), "@"), *dots]
+        free = domain.end()
     changed = text.rewrite(edits)
     return changed.rewrite([(*m.span(), ".") for m in _DIGIT_DOT.finditer(changed.text)])
 
 
-_DOT_TRACE = re.compile(rf"(?i){_OPEN}{_SPACE}(?:at|dot|@|\.){_SPACE}{_CLOSE}|[ \t]dot[ \t]")
+_DOT_TRACE = re.compile(rf"(?i){_OPEN}{_SPACE}(?:{_ATS}|{_DOTS}|@|\.){_SPACE}{_CLOSE}|[ \t_*-](?:{_DOTS})[ \t_*-]|[ \t](?:{_ATS})[ \t]+[a-z0-9-]+\.[a-z]")
 
 
 def rewritten(text: str) -> Mapped | None:
     """The text after all transducers, None if none of them has anything to do."""
-    mapped = straighten(Mapped.of(text)) if not text.isascii() else None
-    plain = text if mapped is None else mapped.text
-    same = plain is text or plain == text
+    mapped = Mapped.of(text)
+    mapped = straighten(unescape(mapped))
+    plain = mapped.text
     spelled, dotted = _SPELLED.search(plain), _DOT_TRACE.search(plain)
-    if same and not spelled and not dotted:
+    if plain == text and not spelled and not dotted:
         return None
-    mapped = mapped or Mapped.of(text)
     return undisguise(spell_digits(mapped) if spelled else mapped)
 
 
