@@ -7,6 +7,11 @@ scores; every page is then extracted again at the host's winning paths, in rank
 page that has none of them falls back on its own best container. The halving favours the innermost
 container, so from the containers found the extraction climbs and adds what belongs to them: the
 ancestors' own text and sibling containers, unless they are mostly links.
+
+The host's pages vote on furniture too, whatever its name: a container whose text stands word for word in
+at least half of those pages that have its path, and in three with different main texts, goes; so do
+containers that hold a list of like items, each with a short line that has a date or time, on as many pages.
+A container that holds a page's best one is never furniture.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -64,7 +70,13 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-NAMES = frozenset("class id role hidden aria-hidden".split())
+NAMES = frozenset("class id role hidden aria-hidden style".split())
+_UNSEEN = re.compile(r"(?i)(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
+# A year, a time of day, or a count of units ago.
+_DATED = re.compile(r"(?i)\b(?:19|20)[0-9]{2}\b|\b[0-9]{1,2}[:.][0-9]{2}\b|\b[0-9]+ [a-z]+ ago\b|\b(?:vor|il y a|hace) [0-9]+ ")
+SHORT = 80  # characters of a line that tells who and when
+_PRIME, _BASE = (1 << 61) - 1, 0x1F3A5C7D9B2E4 | 1
+VOTERS = 3  # pages with different main texts that must agree on furniture
 _END = {tag: re.compile(rf"(?i)</{tag}\b[^>]*(?:>|\Z)") for tag in RAW}
 _OPEN = {tag: re.compile(rf"(?i)<(/?){tag}\b") for tag in SKIPPED}
 _SPACE = re.compile(r"\s+")
@@ -76,16 +88,22 @@ BONUS = {"article": 1.5, "main": 1.25}
 BESIDE = 0.2  # a container directly in the body counts beside one of at most five times its text
 
 
-@dataclass
+@dataclass(slots=True)
 class Container:
+    """``path`` is a hash of the steps (tag and classes) from the body down, so deep nesting costs no more."""
+
     path: str
+    own: str
     parent: int
     tag: str
     first: int = 0  # the number of blocks before it
     score: float = 0.0
 
     def step(self) -> str:
-        return self.path.rpartition("/")[2]
+        return self.own
+
+    def below(self, step: str) -> str:
+        return xxhash.xxh3_64_hexdigest(f"{self.path}/{step}")
 
 
 @dataclass
@@ -109,8 +127,68 @@ class Page:
     def best(self) -> int:
         return max(range(len(self.containers)), key=lambda k: (self.containers[k].score, -k), default=-1)
 
-    def text(self, seeds: list[int]) -> str:
-        """The text of the containers ``seeds`` and of what belongs to them.
+    def ends(self) -> list[int]:
+        """For every container the number after its last descendant."""
+        end = [k + 1 for k in range(len(self.containers))]
+        for k in range(len(end) - 1, 0, -1):
+            above = self.containers[k].parent
+            end[above] = max(end[above], end[k])
+        return end
+
+    def hashes(self) -> list[int]:
+        """A hash of every container's whole text, 0 where it has none; linear in containers and blocks."""
+        inside = [0] * len(self.containers)  # blocks
+        for block in self.blocks:
+            inside[block.container] += 1
+        for k in range(len(inside) - 1, 0, -1):
+            inside[self.containers[k].parent] += inside[k]
+        so_far, power = [0], [1]
+        for block in self.blocks:
+            so_far.append((so_far[-1] * _BASE + xxhash.xxh3_64_intdigest(block.text)) % _PRIME)
+            power.append(power[-1] * _BASE % _PRIME)
+        return [
+            (so_far[c.first + n] - so_far[c.first] * power[n]) % _PRIME or 1 if n else 0
+            for c, n in zip(self.containers, inside)
+        ]
+
+    def lists(self) -> set[int]:
+        """Containers whose child containers are at least two of one step, each with a short line that has a
+        date or time: lists of comments, of teasers and the like."""
+        dated = [False] * len(self.containers)
+        for block in self.blocks:
+            if len(block.text) <= SHORT and _DATED.search(block.text):
+                at = block.container
+                while at >= 0 and not dated[at]:
+                    dated[at] = True
+                    at = self.containers[at].parent
+        steps: dict[int, list[str]] = {}
+        undated = set()
+        for k, c in enumerate(self.containers):
+            if c.parent >= 0:
+                steps.setdefault(c.parent, []).append(c.own)
+                if not dated[k]:
+                    undated.add(c.parent)
+        return {k for k, below in steps.items() if len(below) > 1 and len(set(below)) == 1 and k not in undated}
+
+    def around_best(self) -> set[int]:
+        found, at = set(), self.best()
+        while at >= 0:
+            found.add(at)
+            at = self.containers[at].parent
+        return found
+
+    def gone(self, furniture: set[str]) -> bytearray:
+        """Marks the containers that the host's votes (``path`` or ``path:hash``) take for furniture."""
+        end, hashes, keep = self.ends(), self.hashes(), self.around_best()
+        marks = bytearray(len(self.containers))
+        lists = self.lists()
+        for k, c in enumerate(self.containers):
+            if k not in keep and (f"{c.path}:{hashes[k]}" in furniture or k in lists and c.path in furniture):
+                marks[k:end[k]] = b"\x01" * (end[k] - k)
+        return marks
+
+    def text(self, seeds: list[int], gone: bytearray | None = None) -> str:
+        """The text of the containers ``seeds`` and of what belongs to them, without the marked ones.
 
         At every ancestor its own blocks belong, and the sibling containers, unless they are mostly
         links. A sibling outside articles and main parts that outweighs all taken so far is another
@@ -119,12 +197,15 @@ class Page:
         fifth of the text.
         """
         n = len(self.containers)
-        end = [k + 1 for k in range(n)]
+        end = self.ends()
+        gone = gone or bytearray(n)
         unlinked, linked, titles = [0.0] * n, [0.0] * n, [0] * n
         within = [False] * n  # in an article or main part
         own: list[list[int]] = [[] for _ in range(n)]
         below: list[list[int]] = [[] for _ in range(n)]
         for i, block in enumerate(self.blocks):
+            if gone[block.container]:
+                continue
             own[block.container].append(i)
             unlinked[block.container] += block.unlinked()
             linked[block.container] += block.linked
@@ -135,7 +216,6 @@ class Page:
                 below[container.parent].append(k)
         for k in range(n - 1, 0, -1):
             above = self.containers[k].parent
-            end[above] = max(end[above], end[k])
             unlinked[above] += unlinked[k]
             linked[above] += linked[k]
             titles[above] += titles[k]
@@ -177,7 +257,7 @@ class Page:
                         more += unlinked[k]
                 core, titled = core + more, titled or bool(heads)
                 at, above = above, self.containers[above].parent
-        return "\n\n".join(b.text for i, b in enumerate(self.blocks) if taken[b.container] or i in single)
+        return "\n\n".join(b.text for i, b in enumerate(self.blocks) if not gone[b.container] and (taken[b.container] or i in single))
 
 
 def _names(attrs: str) -> dict[str, str]:
@@ -190,7 +270,8 @@ def _names(attrs: str) -> dict[str, str]:
 
 
 def _is_hidden(names: dict[str, str]) -> bool:
-    return "hidden" in names or names.get("aria-hidden", "").strip().lower() == "true"
+    unseen = "style" in names and _UNSEEN.search(names["style"])
+    return "hidden" in names or names.get("aria-hidden", "").strip().lower() == "true" or bool(unseen)
 
 
 def _named(names: dict[str, str], words: frozenset[str]) -> bool:
@@ -240,7 +321,7 @@ def _parse(html: str, spared: dict[int, str]) -> tuple[Page, dict[int, str]]:
     spared, with its tag.
 
     Furniture that begins at a place in ``spared`` is taken as an ordinary element."""
-    page = Page([Container("", -1, "body")])
+    page = Page([Container("", "", -1, "body")])
     stack: list[tuple[str, int, int]] = []  # tag, container, furniture depth
     seen = 0  # characters of unlinked text so far, of hidden elements too
     dark = 0  # those that no sparing brings back
@@ -385,7 +466,8 @@ def _parse(html: str, spared: dict[int, str]) -> tuple[Page, dict[int, str]]:
             skip += 1
         elif tag in CONTAINERS:
             parent = page.containers[here]
-            page.containers.append(Container(f"{parent.path}/{_step(tag, names)}", here, tag, len(page.blocks)))
+            step = _step(tag, names)
+            page.containers.append(Container(parent.below(step), step, here, tag, len(page.blocks)))
             here = len(page.containers) - 1
     flush()
     while open_furniture:
@@ -393,45 +475,77 @@ def _parse(html: str, spared: dict[int, str]) -> tuple[Page, dict[int, str]]:
     return page, {place: tag for place, tag, n in held if 2 * n > seen - dark}
 
 
-def extract(page: Page, paths: list[str]) -> str:
+def extract(page: Page, paths: list[str], furniture: list[str] | None = None) -> str:
     """The text at the first of the paths that the page has, else of its own best container."""
+    gone = page.gone(set(furniture)) if furniture else bytearray(len(page.containers))
     for path in paths:
-        found = [k for k, c in enumerate(page.containers) if c.path == path and c.score > 0]
+        found = [k for k, c in enumerate(page.containers) if c.path == path and c.score > 0 and not gone[k]]
         if found:
-            return page.text(found)
+            return page.text(found, gone)
     best = page.best()
-    return page.text([best]) if best >= 0 else ""
+    return page.text([best], gone) if best >= 0 else ""
 
 
 def _host():
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1)), F.lit(""))
 
 
-def host_paths(pages: DataFrame, ranks: int = 3) -> DataFrame:
-    """``host, paths``: the paths that most of a host's pages vote for, best first."""
+def _votes(pages: DataFrame) -> DataFrame:
+    """``host, kind, path, hash, main, score``: each page's vote for its best container (``best``), the
+    containers it has (``has``), their texts (``text``) and its lists of dated items (``list``).
+
+    ``main`` is the hash of the page's main text: copies of a page are one voter on furniture.
+    """
 
     def vote(batches):
         for batch in batches:
-            hosts, paths, scores = [], [], []
+            rows: list[tuple] = []
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 page = parse(html)
                 best = page.best()
-                if best >= 0 and page.containers[best].score > 0:
-                    hosts.append(host)
-                    paths.append(page.containers[best].path)
-                    scores.append(page.containers[best].score)
+                if best < 0 or page.containers[best].score <= 0:
+                    continue
+                hashes, keep, lists = page.hashes(), page.around_best(), page.lists()
+                main = hashes[best]
+                rows.append((host, "best", page.containers[best].path, 0, main, page.containers[best].score))
+                seen = set()
+                for k, c in enumerate(page.containers):
+                    if k in keep or not hashes[k]:
+                        continue
+                    seen |= {("has", c.path, 0), ("text", c.path, hashes[k])}
+                    if k in lists:
+                        seen.add(("list", c.path, 0))
+                rows += [(host, kind, path, h, main, 0.0) for kind, path, h in sorted(seen)]
+            columns = list(zip(*rows)) if rows else [[]] * 6
+            types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
-                ["host", "path", "score"],
+                [pa.array(c, t) for c, t in zip(columns, types)], ["host", "kind", "path", "hash", "main", "score"]
             )
 
-    votes = pages.select(_host().alias("host"), "html").mapInArrow(vote, "host string, path string, score double")
-    counted = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score"))
+    return pages.select(_host().alias("host"), "html").mapInArrow(
+        vote, "host string, kind string, path string, hash long, main long, score double"
+    )
+
+
+def host_paths(pages: DataFrame, ranks: int = 3) -> DataFrame:
+    """``host, paths, furniture``: the paths that most of a host's pages vote for, best first, and the
+    containers (``path`` of lists, ``path:hash`` of texts) that at least half of the pages with that path, and
+    ``VOTERS`` of them, have in common. Pages with one main text are one voter on furniture."""
+    votes = stored(_votes(pages), "page-votes")
+    counted = votes.filter("kind = 'best'").groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("host").orderBy(F.desc("n"), F.desc(F.round("score", 3)), "path"))
     top = counted.withColumn("rank", rank).filter(F.col("rank") <= ranks)
-    return top.groupBy("host").agg(
+    paths = top.groupBy("host").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("paths")
     )
+    voters = votes.filter("kind <> 'best'").select("host", "kind", "path", "hash", "main").distinct()
+    agreed = voters.groupBy("host", "kind", "path", "hash").agg(F.count(F.lit(1)).alias("n"))
+    having = agreed.filter("kind = 'has'").select("host", "path", F.col("n").alias("pages"))
+    common = agreed.filter((F.col("kind") != "has") & (F.col("n") >= VOTERS)).join(having, ["host", "path"])
+    name = F.when(F.col("kind") == "list", F.col("path")).otherwise(F.concat_ws(":", "path", "hash"))
+    # At most two texts of a path can stand on half of its pages each, so the list has the size of a page.
+    furniture = common.filter(F.col("n") * 2 >= F.col("pages")).groupBy("host").agg(F.sort_array(F.collect_set(name)).alias("furniture"))
+    return paths.join(furniture, "host", "left")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -442,7 +556,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     repeated pages count as often as they stand. Other columns travel along; a column named
     ``text`` is replaced. An empty table gives an empty result.
     """
-    winners = stored(host_paths(pages), "host-paths").withColumnsRenamed({"host": "_loom_host", "paths": "_loom_paths"})
+    winners = stored(host_paths(pages), "host-paths").withColumnsRenamed(
+        {"host": "_loom_host", "paths": "_loom_paths", "furniture": "_loom_furniture"}
+    )
     kept = [c for c in pages.columns if c not in ("html", "text")]
     with_paths = pages.withColumn("_loom_host", _host()).join(winners, "_loom_host", "left")
 
@@ -450,10 +566,10 @@ def main_text(pages: DataFrame) -> DataFrame:
         for batch in batches:
             n = batch.num_columns
             texts = [
-                extract(parse(html), paths or [])
-                for html, paths in zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist())
+                extract(parse(html), paths or [], furniture)
+                for html, paths, furniture in zip(*(batch.column(k).to_pylist() for k in (n - 3, n - 2, n - 1)))
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(texts, pa.string())], [*kept, "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(texts, pa.string())], [*kept, "text"])
 
     schema = T.StructType([*pages.select(*kept).schema.fields, T.StructField("text", T.StringType())])
-    return with_paths.select(*kept, "html", "_loom_paths").mapInArrow(run, schema)
+    return with_paths.select(*kept, "html", "_loom_paths", "_loom_furniture").mapInArrow(run, schema)
