@@ -285,6 +285,38 @@ def _(t: Tables):
     )
 
 
+@query("src_xml_records", """
+    WITH e AS (SELECT *, event_id % 50 IN (20, 30) AS broken FROM events)
+    SELECT CASE WHEN NOT broken THEN CAST(event_id AS VARCHAR) END AS session_id,
+      CASE WHEN NOT broken THEN 'user' || user_id END AS user_id,
+      CASE WHEN NOT broken THEN CASE event_type WHEN 'signup' THEN 'LOGIN' ELSE upper(event_type) END END AS event_type,
+      CASE WHEN NOT broken THEN json_extract_string(props, '$.k') END AS k,
+      CASE WHEN broken THEN event_id END AS broken_event FROM e""")
+def _(t: Tables):
+    """Documents in whose middle some records have a wrong tag and others no end: all the others
+    come, and the broken ones with their text."""
+    path = t.scratch("xml-records")
+    rows = _user_event_rows(t).withColumn("properties", F.struct(F.col("properties")["k"].alias("k")))
+    at = F.col("session_id").cast("bigint")
+    record = F.to_xml(F.struct("session_id", "user_id", "event_type", "timestamp", "properties"), {"rowTag": "event"})
+    record = (
+        F.when(at % 50 == 20, F.replace(record, F.lit("</user_id>"), F.lit("</user>")))
+        .when(at % 50 == 30, F.replace(record, F.lit("</event>"), F.lit(""))).otherwise(record)
+    )
+    # Fifty records a document.
+    documents = rows.groupBy(F.call_function("div", at, F.lit(50)).alias("d")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at.alias("at"), record.alias("r")))), lambda x: x["r"]), "\n").alias("r")
+    )
+    text = F.concat(F.lit('<?xml version="1.0"?>\n<!-- events -->\n<events>\n'), F.col("r"), F.lit("\n</events>"))
+    documents.select(text.alias("value")).write.text(path)
+    read = files.read_xml_records(t.spark, path)
+    broken = F.regexp_extract(files.CORRUPT, "<session_id>([0-9]+)<", 1)
+    return read.select(
+        "session_id", "user_id", "event_type", F.col("properties")["k"].alias("k"),
+        F.nullif(broken, F.lit("")).cast("bigint").alias("broken_event"),
+    )
+
+
 @query("format_roundtrip", """
     SELECT f AS "format", count(*) AS records, CAST(0 AS BIGINT) AS changed, 100.0::DOUBLE AS fidelity_pct
     FROM events, (VALUES ('json'), ('csv'), ('xml'), ('parquet')) AS v(f) GROUP BY f""")

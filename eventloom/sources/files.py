@@ -69,7 +69,7 @@ def read_xml(
     """``<events><event>...``; time stays text, so that a bad one is a rule's business.
 
     What follows markup that does not parse is lost to the file's reader: where records may be
-    broken, keep one per line and use ``parse_xml``.
+    broken, use ``read_xml_records``.
     """
     return (
         spark.read.format("xml")
@@ -80,16 +80,51 @@ def read_xml(
     )
 
 
+# What may stand between records: declarations, comments and the root element's tags.
+_BETWEEN_RECORDS = r"(?s)<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>]*>|</?{root}(\s[^>]*)?>"
+
+
+def read_xml_records(
+    spark: SparkSession, path: str, row_tag: str = "event", root_tag: str = "events",
+    schema: T.StructType = USER_EVENT_SCHEMA, attributes: bool = False,
+) -> DataFrame:
+    """As ``read_xml``, but what is broken costs nothing beyond itself.
+
+    The text source cuts files at the record's start tag, in parallel also within a file; each
+    piece up to its end tag is one record and is parsed alone. A record without an end tag (also
+    one cut off with its file), a record that does not parse, and text between records that
+    is neither a comment nor the root's tags become rows with that text in ``_corrupt_record``.
+    ``attributes`` says that records' start tags have attributes (``<event id=...>``). A start tag inside
+    a comment or CDATA counts as one; records do not nest.
+    """
+    start, end = f"<{row_tag} " if attributes else f"<{row_tag}>", f"</{row_tag}>"
+    pieces = spark.read.option("lineSep", start).text(path)
+    closed = F.instr("value", end) > 0
+    record = F.when(closed, F.concat(F.lit(start), F.substring_index("value", end, 1), F.lit(end)))
+    after = F.when(closed, F.expr(f"substr(value, instr(value, '{end}') + {len(end)})")).otherwise(F.col("value"))
+    rest = F.trim(F.regexp_replace(after, _BETWEEN_RECORDS.format(root=root_tag), ""), F.lit(" \t\r\n"))
+    parts = F.array(
+        F.struct(record.alias("value"), F.lit(None).cast("string").alias("stray")),
+        F.struct(F.lit(None).cast("string").alias("value"), F.nullif(rest, F.lit("")).alias("stray")),
+    )
+    lines = pieces.select(F.inline(F.filter(parts, lambda p: p["value"].isNotNull() | p["stray"].isNotNull())))
+    parsed = parse_xml(lines, "value", schema, keep=("stray",))
+    return parsed.withColumn(CORRUPT, F.coalesce("stray", CORRUPT)).drop("stray")
+
+
 def parse_xml(
-    lines: DataFrame, column: str = "value", schema: T.StructType = USER_EVENT_SCHEMA
+    lines: DataFrame, column: str = "value", schema: T.StructType = USER_EVENT_SCHEMA,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One element per line; the text of one that does not parse is in ``_corrupt_record``."""
+    """One element per line; the text of one that does not parse is in ``_corrupt_record``.
+    ``keep`` names further columns to carry through."""
     full = _with_text_time(schema)
     parsed = F.from_xml(F.col(column), full, _PERMISSIVE).alias("_record")
     # A broken element may still give its first fields; they count as absent.
     broken = F.col(f"_record.{CORRUPT}").isNotNull()
     fields = [F.when(~broken, F.col(f"_record.{f.name}")).alias(f.name) for f in schema.fields]
-    return lines.select(parsed).select(*fields, F.col(f"_record.{CORRUPT}").alias(CORRUPT))
+    corrupt = F.col(f"_record.{CORRUPT}").alias(CORRUPT)
+    return lines.select(parsed, *keep).select(*fields, corrupt, *keep)
 
 
 def avro_available(spark: SparkSession) -> bool:

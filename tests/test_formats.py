@@ -273,3 +273,47 @@ def test_which_lines_are_corrupt_does_not_depend_on_the_columns_read(spark, tmp_
     read = files.read_json_lines(spark, path)
     assert read.where(F.col(files.CORRUPT).isNotNull()).select("user_id").count() == 2
     assert read.agg(F.count(files.CORRUPT)).first()[0] == 2
+
+
+# --- XML records that survive broken ones ---
+
+XML = """<?xml version="1.0"?>
+<!-- a comment -->
+<events>
+  <event><user_id>u1</user_id><event_type>LOGIN</event_type><timestamp>1</timestamp></event>
+  <event><user_id>u2</user><event_type>VIEW</event_type></event>
+  <event>
+    <user_id>u3</user_id>
+    <event_type>VIEW</event_type>
+  </event>
+  <event><user_id>u4</user_id><event_type>CLICK</event_type>
+  <event><user_id>u5 &amp; co</user_id></event>
+  <evnt><user_id>u6</user_id></event>
+  <event><user_id>u7</user_id></event></events>
+"""
+
+
+@pytest.mark.parametrize("part_bytes", ["128m", "64"])
+def test_xml_records_after_broken_ones_survive(spark, tmp_path, part_bytes):
+    (tmp_path / "a.xml").write_text(XML)
+    (tmp_path / "b.xml").write_text("<events><event><user_id>u8</user_id></event><event><user_id>u9</user_id>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", part_bytes)  # files are cut anywhere, also in a tag
+    try:
+        got = files.read_xml_records(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r["user_id"] for r in got if r["user_id"]) == ["u1", "u3", "u5 & co", "u7", "u8"]
+    broken = sorted(r[files.CORRUPT].split()[0] for r in got if r[files.CORRUPT])
+    assert broken == ["<event><user_id>u2</user><event_type>VIEW</event_type></event>", "<evnt><user_id>u6</user_id></event>",
+                      "<user_id>u4</user_id><event_type>CLICK</event_type>", "<user_id>u9</user_id>"]
+    assert all((r["user_id"] is None) == (r[files.CORRUPT] is not None) for r in got)
+
+
+def test_xml_records_with_attributes_and_empty_files(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<events n="2"><event id="1"><user_id>u1</user_id></event><event id="2">broken</events>')
+    (tmp_path / "empty.xml").write_text("")
+    (tmp_path / "none.xml").write_text("<events>\n</events>\n")
+    got = files.read_xml_records(spark, str(tmp_path), attributes=True).collect()
+    assert [r["user_id"] for r in got if r["user_id"]] == ["u1"]
+    assert [r[files.CORRUPT] for r in got if r[files.CORRUPT]] == ['id="2">broken']
