@@ -52,3 +52,19 @@ def test_filters_and_columns_reach_the_scan(spark):
     known = plan(Tables(spark, SF).raw_events.where("event_type = 'click'").select("user_id"))
     assert "EqualTo(event_type,click)" in known
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in known
+
+
+def test_sliding_windows_copy_panes_and_not_events(spark):
+    """The copies that a hop makes come after the first aggregate."""
+    text = plan(Tables(spark, SF).sliding)
+    before_any_aggregate = text[text.rindex("HashAggregate"):]
+    assert "Expand" in text and "Expand" not in before_any_aggregate
+
+
+def test_a_bucket_table_is_read_without_a_merge(spark, tmp_path):
+    from eventloom.sinks import buckets
+
+    rows = spark.range(100).selectExpr("id", "1 AS ver")
+    buckets.upsert_batch(rows, 0, str(tmp_path), ["id"], ["ver"], buckets=4)
+    text = plan(buckets.read_buckets(spark, str(tmp_path)))
+    assert "Aggregate" not in text and "Exchange" not in text and "Join" not in text
