@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +18,11 @@ from eventloom.operators import monitoring, windows
 from eventloom.plans.catalog import ORACLES, Tables, query
 from eventloom.plans.core import _ENRICHED, SESSIONS_SQL
 from eventloom.plans.log_queries import _FIRED, fired_alerts
+from eventloom.sinks import buckets
 from eventloom.sinks import tables as sinks
+from eventloom.sources import events as event_sources
 from eventloom.sources import testdata
-from eventloom.streaming import jobs
+from eventloom.streaming import delivery, jobs, stateful
 
 _CLOSED = "(SELECT max(event_timestamp) - INTERVAL 5 SECOND FROM user_events)"
 
@@ -52,6 +55,19 @@ def run_table(t: Tables, df: DataFrame, name: str) -> DataFrame:
     return t.spark.read.schema(df.schema).parquet(path)
 
 
+def run_slices(t: Tables, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What one job wrote that was started again for each slice of the events."""
+    path, schemas = t.scratch(name), []
+
+    def run(stream: DataFrame) -> None:
+        out = build(stream)
+        schemas.append(out.schema)
+        jobs.start_table(out, path, f"{path}-checkpoint", once=True).awaitTermination()
+
+    in_slices(t, run)
+    return t.spark.read.schema(schemas[0]).parquet(path)
+
+
 def run_batches(
     t: Tables, df: DataFrame, write: Callable[[DataFrame, int], None], path: str, mode: str = "append"
 ) -> None:
@@ -164,7 +180,27 @@ def _(t: Tables):
     return out.select("event_id", "user_id", "event_type")
 
 
-@query("user_enrichment_stream", f"SELECT {_ENRICHED} FROM enriched")
+@query("user_enrichment_stream", f"""
+    SELECT {_ENRICHED} FROM enriched WHERE event_timestamp <= least(
+      (SELECT max(event_timestamp) FROM user_events WHERE event_type <> 'error'),
+      (SELECT max(valid_from) FROM users)) - INTERVAL 5 SECOND""")
+def _(t: Tables):
+    """Two streams that arrive in the same slices; event time is that of the slower one."""
+    path, arrived = t.scratch("versions"), []
+    versions = t.users.withColumn("valid_from", F.col("valid_from").cast("timestamp"))
+    day = F.date_diff("valid_from", F.lit(testdata.START).cast("date"))
+    part = F.least(F.call_function("div", day * 3, F.lit(30)), F.lit(2))
+
+    def build(stream: DataFrame) -> DataFrame:
+        versions.where(part == len(arrived)).write.mode("append").parquet(path)
+        arrived.append(part)
+        changes = t.spark.readStream.schema(versions.schema).parquet(path)
+        return stateful.enrich_versions_stream(stream, changes)
+
+    return run_slices(t, "enriched", build)
+
+
+@query("user_enrichment_finished_history", f"SELECT {_ENRICHED} FROM enriched")
 def _(t: Tables):
     return run_table(t, jobs.enrich_stream(event_stream(t), t.users), "enriched")
 
@@ -193,14 +229,23 @@ def _(t: Tables):
     return run_table(t, out, "attributed")
 
 
-@query("user_anomaly_stream", """
+_ANOMALIES_SO_FAR = """
     SELECT event_id, a.user_id, a.event_timestamp, a.event_type, events_last_hour, events_last_day,
       anomaly_flag, risk_score
     FROM anomalies_natural a JOIN user_events u
       ON a.user_id = u.user_id AND a.event_timestamp = u.event_timestamp
       AND a.event_type = u.event_type
-    WHERE a.event_timestamp <= (SELECT max(event_timestamp) - INTERVAL 5 SECOND FROM user_events)""")
+    WHERE a.event_timestamp <= (SELECT max(event_timestamp) - INTERVAL 5 SECOND FROM user_events)"""
+
+
+@query("user_anomaly_stream", _ANOMALIES_SO_FAR)
+def _(t: Tables):
+    return run_slices(t, "anomalies", lambda stream: stateful.anomaly_stream(stream, keep=("event_id",)))
+
+
+@query("user_anomaly_stream_folders", _ANOMALIES_SO_FAR)
 def _(t: Tables):
+    """The batch operator over the folders of the last day, for users too busy for one task."""
     path = t.scratch("anomaly")
     write = jobs.anomaly_writer(t.spark, path)
     in_slices(t, lambda stream: run_batches(t, stream, write, f"{path}/job"))
@@ -225,7 +270,7 @@ def _(t: Tables):
     return windows.describe_sessions(windows.merge_sessions(parts))
 
 
-@query("alert_cooldown_stream", f"""
+_SENT = f"""
     WITH RECURSIVE {_FIRED},
       grid AS (SELECT DISTINCT "rule", fired_at FROM fired),
       sent AS (
@@ -234,7 +279,23 @@ def _(t: Tables):
         SELECT s."rule", (SELECT min(g.fired_at) FROM grid g WHERE g."rule" = s."rule"
           AND g.fired_at >= s.fired_at + INTERVAL 15 MINUTE) AS fired_at
         FROM sent s WHERE s.fired_at IS NOT NULL)
-    SELECT "rule", fired_at FROM sent WHERE fired_at IS NOT NULL""")
+    SELECT "rule", fired_at FROM sent WHERE fired_at IS NOT NULL"""
+
+
+@query("alert_cooldown_stream", _SENT)
+def _(t: Tables):
+    """The alerts arrive day by day in three parts, at a job that is restarted between them."""
+    path, out = t.scratch("fired"), t.scratch("sent")
+    fired = fired_alerts(t).select("rule", F.col("fired_at").cast("timestamp").alias("fired_at"))
+    day = F.date_diff("fired_at", F.lit(testdata.START).cast("date"))
+    for part in range(3):
+        fired.where(F.least(F.call_function("div", day, F.lit(10)), F.lit(2)) == part).write.mode("append").parquet(path)
+        alerts = stateful.cooldown_stream(t.spark.readStream.schema(fired.schema).parquet(path))
+        jobs.start_table(alerts, out, f"{out}-checkpoint", once=True).awaitTermination()
+    return t.spark.read.schema(alerts.schema).parquet(out)
+
+
+@query("alert_cooldown_stream_folders", _SENT)
 def _(t: Tables):
     path = t.scratch("alerts")
     fired = fired_alerts(t).select("rule", F.col("fired_at").cast("timestamp").alias("fired_at"))
@@ -245,6 +306,19 @@ def _(t: Tables):
     return t.spark.read.parquet(out).drop("batch")
 
 
+@query("state_ttl_per_key", f"""
+    WITH g AS (SELECT user_id, event_type, event_timestamp AS ts, CASE WHEN event_timestamp
+            - lag(event_timestamp) OVER w <= INTERVAL 1 DAY THEN 0 ELSE 1 END AS first
+          FROM user_events WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp)),
+      n AS (SELECT *, sum(first) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM g)
+    SELECT user_id, min(ts) AS first_event, max(ts) AS last_event, count(*) AS events,
+      count(*) FILTER (event_type = 'purchase') AS purchases
+    FROM n GROUP BY user_id, s HAVING max(ts) + INTERVAL 1 DAY < {_CLOSED}""")
+def _(t: Tables):
+    """A user's totals live until the user has been idle for a day, however long that takes."""
+    return run_slices(t, "idle", lambda stream: stateful.idle_totals_stream(stream, 86400))
+
+
 def _alerts(t: Tables, alert: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
     """The log lines arrive in two parts, day by day, at a job that is restarted between them."""
     path = t.scratch("log-lines")
@@ -320,3 +394,125 @@ def _(t: Tables):
     in_slices(t, run, slices=2)
     out = t.spark.read.schema("user_id bigint, window_start timestamp, total_events bigint")
     return out.parquet(path)
+
+
+@query("exactly_once_two_outputs", """
+    SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN 'event_type' END AS error_reason
+    FROM user_events""")
+def _(t: Tables):
+    """The job dies in every slice between the two outputs of its batch, and is started again."""
+    path = t.scratch("two-outputs")
+
+    def classify(batch: DataFrame) -> DataFrame:
+        slim = batch.select("event_id", "event_type")
+        return slim.withColumn("error_reason", F.when(F.col("event_type") == "error", "event_type"))
+
+    def run(stream: DataFrame) -> None:
+        def die(_stage: str) -> None:
+            raise ConnectionError("the job dies between its outputs")
+
+        for between in (die, None):
+            write = jobs.split_writer(f"{path}/good", f"{path}/bad", classify, between)
+            try:
+                run_batches(t, stream, write, path)
+            except StreamingQueryException:
+                if between is None:
+                    raise
+
+    in_slices(t, run)
+    columns = "event_id bigint, event_type string, error_reason string"
+    sides = [t.spark.read.schema(columns).parquet(f"{path}/{side}") for side in ("good", "bad")]
+    return sides[0].unionByName(sides[1]).drop("batch")
+
+
+def _rewrite(t: Tables, files: list[str]) -> None:
+    """Puts a record that must not be read into files of these names."""
+    hadoop = t.spark._jvm.org.apache.hadoop.fs
+    for name in files:
+        path = hadoop.Path(name)
+        out = path.getFileSystem(t.spark._jsc.hadoopConfiguration()).create(path, True)
+        out.write(bytearray(b'{"event_id": -1}\n'))
+        out.close()
+
+
+@query("src_object_store_continuous", """
+    SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type, event_timestamp, session_id, payload
+    FROM user_events""")
+def _(t: Tables):
+    """Files arrive in two parts, two a trigger, and are archived; between the runs those of the first
+    part are written anew under their names."""
+    path, out = t.scratch("objects"), t.scratch("ingested")
+    early = F.day("event_timestamp") <= 15
+    for part, rows in enumerate((t.user_events.where(early), t.user_events.where(~early))):
+        folder = f"{path}/topics/part-{part}"
+        sinks.write_lines(rows.repartition(5, "event_id"), folder)
+        files = [r[0] for r in t.spark.read.text(folder).select(F.input_file_name()).distinct().collect()]
+        stream = event_sources.object_store(
+            t.spark, path, event_sources.EVENT_SCHEMA, streaming=True, topics_dir="topics", files_per_trigger=2,
+            archive=f"{path}-archive",
+        )
+        columns = stream.select("event_id", "user_id", "event_type", "event_timestamp", "session_id", "payload")
+        jobs.start_table(columns, out, f"{out}-checkpoint", once=True).awaitTermination()
+        if part == 0:
+            _rewrite(t, files)
+    return t.spark.read.schema(columns.schema).parquet(out)
+
+
+@query("sink_upsert_buckets", """
+    SELECT user_id, ver, user_name, user_tier, CASE WHEN ver = 1 THEN country END AS country
+    FROM users_latest WHERE user_id % 13 <> 5""")
+def _(t: Tables):
+    """A stream of changes into copy-on-write buckets: first versions, then second ones with a new
+    column and with deletions, then the last batch once more."""
+    path, users = t.scratch("buckets"), t.users
+    columns = ["user_id", "ver", "user_name", "user_tier"]
+    write = buckets.bucket_writer(path, ["user_id"], ["ver"], deleted="gone", buckets=16)
+    write(users.where("ver = 0").select(*columns).withColumn("gone", F.lit(False)), 0)
+    leaving = (F.col("user_id") % 13 == 5).alias("gone")
+    second = users.where("ver = 1").select(*columns, "country", leaving)
+    write(second, 1)
+    write(second.withColumn("user_name", F.lit("twice")), 1)
+    return buckets.read_buckets(t.spark, path).select(*columns, "country")
+
+
+_BATCH_SLICE = "least(date_diff('day', DATE '2024-01-01', CAST(event_timestamp AS DATE)) * 3 // 30, 2)"
+
+
+@query("split_dlq_retries", """
+    SELECT event_id, CASE WHEN event_id % 4999 = 17 THEN 'refused' END AS error_reason,
+      CASE WHEN event_id % 4999 = 17 THEN 3 END AS attempts FROM user_events""")
+def _(t: Tables):
+    """A sink that refuses some records: after three attempts they alone are set apart."""
+    path = t.scratch("delivered")
+    refused = F.raise_error(F.concat(F.lit("event "), F.col("event_id").cast("string"), F.lit(" refused")))
+
+    def constrained(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("event_id", F.when(F.col("event_id") % 4999 == 17, refused.cast("long")).otherwise(F.col("event_id")))
+
+    write = delivery.delivering_writer(
+        delivery.FolderSink(f"{path}/good", constrained), delivery.FolderSink(f"{path}/bad"), backoff_seconds=0.01
+    )
+    slim = event_stream(t).select("event_id", "event_type")
+    run_batches(t, slim, write, path)
+    columns = "event_id bigint, error_reason string, attempts int"
+    good, bad = [t.spark.read.schema(columns).parquet(f"{path}/{side}") for side in ("good", "bad")]
+    told = F.col("error_reason").contains(F.concat(F.lit("event "), F.col("event_id").cast("string"), F.lit(" refused")))
+    bad = bad.withColumn("error_reason", F.when(told, "refused").otherwise(F.col("error_reason")))
+    return good.unionByName(bad).select("event_id", "error_reason", "attempts")
+
+
+@query("sink_metrics_observed", f"""
+    SELECT {_BATCH_SLICE} AS batch, count(*) AS "rows", count(*) FILTER (event_type = 'error') AS errors,
+      max(event_timestamp) AS newest FROM user_events GROUP BY 1""")
+def _(t: Tables):
+    """Figures of every micro-batch, gathered by the job that writes it."""
+    path = t.scratch("observed")
+    checks = {
+        "rows": F.count(F.lit(1)), "errors": F.count_if(F.col("event_type") == "error"),
+        "newest": F.max("event_timestamp"),
+    }
+    write = delivery.observed_writer(jobs.batch_writer(f"{path}/out"), f"{path}/metrics", checks)
+    in_slices(t, lambda stream: run_batches(t, stream, write, path))
+    rows = t.spark.read.schema("rows long, errors long, newest timestamp, batch long").parquet(f"{path}/metrics")
+    return rows.select("batch", "rows", "errors", "newest")
+

@@ -135,13 +135,21 @@ def event_file_stream(
 def object_store(
     spark: SparkSession, path: str, schema: T.StructType, record_format: str = "json",
     streaming: bool = False, topics_dir: str | None = None, files_per_trigger: int = 1000,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Bulk or continuous ingestion of object-store files under an optional prefix."""
+    """Bulk or continuous ingestion of object-store files under an optional prefix.
+
+    A stream takes at most ``files_per_trigger`` files a batch and knows the names it has read: a file
+    rewritten under its name does not come again. With ``archive``, a folder outside ``path``,
+    files move there after their batch has been committed, so that the prefix does not grow.
+    """
     if record_format not in ("json", "avro", "parquet"):
         raise ValueError(f"unsupported record format {record_format!r}")
     where = f"{path.rstrip('/')}/{topics_dir}" if topics_dir else path
     if streaming:
         reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+        if archive:
+            reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     else:
         reader = spark.read
     return (

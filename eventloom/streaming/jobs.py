@@ -137,14 +137,21 @@ def dedup_stream(events: DataFrame, key: str = "event_id", delay: str = "10 minu
 
 
 def split_writer(
-    good_path: str, reject_path: str, classify: Callable[[DataFrame], DataFrame]
+    good_path: str, reject_path: str, classify: Callable[[DataFrame], DataFrame],
+    between: Callable[[str], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """One pass over a batch into two outputs; ``classify`` adds ``error_reason``."""
+    """One pass over a batch into two outputs; ``classify`` adds ``error_reason``.
+
+    ``between`` is called between the outputs, for instance to inject a fault. A batch that fails
+    there is run again as a whole and replaces what it had written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         split = classify(batch).persist()
         try:
             good_rows(split).write.mode("overwrite").parquet(f"{good_path}/batch={batch_id}")
+            if between:
+                between(f"batch {batch_id}")
             rejected_rows(split).write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
         finally:
             split.unpersist()
