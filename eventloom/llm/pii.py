@@ -201,7 +201,7 @@ _NAMES = "|".join(sorted([*_DIGITS, *_TIMES], key=len, reverse=True))
 # Blanks, commas and dashes, also over one line break.
 _BETWEEN = r"(?:[ \t,-]+(?:\r?\n[ \t,-]*)?|\r?\n[ \t,-]*)"
 _DOTS = "dot|punto|punkt|point"
-_DOTTED = rf"(?:[ \t]*\.[ \t]*|[ \t]+(?:{_DOTS})[ \t]+)"
+_DOTTED = rf"(?:\.|[ \t]+(?:{_DOTS})[ \t]+)"
 # Three or more in a row, spelled or plain, at least one of them spelled, perhaps after a spelled plus. No
 # identifier has more than 19 digits, so no more plain ones need stand before the first spelled one.
 _SPELLED = re.compile(
@@ -243,7 +243,7 @@ _OPEN, _CLOSE, _SPACE = r"[\[({<]", r"[\])}>]", r"[ \t]{0,2}"
 _ATS = "at|arroba|arobase|klammeraffe"
 _WRAPPED_AT = rf"{_SPACE}{_OPEN}{_SPACE}(?:{_ATS}|@){_SPACE}{_CLOSE}{_SPACE}"
 _AT = re.compile(
-    rf"(?i)(?P<sure>{_WRAPPED_AT})|(?P<bare>[ \t]{{1,3}}(?:{_ATS})[ \t]{{1,3}})|[ \t]{{0,2}}[-_*]{{1,3}}(?:{_ATS})[-_*]{{1,3}}[ \t]{{0,2}}|@"
+    rf"(?i)(?P<sure>{_WRAPPED_AT})|[ \t]{{1,3}}(?:{_ATS})[ \t]{{1,3}}|[ \t]{{0,2}}[-_*]{{1,3}}(?:{_ATS})[-_*]{{1,3}}[ \t]{{0,2}}|@"
 )
 _DOT = (
     rf"(?:{_SPACE}{_OPEN}{_SPACE}(?:{_DOTS}|\.){_SPACE}{_CLOSE}{_SPACE}|[ \t]{{1,3}}(?:{_DOTS})[ \t]{{1,3}}"
@@ -265,8 +265,8 @@ def undisguise(text: Mapped) -> Mapped:
     """Disguised at signs and dots of addresses, and dots between digits, to what they stand for.
 
     A word "at" in brackets is one. Without them it counts before a domain with a disguised dot; before a
-    plain domain if blanks surround it and what stands before it has a dot, digit or underscore or
-    follows a cue such as "mail" or "contact".
+    plain domain if what stands before it has a dot, digit or underscore or follows a cue such as
+    "mail" or "contact".
     """
     s, edits, free = text.text, [], 0
     for at in _AT.finditer(s):
@@ -292,7 +292,7 @@ def undisguise(text: Mapped) -> Mapped:
         if start == at.start():
             continue
         if not dots and at["sure"] is None:
-            if not at["bare"] or not _TOP_LABEL.fullmatch(domain[0].rsplit(".", 1)[1]):
+            if at[0] == "@" or not _TOP_LABEL.fullmatch(domain[0].rsplit(".", 1)[1]):
                 continue
             if not _NAMED.fullmatch(s[start: at.start()]) and not _CUE.search(s, max(0, start - 24), start):
                 continue
@@ -302,7 +302,7 @@ def undisguise(text: Mapped) -> Mapped:
     return changed.rewrite([(*m.span(), ".") for m in _DIGIT_DOT.finditer(changed.text)])
 
 
-_DOT_TRACE = re.compile(rf"(?i){_OPEN}{_SPACE}(?:{_ATS}|{_DOTS}|@|\.){_SPACE}{_CLOSE}|[ \t_*-](?:{_DOTS})[ \t_*-]|[ \t](?:{_ATS})[ \t]+[a-z0-9-]+\.[a-z]")
+_DOT_TRACE = re.compile(rf"(?i){_OPEN}{_SPACE}(?:{_ATS}|{_DOTS}|@|\.){_SPACE}{_CLOSE}|[ \t_*-](?:{_DOTS})[ \t_*-]|[ \t_*-](?:{_ATS})[ \t_*-]+[a-z0-9-]+\.[a-z]")
 
 
 def rewritten(text: str) -> Mapped | None:

@@ -170,7 +170,8 @@ def fit(vectors: DataFrame, vector: str, components: int = 8) -> Whitening | Non
     totals = [by_dim[i] for i in range(d)]
     centre = [s // n for s in totals]
     rest = [s - n * m for s, m in zip(totals, centre)]
-    fold = _fold_squares(d, np.array(centre, dtype=np.int64))
+    wide = max(map(abs, centre)) >= SAFE  # then a difference may not fit in 64 bits
+    fold = _fold_squares(d, np.array(centre, dtype=object if wide else np.int64))
     squares = {(r["i"], r["j"]): _exact(r) for r in _added(column, fold).collect()}
     # n * n * V of a dimension, and of a sum of two.
     own = [n * squares[i, i] - rest[i] ** 2 for i in range(d)]

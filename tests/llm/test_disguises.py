@@ -41,6 +41,7 @@ def test_disguises_are_found_with_their_source_spans(text, kind, span):
     "let us meet at noon. See you there", "we look at example.com often", "one two three and four five",
     "null eins sieben zwei", "chapters 1, 2, three, 4", "he was at home. Dot com bubble", "a-dot-b at c", "plus neun",
     "2010–2020", "version 2.1 at example.com", "the store at 5.example is closed",
+    "Ein. Ein. Ein. Ein", "une. une. une. une", "have-at-thee.org", "meet-at-berlin.de",
 ])
 def test_clean_texts_are_left_alone(text):
     assert found(text) == set()
