@@ -97,3 +97,28 @@ def test_split_writer_and_session_parts(spark, tmp_path):
     write(stream.where("event_id < 1"), 0)
     write(stream.where("event_id >= 1"), 1)
     assert rows(jobs.current_sessions(spark, f"{path}/parts")) == rows(windows.user_sessions(stream))
+
+
+def test_read_files_are_archived_and_not_read_again(spark, tmp_path):
+    from eventloom.sources import events as event_sources
+
+    schema = event_sources.EVENT_SCHEMA
+    drop, archive, out = tmp_path / "drop", tmp_path / "archive", str(tmp_path / "out")
+    drop.mkdir()
+
+    def run():
+        stream = event_sources.object_store(
+            spark, str(drop), schema, streaming=True, files_per_trigger=1, archive=str(archive)
+        )
+        jobs.start_table(stream.select("event_id"), out, f"{out}-checkpoint", once=True).awaitTermination()
+
+    for i in range(3):
+        (drop / f"f{i}.json").write_text(f'{{"event_id": {i}}}\n')
+    run()
+    archived = {p.name for p in archive.rglob("*.json")}
+    assert archived and archived | {p.name for p in drop.iterdir()} == {"f0.json", "f1.json", "f2.json"}
+    for i in range(2):
+        (drop / f"f{i}.json").write_text('{"event_id": 99}\n')  # rewritten under a name that was read
+    (drop / "f3.json").write_text('{"event_id": 3}\n')
+    run()
+    assert rows(spark.read.schema("event_id bigint").parquet(out)) == [(0,), (1,), (2,), (3,)]
