@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -484,13 +486,18 @@ _BATCH_SLICE = "least(date_diff('day', DATE '2024-01-01', CAST(event_timestamp A
 def _(t: Tables):
     """A sink that refuses some records: after three attempts they alone are set apart."""
     path = t.scratch("delivered")
-    refused = F.raise_error(F.concat(F.lit("event "), F.col("event_id").cast("string"), F.lit(" refused")))
 
-    def constrained(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("event_id", F.when(F.col("event_id") % 4999 == 17, refused.cast("long")).otherwise(F.col("event_id")))
+    def constrained(rows: pa.RecordBatch) -> pa.RecordBatch:
+        """Refuses records as they come to be written, naming the first."""
+        ids = rows.column("event_id")
+        left = pc.subtract(ids, pc.multiply(pc.divide(ids, 4999), 4999))
+        refused = ids.filter(pc.equal(left, 17))
+        if len(refused):
+            raise ValueError(f"event {refused[0]} refused")
+        return rows
 
     write = delivery.delivering_writer(
-        delivery.FolderSink(f"{path}/good", constrained), delivery.FolderSink(f"{path}/bad"), backoff_seconds=0.01
+        delivery.FolderSink(f"{path}/good", accept=constrained), delivery.FolderSink(f"{path}/bad"), backoff_seconds=0.01
     )
     slim = event_stream(t).select("event_id", "event_type")
     run_batches(t, slim, write, path)

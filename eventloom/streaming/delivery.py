@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Protocol
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from eventloom.session import configure
@@ -24,11 +26,21 @@ class Sink(Protocol):
     def write(self, part: DataFrame, batch_id: int, name: str) -> None: ...
 
 
+Records = Callable[[pa.RecordBatch], pa.RecordBatch]
+
+
 class FolderSink:
-    """Parquet folders ``batch=<id>/part=<name>``; ``prepare`` is applied while writing."""
+    """Parquet folders ``batch=<id>/part=<name>``; ``prepare`` is applied while writing.
 
-    def __init__(self, path: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
-        self.path, self.prepare = path, prepare
+    ``accept`` is the sink's own step inside the tasks: it gets records as they are written, in batches
+    of any size, and returns them, of the same columns, or raises. As it can be tried on a few
+    records where they are, ``sift`` finds those it refuses in one pass.
+    """
+
+    def __init__(
+        self, path: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, accept: Records | None = None
+    ) -> None:
+        self.path, self.prepare, self.accept = path, prepare, accept
 
     def reset(self, spark: SparkSession, batch_id: int) -> None:
         hadoop = spark._jvm.org.apache.hadoop.fs
@@ -36,8 +48,24 @@ class FolderSink:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def write(self, part: DataFrame, batch_id: int, name: str) -> None:
+        if self.accept:
+            accept = self.accept
+            part = part.mapInArrow(lambda batches: map(accept, batches), part.schema)
         self.prepare(part).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}/part={name}")
 
+    def sift(self, part: DataFrame) -> DataFrame | None:
+        """The rows with an ``error_reason`` on those that ``accept`` refuses; None without ``accept``."""
+        if self.accept is None:
+            return None
+        accept = self.accept
+
+        def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                reasons = pa.array(refusals(accept, batch), pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.columns, reasons], [*batch.schema.names, "error_reason"])
+
+        return part.mapInArrow(judged, T.StructType([*part.schema.fields, T.StructField("error_reason", T.StringType())]))
+
 
 def with_retries(action: Callable[[], None], attempts: int = ATTEMPTS, backoff_seconds: float = BACKOFF_SECONDS) -> int:
     """Runs the action until it succeeds, at most ``attempts`` times with a doubled pause between
@@ -59,6 +87,20 @@ def _reason(error: Exception) -> str:
     return text.splitlines()[0] if text else type(error).__name__
 
 
+def refusals(accept: Records, batch: pa.RecordBatch) -> list[str | None]:
+    """Why each record is refused, or None: what fails is cut in two until it is a single record."""
+    if batch.num_rows == 0:
+        return []
+    try:
+        accept(batch)
+        return [None] * batch.num_rows
+    except Exception as error:
+        if batch.num_rows == 1:
+            return [_reason(error)]
+    half = batch.num_rows // 2
+    return refusals(accept, batch.slice(0, half)) + refusals(accept, batch.slice(half))
+
+
 def delivering_writer(
     sink: Sink,
     rejects: Sink,
@@ -66,15 +108,20 @@ def delivering_writer(
     backoff_seconds: float = BACKOFF_SECONDS,
     stop_on_error: bool = False,
     most_rejects: int = 1000,
+    most_share: float = 0.001,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer that sets records which cannot be written apart.
 
-    A batch is written whole, in up to ``attempts`` attempts. If the last one fails too, the batch is
-    cut in two by the bits of its rows' hashes and the halves are written in turn, until what fails is
-    a single record (or equal ones), which goes to ``rejects`` with ``error_reason`` and
-    ``attempts``. So p poison records in n cost about p log2(n) writes, and every other record
-    is written once. ``stop_on_error`` raises instead, as does a batch with more than
-    ``most_rejects`` distinct poison records: then the sink is at fault, and nothing is dropped.
+    A batch is written whole, in up to ``attempts`` attempts. If the last one fails too, what fails is cut
+    in two until it is a single record (or equal ones), which goes to ``rejects`` with ``error_reason``
+    and ``attempts``; every other record is written once.
+
+    Where the sink can ``sift``, the tasks cut the rows they hold, all in one pass, and the rest is written
+    whole. Else, or when the rest fails too, the batch is cut by the bits of its rows' hashes and the
+    halves are written in turn, at about log2(n) writes for a poison record among n.
+
+    ``stop_on_error`` raises instead, as does a batch with more distinct poison records than
+    ``most_rejects`` and than ``most_share`` of its rows: then the sink is at fault, and nothing is dropped.
 
     A batch that is run again starts from nothing in both sinks.
     """
@@ -84,8 +131,35 @@ def delivering_writer(
         sink.reset(spark, batch_id)
         rejects.reset(spark, batch_id)
         rows = batch.withColumn("_hash", F.xxhash64(*batch.columns)).persist()
+        batch_rows = rows.drop("_hash")
         found = 0
 
+        def bounded(reason: str) -> None:
+            if found > most_rejects and found > most_share * rows.count():
+                raise RuntimeError(f"more than {most_rejects} records of batch {batch_id} cannot be written; the last: {reason}")
+
+        def reject(part: DataFrame, name: str) -> None:
+            rejects.write(part.withColumn("attempts", F.lit(attempts)), batch_id, name)
+
+        def sifted() -> DataFrame | None:
+            """Rejects what the sink's tasks refuse; returns the rest, or None where none is refused."""
+            nonlocal found
+            judged = sink.sift(batch_rows) if hasattr(sink, "sift") else None
+            if judged is None:
+                return None
+            refused = judged.where(F.col("error_reason").isNotNull()).persist()
+            try:
+                seen = refused.agg(F.count_distinct(F.xxhash64(*batch.columns)).alias("n"), F.max("error_reason").alias("last")).first()
+                found += seen["n"]
+                if not found:
+                    return None
+                bounded(seen["last"])
+                reject(refused, "sifted")
+            finally:
+                refused.unpersist()
+            good = judged.where(F.col("error_reason").isNull()).drop("error_reason")
+            return good.withColumn("_hash", F.xxhash64(*batch.columns))
+
         def deliver(part: DataFrame, name: str, whole: bool) -> None:
             nonlocal found
             try:
@@ -97,16 +171,18 @@ def delivering_writer(
                 if stop_on_error:
                     raise
                 reason = _reason(error)
+            rest = sifted() if whole else None
+            if rest is not None:
+                deliver(rest, "rest", False)
+                return
             bits = part.agg(F.bit_or("_hash").alias("any"), F.bit_and("_hash").alias("all")).first()
             if bits["any"] is None:  # no record can be at fault
                 raise RuntimeError(f"batch {batch_id} is empty and cannot be written: {reason}")
             differ = bits["any"] ^ bits["all"]
             if differ == 0:
                 found += 1
-                if found > most_rejects:
-                    raise RuntimeError(f"more than {most_rejects} records of batch {batch_id} cannot be written; the last: {reason}")
-                tagged = part.drop("_hash").withColumns({"error_reason": F.lit(reason), "attempts": F.lit(attempts)})
-                rejects.write(tagged, batch_id, name)
+                bounded(reason)
+                reject(part.drop("_hash").withColumn("error_reason", F.lit(reason)), name)
                 return
             bit = (differ & -differ).bit_length() - 1  # the lowest in which the rows differ
             for side in (0, 1):

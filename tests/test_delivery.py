@@ -123,6 +123,38 @@ def test_poison_records_alone_are_rejected(spark, tmp_path):
     assert [df.count() for df in outputs(spark, path)[:1]] == [1]
 
 
+def test_many_poison_records_cost_few_writes(spark, tmp_path):
+    path = str(tmp_path)
+
+    def refuse_negative(batch):
+        """The same sink, whose tasks refuse the records themselves."""
+        for i in batch.column("id").to_pylist():
+            if i is not None and i < 0:
+                raise ValueError(f"id {i} refused")
+        return batch
+
+    data = [(i, 1, "x") for i in range(3000)] + [(-1 - i % 300, 1, "p") for i in range(600)] + [(None, 1, None)]
+    calls = []
+
+    class Counting(delivery.FolderSink):
+        def write(self, part, batch_id, name):
+            calls.append(name)
+            super().write(part, batch_id, name)
+
+    good, bad = Counting(f"{path}/good", accept=refuse_negative), Counting(f"{path}/bad")
+    write = delivery.delivering_writer(good, bad, backoff_seconds=0.01)
+    write(table(spark, data).repartition(4), 0)
+    assert len(calls) == 5  # three attempts, the refused ones, the rest
+    written, rejected = outputs(spark, path)
+    assert sorted((r["id"] for r in written.collect()), key=str) == sorted([*range(3000), None], key=str)
+    assert sorted(r["id"] for r in rejected.collect()) == sorted(-1 - i % 300 for i in range(600))
+    assert all(r["error_reason"].endswith(f"id {r['id']} refused") and r["attempts"] == 3 for r in rejected.collect())
+    few = delivery.delivering_writer(good, bad, attempts=1, most_rejects=299)
+    with pytest.raises(RuntimeError, match="more than 299 records"):
+        few(table(spark, data), 1)
+    delivery.delivering_writer(good, bad, attempts=1, most_rejects=299, most_share=0.1)(table(spark, data), 1)
+
+
 def test_a_passing_fault_is_retried_and_a_broken_sink_drops_nothing(spark, tmp_path):
     path = str(tmp_path)
     state = {"left": 2}
