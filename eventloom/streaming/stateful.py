@@ -6,13 +6,21 @@ earlier one has written. Rows wait in a key's state until the watermark has pass
 then handled in order of event time, whatever order they came in; rows behind the watermark on arrival are
 dropped by Spark and counted in the query's progress (``jobs.late_writer`` keeps them apart).
 A key is handled by one task: state is kept small (packed minutes, one version, one time).
+
+Each call to the state store costs far more than a row. So the anomalies and the join keep the state of
+a bucket of keys together, a fixed hash of the key, and handle a bucket's rows in one call, in packed
+chunks: the calls of a batch are bounded by the buckets, not by the keys. The number of buckets belongs to
+the checkpoint; a bucket's rows of one batch and its state are in a task's memory at once.
 """
 
 from __future__ import annotations
 
+import pickle
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -26,6 +34,7 @@ from eventloom.operators.enrich import EVENT_COLUMNS, USER_COLUMNS, derive, keep
 from eventloom.sources.events import with_event_time
 
 DELAY = "5 seconds"
+BUCKETS, PACKS, CHUNK_ROWS = 2048, 16, 10_000
 _MINUTE = MINUTE * MICROS
 
 
@@ -43,41 +52,67 @@ def _with_types(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _in_buckets(rows: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Adds the bucket of a row's key, and the pack inside it."""
+    spread = F.xxhash64(key)
+    return rows.withColumns({
+        "_bucket": F.pmod(spread, F.lit(buckets)).cast("int"),
+        "_pack": F.pmod(F.shiftright(spread, 32), F.lit(PACKS)).cast("int"),
+    })
+
+
 class _Ordered(StatefulProcessor):
-    """Keeps rows, whose first column is their time in microseconds, until the watermark has passed
-    them; ``due`` then gets them in order, with the others of the key that are due."""
+    """Keeps a bucket's rows, whose first column is their time in microseconds, until the watermark has
+    passed them; ``due`` then gets those of each key in order. ``key`` is the key's column."""
 
-    def __init__(self, columns: Sequence[str], schema: str) -> None:
-        self.columns, self.schema = list(columns), schema
+    def __init__(self, columns: Sequence[str], key: str) -> None:
+        self.columns, self.key = list(columns), list(columns).index(key)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", self.schema)
+        self.pending = handle.getListState("pending", "chunk binary")
 
     def order(self, row: tuple) -> tuple:
         return (row[0],)
 
-    def due(self, key: tuple, rows: list[tuple], passed: int) -> Iterator[Row]:
+    def due(self, groups: dict[object, list[tuple]], passed: int) -> Iterator[Row]:
         raise NotImplementedError
 
+    def _keep(self, rows: Iterator[tuple]) -> None:
+        first = None
+        while chunk := list(islice(rows, CHUNK_ROWS)):
+            self.pending.appendValue((pickle.dumps(chunk),))
+            earliest = min(row[0] for row in chunk)
+            first = earliest if first is None else min(first, earliest)
+        if first is not None:
+            self.handle.registerTimer(_due_at(first))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        fresh = [tuple(row[c] for c in self.columns) for row in rows]
-        if fresh:
-            self.pending.appendList(fresh)
-            self.handle.registerTimer(_due_at(min(row[0] for row in fresh)))
+        def carried() -> Iterator[tuple]:
+            pick = None
+            for row in rows:
+                pick = pick or itemgetter(*map(row.__fields__.index, self.columns))
+                yield pick(row)
+
+        self._keep(carried())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = _passed(timerValues)
-        rows = list(self.pending.get())
-        ready = sorted((row for row in rows if row[0] <= passed), key=self.order)
-        if ready:
-            waiting = [row for row in rows if row[0] > passed]
+        groups: dict[object, list[tuple]] = {}
+        waiting = []
+        for (chunk,) in self.pending.get():
+            for row in pickle.loads(chunk):
+                if row[0] <= passed:
+                    groups.setdefault(row[self.key], []).append(row)
+                else:
+                    waiting.append(row)
+        if groups:
             self.pending.clear()
-            if waiting:
-                self.pending.appendList(waiting)
-                self.handle.registerTimer(_due_at(min(row[0] for row in waiting)))
-        yield from self.due(key, ready, passed)
+            self._keep(iter(waiting))
+        for rows in groups.values():
+            rows.sort(key=self.order)
+        yield from self.due(groups, passed)
 
     def close(self) -> None:
         pass
@@ -146,34 +181,62 @@ def trailing(
     return out, {m: loaded[m] for m in changed}
 
 
+# A minute of a user with more events than this is stored for itself.
+INLINE_EVENTS = 32
+
+
 class TrailingDay(_Ordered):
-    """A user's events of the last day, packed by minute, with their numbers in a map of their own."""
+    """The users' events of the last day by minute, with their numbers. Busy minutes, whose events are needed
+    only at the ends of a frame, are in a map of their own."""
+
+    def __init__(self, columns: Sequence[str], key: str, key_type: str) -> None:
+        super().__init__(columns, key)
+        self.key_type = key_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.counts = handle.getMapState("counts", "minute bigint", "n bigint")
-        self.minutes = handle.getMapState("minutes", "minute bigint", "at array<bigint>, types array<string>")
-
-    def due(self, key, rows, passed) -> Iterator[Row]:
-        counts = {m[0]: n[0] for m, n in self.counts.iterator()}
-        if rows:
-            times = [(row[0], row[1]) for row in rows]
-            figures, changed = trailing(times, counts, lambda m: self.minutes.getValue((m,)))
-            for m, (at, kinds) in changed.items():
-                self.minutes.updateValue((m,), (at, kinds))
-                self.counts.updateValue((m,), (len(at),))
-                counts[m] = len(at)
-            result = Row(*self.columns, *FIGURES)
-            for row, found in zip(rows, figures):
-                yield result(*row, *found)
+        self.counts = handle.getValueState("counts", "packed binary")
+        self.minutes = handle.getMapState("minutes", f"of {self.key_type}, minute bigint", "events binary")
+
+    def _load(self, user, minute: int, held: tuple[int, Minute | None]) -> Minute:
+        return pickle.loads(self.minutes.getValue((user, minute))[0]) if held[1] is None else held[1]
+
+    def _store(self, user, minute: int, events: Minute) -> tuple[int, Minute | None]:
+        n = len(events[0])
+        if n <= INLINE_EVENTS:
+            return n, events
+        self.minutes.updateValue((user, minute), (pickle.dumps(events),))
+        return n, None
+
+    def due(self, groups, passed) -> Iterator[Row]:
         # No event to come reaches further back than a day before the watermark.
         oldest = (passed - DAY * MICROS) // _MINUTE
-        for m in [m for m in counts if m < oldest]:
-            self.minutes.removeKey((m,))
-            self.counts.removeKey((m,))
-            del counts[m]
-        if counts:
-            self.handle.registerTimer(_due_at((min(counts) + 1) * _MINUTE + DAY * MICROS + 1))
+        packed = self.counts.get()
+        users: dict[object, dict[int, tuple[int, Minute | None]]] = pickle.loads(packed[0]) if packed else {}
+        result = Row(*self.columns, *FIGURES)
+        for user, rows in groups.items():
+            held = users.setdefault(user, {})
+            figures, changed = trailing(
+                [(row[0], row[1]) for row in rows], {m: n for m, (n, _) in held.items()},
+                lambda m: self._load(user, m, held[m]),
+            )
+            for m, events in changed.items():
+                held[m] = self._store(user, m, events)
+            for row, found in zip(rows, figures):
+                yield result(*row, *found)
+        gone = [(user, m) for user, held in users.items() for m in held if m < oldest]
+        for user, m in gone:
+            if users[user].pop(m)[1] is None:
+                self.minutes.removeKey((user, m))
+        users = {user: held for user, held in users.items() if held}
+        if groups or gone:
+            if users:
+                self.counts.update((pickle.dumps(users),))
+            else:
+                self.counts.clear()
+        if users:
+            first = min(min(held) for held in users.values())
+            self.handle.registerTimer(_due_at((first + 1) * _MINUTE + DAY * MICROS + 1))
 
 
 def anomaly_stream(
@@ -184,14 +247,15 @@ def anomaly_stream(
     types_over: int = 5,
     risk: tuple[int, int, int] = (50, 30, 15),
     keep: tuple[str, ...] = (),
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """``operators.anomaly.anomaly_detection`` on a stream: an event's row comes when the watermark
     has passed the event.
 
-    State per user: the events that the watermark has not passed and those of the day before it,
-    by minute. A batch handles a user's due events with the minutes of a day and the few minutes at the ends
-    of their frames; it rereads neither files nor the user's whole day. A user's state goes when its last
-    event is a day behind the watermark.
+    State per bucket of users: the events that the watermark has not passed and those of the day before it,
+    by user and minute. A batch handles a user's due events with the minutes of a day and, where minutes are
+    busy, the few at the ends of their frames; it rereads neither files nor a busy user's whole day. A user's
+    state goes when its last event is a day behind the watermark.
     """
     timed = with_event_time(events, delay=delay)
     slim = timed.where(F.col("event_timestamp").isNotNull()).select(
@@ -201,8 +265,9 @@ def anomaly_stream(
     carried = T.StructType([f for f in slim.schema.fields if f.name != "event_timestamp"])
     schema = _with_types(carried)
     added = ", ".join(f"{name} bigint" for name in FIGURES)
-    counted = slim.groupBy("user_id").transformWithState(
-        TrailingDay(carried.names, schema), f"{schema}, {added}", "Append", "EventTime"
+    counted = _in_buckets(slim, "user_id", buckets).groupBy("_bucket").transformWithState(
+        TrailingDay(carried.names, "user_id", carried["user_id"].dataType.simpleString()), f"{schema}, {added}",
+        "Append", "EventTime",
     )
     flag = classify.anomaly_flag(
         F.col("_burst"), F.col("_amount"), F.col("_types"), burst_over, amount_over, types_over
@@ -235,35 +300,45 @@ def merge_versions(rows: Sequence[tuple], current: tuple | None) -> tuple[list[t
 class VersionAtEvent(_Ordered):
     """One version per key, the newest that the watermark has passed, and what is pending.
 
-    A row has its time, side, sequence and tombstone flag, then the columns of an event (``_e0`` ...) and
-    those of a version (``_v0`` ...).
+    A row has its time, side, sequence, tombstone flag, key and pack, then the columns of an event (``_e0``
+    ...) and those of a version (``_v0`` ...). A batch reads the packs that its keys are in.
     """
 
-    def __init__(self, columns, schema, version: str, events: int, keep_unmatched: bool) -> None:
-        super().__init__(columns, schema)
-        self.version, self.events, self.keep_unmatched = version, events, keep_unmatched
+    FIRST = 6
+
+    def __init__(self, columns, events: int, keep_unmatched: bool) -> None:
+        super().__init__(columns, "_key")
+        self.events, self.keep_unmatched = events, keep_unmatched
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.current = handle.getValueState("current", f"gone boolean, {self.version}")
+        self.current = handle.getMapState("current", "pack int", "versions binary")
 
     def order(self, row: tuple) -> tuple:
         return (row[0], row[1], row[2] is not None, row[2])
 
-    def due(self, key, rows, passed) -> Iterator[Row]:
-        if not rows:
-            return
-        held = self.current.get()
-        before = None if held is None else (held[0], tuple(held[1:]))
-        split = [(*row[:3], row[4: 4 + self.events], row[3], row[4 + self.events:]) for row in rows]
-        joined, current = merge_versions(split, before)
-        if current is not None and current is not before:
-            self.current.update((current[0], *current[1]))
-        result = Row(*self.columns[4:])
-        unmatched = (None,) * (len(self.columns) - 4 - self.events)
-        for event, version in joined:
-            if version is not None or self.keep_unmatched:
-                yield result(*event, *(unmatched if version is None else version))
+    def due(self, groups, passed) -> Iterator[Row]:
+        packs: dict[int, list] = {}
+        for key, rows in groups.items():
+            packs.setdefault(rows[0][5], []).append(key)
+        result = Row(*self.columns[self.FIRST:])
+        unmatched = (None,) * (len(self.columns) - self.FIRST - self.events)
+        last = self.FIRST + self.events
+        for pack, keys in packs.items():
+            held = self.current.getValue((pack,))
+            versions: dict = pickle.loads(held[0]) if held else {}
+            changed = False
+            for key in keys:
+                before = versions.get(key)
+                split = [(*row[:3], row[self.FIRST:last], row[3], row[last:]) for row in groups[key]]
+                joined, current = merge_versions(split, before)
+                if current is not None and current is not before:
+                    versions[key], changed = current, True
+                for event, version in joined:
+                    if version is not None or self.keep_unmatched:
+                        yield result(*event, *(unmatched if version is None else version))
+            if changed:
+                self.current.updateValue((pack,), (pickle.dumps(versions),))
 
 
 def temporal_join_stream(
@@ -277,6 +352,7 @@ def temporal_join_stream(
     tie_break: str | None = None,
     deleted: Column | None = None,
     delay: str = DELAY,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """``operators.asof.asof_join`` of two streams: each event with the version valid at its time,
     once the watermark has passed the event, so that versions that come a little later than the event still count.
@@ -319,12 +395,9 @@ def temporal_join_stream(
     )
     typed = [(n, f.dataType.simpleString()) for n, f in [*zip(e_names, e_fields), *zip(v_names, v_fields)]]
     out_schema = ", ".join(f"{n} {kind}" for n, kind in typed)
-    joined = asked.unionByName(changes).groupBy("_key").transformWithState(
-        VersionAtEvent(
-            ["_at", "_side", "_seq", "_gone", *e_names, *v_names],
-            f"_at bigint, _side int, _seq {seq_type.simpleString()}, _gone boolean, {out_schema}",
-            ", ".join(f"{n} {kind}" for n, kind in typed[len(e_names):]), len(e_names), how == "left",
-        ),
+    both = _in_buckets(asked.unionByName(changes), "_key", buckets)
+    joined = both.groupBy("_bucket").transformWithState(
+        VersionAtEvent(["_at", "_side", "_seq", "_gone", "_key", "_pack", *e_names, *v_names], len(e_names), how == "left"),
         out_schema, "Append", "EventTime",
     )
     out = joined.withColumnsRenamed(dict(zip([*e_names, *v_names], [*events.columns, *values])))
