@@ -92,6 +92,26 @@ def test_anomaly_state_is_a_day(spark, tmp_path):
     assert state_rows(spark, path, "pending") <= 1
 
 
+def test_state_is_by_buckets_of_users(spark, tmp_path):
+    """Many users with few events each: the rows of state, and so the calls for them, are those of the buckets."""
+    path = str(tmp_path)
+    table = numbered(spark, [[(u if u else None, "view", u + s) for u in range(300) for s in (0, 40, 4000)]])[0]
+    out = run_parts(spark, path, [table, numbered(spark, [[(1, "view", 50_000)]])[0]], lambda s: stateful.anomaly_stream(s, buckets=4))
+    assert rows(out) == rows(anomaly_detection(table).select(out.columns))
+    assert 1 <= state_rows(spark, path, "counts") <= 4
+
+
+def test_a_busy_minute_is_stored_for_itself(spark, tmp_path):
+    path = str(tmp_path)
+    parts = numbered(spark, [
+        [(1, "view", i / 10) for i in range(400)] + [(2, "view", 5), (None, "click", 9)], [(1, "click", 50), (2, "view", 58)], [(3, "view", 9000)],
+    ])
+    out = run_parts(spark, path, parts, lambda s: stateful.anomaly_stream(s, keep=("event_id",)))
+    expected = anomaly_detection(parts[0].unionByName(parts[1]), keep=("event_id",))
+    assert rows(out.select(expected.columns)) == rows(expected)
+    assert state_rows(spark, path, "minutes") == 1
+
+
 # --- temporal join ---
 
 USERS = "user_id bigint, valid_from timestamp, name string, gone boolean, seq int"
