@@ -160,9 +160,20 @@ def test_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flow_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Produced records. ``event_id`` rises with time, so it serves as the partition's offset."""
-    events = user_events(spark, sf_dir)
+    events = user_events(spark, sf_dir).drop("payload")
     raw = raw_events(spark, sf_dir).select("event_id", "value")
-    return _flow(events.drop("payload"), raw)
+    parts = _parts_of(spark, f"{sf_dir}/events.parquet")
+    if parts > 1:
+        # Both sides of the join, and what is grouped by its key after it, in tasks of a bounded size.
+        events, raw = (side.repartition(parts, "event_id") for side in (events, raw))
+    return _flow(events, raw)
+
+
+def _parts_of(spark: SparkSession, path: str, mb: int = 2) -> int:
+    """Partitions for a table, one per so many megabytes of its compressed files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    return -(-size // (mb << 20))
 
 
 def _flow(events: DataFrame, values: DataFrame) -> DataFrame:

@@ -88,3 +88,21 @@ def test_anomaly_stream_in_a_drivers_zone(spark, tmp_path, zone):
         else:
             os.environ["TZ"] = before
         time.tzset()
+
+
+def test_flow_tables_are_cut_by_the_size_of_their_files(spark, tmp_path, monkeypatch):
+    """Tasks of the join, and of what is grouped by its key, stay of one size whatever the table's."""
+    from eventloom.sources import testdata
+
+    path = f"{tmp_path}/events.parquet"
+    data = spark.range(5000).selectExpr(
+        "nullif(id % 4000, 7) AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id % 50 AS user_id",
+        "'view' AS event_type", "CAST(id AS DOUBLE) AS value", "'{\"k\": 1}' AS props",
+    )
+    data.repartition(4).write.parquet(path)
+    assert testdata._parts_of(spark, path) == 1 and testdata._parts_of(spark, path, mb=1 << 30) == 1
+    whole = sorted(tuple(r) for r in testdata.flow_sink(spark, str(tmp_path)).collect())
+    monkeypatch.setattr(testdata, "_parts_of", lambda _spark, _path: 37)
+    cut = testdata.flow_sink(spark, str(tmp_path))
+    assert "37), REPARTITION_BY_NUM" in cut._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in cut.collect()) == whole
