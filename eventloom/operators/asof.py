@@ -14,6 +14,9 @@ from eventloom.operators.skew import SLOT_SECONDS, slot_of
 # version that starts exactly at the event's time is visible to the event.
 _CARRY, _VERSION, _EVENT = -1, 0, 1
 
+# Rows of a key that one task may order at once.
+BUSY_ROWS = 100_000
+
 
 def asof_join(
     left: DataFrame,
@@ -27,6 +30,7 @@ def asof_join(
     tolerance_seconds: int | None = None,
     deleted: Column | None = None,
     slot_seconds: int = SLOT_SECONDS,
+    busy: Sequence | None = None,
 ) -> DataFrame:
     """Adds ``values`` of the newest ``right`` row with ``right_ts <= left_ts`` to each left row.
 
@@ -39,13 +43,17 @@ def asof_join(
     running value, so the work is linear in the rows of both sides whatever the number of
     versions, and a busy key is spread over its slots. A slot starts from the newest version of
     the slots before it, found on one pre-aggregated row per key and slot.
+
+    ``busy`` names the keys to cut into slots (``busy_keys`` finds them); every other key is ordered
+    whole and needs no carried versions. Without it all keys are cut.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
     known = F.col(key).isNotNull()
     gone = F.lit(False) if deleted is None else F.coalesce(deleted, F.lit(False))
     version = F.struct(F.col(right_ts).alias("_from"), gone.alias("_gone"), *[F.col(c) for c in values])
-    slot = slot_of(F.col("_at"), slot_seconds * MICROS)
+    cut = F.lit(True) if busy is None else F.col("_key").isin(list(busy)) if busy else F.lit(False)
+    slot = F.when(cut, slot_of(F.col("_at"), slot_seconds * MICROS)).otherwise(F.lit(0).cast("bigint"))
 
     events = (
         left.where(known & F.col(left_ts).isNotNull())
@@ -68,9 +76,10 @@ def asof_join(
         )
         .withColumn("_slot", slot)
     )
-    stacked = events.unionByName(versions, allowMissingColumns=True).unionByName(
-        _carried_versions(events, versions), allowMissingColumns=True
-    )
+    stacked = events.unionByName(versions, allowMissingColumns=True)
+    if busy is None or busy:
+        carried = _carried_versions(events.where(cut), versions.where(cut))
+        stacked = stacked.unionByName(carried, allowMissingColumns=True)
     so_far = (
         Window.partitionBy("_key", "_slot")
         .orderBy("_at", "_rank", "_seq")
@@ -94,6 +103,16 @@ def asof_join(
     return out.unionByName(unkeyed, allowMissingColumns=True)
 
 
+def busy_keys(left: DataFrame, right: DataFrame, key: str, over: int = BUSY_ROWS) -> list:
+    """The keys with more than ``over`` rows on both sides together, for ``asof_join(busy=...)``.
+
+    Runs a count of the keys. There is at most one such key per ``over`` rows of input.
+    """
+    keys = left.select(F.col(key).alias("_key")).unionByName(right.select(F.col(key).alias("_key")))
+    counted = keys.where(F.col("_key").isNotNull()).groupBy("_key").count()
+    return [r[0] for r in counted.where(F.col("count") > over).select("_key").collect()]
+
+
 def _carried_versions(events: DataFrame, versions: DataFrame) -> DataFrame:
     """For each slot that has events: the newest version of the key's earlier slots."""
     marks = events.select("_key", "_slot").distinct().withColumn("_order", F.lit(0))

@@ -39,16 +39,34 @@ def event_stream(t: Tables) -> DataFrame:
 
 def in_slices(t: Tables, run: Callable[[DataFrame], None], slices: int = 3) -> None:
     """Feeds the same rows in consecutive time spans: the files of a span arrive, the job runs
-    over what is new and stops, and the next span finds it restarted on its checkpoint."""
-    path, events = t.scratch("slices"), t.user_events
+    over what is new and stops, and the next span finds it restarted on its checkpoint.
+
+    The events are derived once, in tasks of a bounded size however the table's files are cut, into one
+    folder per span; a span arrives when its folder is moved to where the stream looks.
+    """
+    staged, path = t.scratch("staged"), t.scratch("slices")
+    events = testdata.events_of(testdata.spread(t.raw_events, f"{t.sf_dir}/events.parquet"))
     events = events.withColumns(
         {c: F.col(c).cast("timestamp") for c in ("event_timestamp", "processing_time")}
     )
     day = F.date_diff("event_timestamp", F.lit(testdata.START).cast("date"))
     part = F.least(F.call_function("div", day * slices, F.lit(30)), F.lit(slices - 1))
+    spans = events.withColumn("span", part.cast("int")).where(F.col("span").between(0, slices - 1))
+    spans.write.partitionBy("span").parquet(staged)
     for i in range(slices):
-        events.where(part == i).write.mode("append").parquet(path)
-        run(t.spark.readStream.schema(events.schema).parquet(path))
+        _arrive(t, f"{staged}/span={i}", f"{path}/span-{i}", events.schema)
+        run(t.spark.readStream.schema(events.schema).parquet(f"{path}/span-*"))
+
+
+def _arrive(t: Tables, staged: str, path: str, schema: T.StructType) -> None:
+    """Moves a folder of finished files; for a span without rows an empty file arrives."""
+    hadoop = t.spark._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(staged), hadoop.Path(path)
+    files = source.getFileSystem(t.spark._jsc.hadoopConfiguration())
+    if not files.exists(source):
+        t.spark.createDataFrame([], schema).write.parquet(path)
+    elif not (files.mkdirs(target.getParent()) and files.rename(source, target)):
+        raise OSError(f"{staged} could not be moved to {path}")
 
 
 def run_table(t: Tables, df: DataFrame, name: str) -> DataFrame:

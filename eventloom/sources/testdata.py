@@ -158,6 +158,13 @@ def test_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(events: DataFrame, path: str, mb: int = 4) -> DataFrame:
+    """Raw events in tasks of about equal size, one per so many megabytes of their files at ``path``:
+    a file is read by as many tasks as it has row groups, which may be few and uneven."""
+    parts = _parts_of(events.sparkSession, path, mb)
+    return events.repartition(parts, "event_id") if parts > 1 else events
+
+
 def flow_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Produced records. ``event_id`` rises with time, so it serves as the partition's offset."""
     events = user_events(spark, sf_dir).drop("payload")

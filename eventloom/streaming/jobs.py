@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventloom.functions.exprs import MICROS, micros
 from eventloom.operators import flow, monitoring, windows
 from eventloom.operators.anomaly import DAY, anomaly_detection
-from eventloom.operators.asof import latest_per_key
+from eventloom.operators.asof import busy_keys, latest_per_key
 from eventloom.operators.enrich import (
     EVENT_COLUMNS,
     USER_COLUMNS,
@@ -202,10 +202,15 @@ def enrich_stream(events: DataFrame, users: DataFrame, how: str = "inner") -> Da
 def enrich_writer(
     read_users: Callable[[], DataFrame], path: str, how: str = "inner", **options
 ) -> Callable[[DataFrame, int], None]:
-    """Stream against a history that grows: each batch joins the versions known by then."""
+    """Stream against a history that grows: each batch joins the versions known by then.
+
+    Only the users that are busy in a batch are cut into time slots.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        enriched = enrich_events(batch, read_users(), how, **options)
+        users = read_users()
+        busy = busy_keys(batch, users, "user_id")
+        enriched = enrich_events(batch, users, how, **{"busy": busy, **options})
         enriched.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write

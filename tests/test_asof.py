@@ -5,7 +5,7 @@ from helpers import at, events, rows
 from pyspark.sql import functions as F
 
 from eventloom.operators import enrich
-from eventloom.operators.asof import asof_join, latest_per_key
+from eventloom.operators.asof import asof_join, busy_keys, latest_per_key
 
 USERS = "user_id bigint, valid_from timestamp_ntz, seq int, tier string"
 
@@ -87,6 +87,32 @@ def test_split_keys_equal_brute_force(spark, how):
         assert out == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("busy", [[], [1], [1, 2, 3]])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_busy_keys_alone_are_cut_and_all_rows_match(spark, how, busy):
+    rnd = random.Random(3)
+    left = [(rnd.choice([1, 1, 2, 3, None]), "view", rnd.randint(0, 300)) for _ in range(120)]
+    right = [(rnd.choice([1, 2, 3, None]), rnd.randint(0, 300), q, f"t{q}") for q in range(30)]
+    expected = join(spark, left, right, how=how)
+    for slot_seconds in (900, 20, 1):
+        assert join(spark, left, right, how=how, slot_seconds=slot_seconds, busy=busy) == expected
+
+
+def test_keys_that_are_not_busy_cost_one_shuffle(spark):
+    out = asof_join(
+        events(spark, LEFT), versions(spark, RIGHT), "user_id", "event_timestamp", "valid_from", ["tier"], busy=[]
+    )
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan
+
+
+def test_busy_keys_count_both_sides_and_no_nulls(spark):
+    left, right = events(spark, LEFT), versions(spark, RIGHT)  # user 1: 3 + 3 rows, user 2: 1 + 1
+    assert busy_keys(left, right, "user_id", over=5) == [1]
+    assert sorted(busy_keys(left, right, "user_id", over=1)) == [1, 2]
+    assert busy_keys(left, right, "user_id", over=6) == []
+
+
 def test_latest_per_key_honours_tombstones(spark):
     changes = spark.createDataFrame(
         [(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (2, 2, None)], "k int, seq int, v string"
