@@ -92,6 +92,39 @@ def _seconds(span: str) -> int:
     return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.removesuffix("s")]
 
 
+def _stream_hops(panes: DataFrame, size: str, slide: str) -> DataFrame:
+    """Windows with their pane counts, as an aggregate."""
+    return panes.groupBy("user_id", F.window("window", size, slide)).agg(
+        F.sum("_n").alias("events_last_5min"),
+        F.collect_list(F.struct("event_type", "_n")).alias("_parts"),
+    )
+
+
+def _hops(panes: DataFrame, size: str, slide: str) -> DataFrame:
+    """``_stream_hops`` of a table, where only panes are shuffled and not their copies.
+
+    A pane looks at the panes of its user that follow within the size, and gives the windows
+    in which it comes first. A user has at most a pane per step and type, however many events.
+    """
+    at = F.unix_micros(F.col("window.start").cast("timestamp"))
+    ordered = Window.partitionBy("user_id").orderBy("_at")
+    ahead = ordered.rangeBetween(0, _seconds(size) * MICROS - 1)
+    seen = panes.withColumn("_at", at).withColumns({
+        "_previous": F.lag("_at").over(ordered),
+        "_ahead": F.collect_list(F.struct("event_type", "_n", "_at")).over(ahead),
+    })
+    # Rows of one pane differ in type only; the first of them stands for all.
+    first = seen.where(F.col("_previous").isNull() | (F.col("_previous") < F.col("_at")))
+    hops = first.select("user_id", "_previous", "_ahead", F.window("window", size, slide).alias("window"))
+    starts, ends = (F.unix_micros(F.col(f"window.{c}").cast("timestamp")) for c in ("start", "end"))
+    own = hops.where(F.col("_previous").isNull() | (F.col("_previous") < starts))
+    inside = F.when(F.size("_ahead") == 1, F.col("_ahead")).otherwise(F.filter("_ahead", lambda e: e["_at"] < ends))
+    counted = own.select("user_id", "window", inside.alias("_parts"))
+    total = F.aggregate("_parts", F.lit(0).cast("bigint"), lambda n, e: n + e["_n"])
+    total = F.when(F.size("_parts") == 1, F.element_at("_parts", 1)["_n"]).otherwise(total)
+    return counted.select("user_id", "window", total.alias("events_last_5min"), "_parts")
+
+
 def sliding_activity(
     events: DataFrame,
     size: str = "5 minutes",
@@ -115,10 +148,7 @@ def sliding_activity(
         F.count(F.lit(1)).alias("_n")
     )
     # At most one entry per pane and type.
-    grouped = panes.groupBy("user_id", F.window("window", size, slide)).agg(
-        F.sum("_n").alias("events_last_5min"),
-        F.collect_list(F.struct("event_type", "_n")).alias("_parts"),
-    )
+    grouped = _stream_hops(panes, size, slide) if events.isStreaming else _hops(panes, size, slide)
     seen = F.filter(F.array_sort(F.array_distinct(F.transform("_parts", lambda e: e["event_type"]))), lambda k: k.isNotNull())
 
     def total(kind: Column) -> Column:
@@ -131,11 +161,18 @@ def sliding_activity(
         types = F.flatten(spelled)
     else:
         types = F.map_from_entries(known)
+    kinds = F.size(seen)
+
+    # A window with one known entry needs no merging, which costs more than all the rest of its row.
+    only = F.element_at("_parts", 1)
+    plain = (F.size("_parts") == 1) & only["event_type"].isNotNull()
+    one = F.array_repeat(only["event_type"], only["_n"].cast("int")) if as_array else F.create_map(only["event_type"], only["_n"])
+    types, kinds = F.when(plain, one).otherwise(types), F.when(plain, 1).otherwise(kinds)
     return grouped.select(
         "user_id",
         *_bounds(),
         "events_last_5min",
-        F.size(seen).cast("bigint").alias("unique_event_types"),
+        kinds.cast("bigint").alias("unique_event_types"),
         types.alias("event_types_array"),
         classify.activity_level(F.col("events_last_5min"), high, medium).alias("activity_level"),
     )

@@ -1,12 +1,12 @@
-"""The events arriving in spans of time, and the join of each span with the versions known by then."""
+"""The events arriving in spans of time, and the joins and windows that large tables are given."""
 
 from datetime import datetime
 
 from helpers import at, events, rows
 from pyspark.sql import functions as F
 
-from eventloom.operators import asof, enrich
-from eventloom.plans import stream_queries
+from eventloom.operators import asof, enrich, windows
+from eventloom.plans import check_queries, stream_queries
 from eventloom.plans.catalog import Tables
 from eventloom.sources import testdata
 from eventloom.streaming import jobs
@@ -70,3 +70,37 @@ def test_enrich_writer_cuts_busy_users_only_and_gives_the_rows_of_the_join(spark
         jobs.enrich_writer(lambda: users, f"{tmp_path}/{over}")(batch, 0)
         assert rows(spark.read.parquet(f"{tmp_path}/{over}").drop("batch")) == expected
         assert asked.pop() == busy
+
+
+def test_sliding_windows_of_a_table_shuffle_panes_and_equal_a_plain_count(spark):
+    """Dense and sparse panes, several types in a pane, rows without a type or a user."""
+    data = [(user, kind, s) for user in (1, None) for s in (0, 1, 59, 60, 130, 299, 300, 301, 5000, 5000)
+            for kind in ("view", "click", None)] + [(2, "view", 10), (2, None, 4000)]
+    stream = events(spark, data)
+    for size, slide in ((5, 1), (7, 3), (4, 4)):
+        out = windows.sliding_activity(stream, f"{size} minutes", f"{slide} minutes")
+        expected = {}
+        for user, kind, s in data:
+            for start in range(-600, 6000, 60):
+                if (int(at(0).timestamp()) + start) % (slide * 60) == 0 and start <= s < start + size * 60:
+                    expected.setdefault((repr(user), at(start)), []).append(kind)
+        got = {(repr(r.user_id), r.window_start): r for r in out.collect()}
+        assert got.keys() == expected.keys()
+        for key, kinds in expected.items():
+            known = [k for k in kinds if k]
+            assert got[key].events_last_5min == len(kinds)
+            assert got[key].event_types_array == {k: known.count(k) for k in known}
+            assert got[key].unique_event_types == len(set(known))
+    wide = windows.sliding_activity(stream)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in wide[: wide.index("Expand")]  # printed from the result down
+
+
+def test_the_derived_tables_of_the_checks_cut_busy_users_only(spark, tmp_path, monkeypatch):
+    asked = []
+    join = enrich.asof_join
+    monkeypatch.setattr(enrich, "asof_join", lambda *a, **k: asked.append(k.get("busy")) or join(*a, **k))
+    small = Tables(spark, "/root/testdata/sf0.001")
+    saved = check_queries.materialised(small)
+    assert asked == [[], []]
+    for name in ("enriched", "enriched_left", "sessions"):
+        assert rows(getattr(saved, name)) == rows(getattr(Tables(spark, small.sf_dir), name))
